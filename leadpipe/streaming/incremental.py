@@ -19,14 +19,14 @@ def incremental_upload(
     target: str,
     checkpoint: str,
     key: str,
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     files_per_batch: int | None = None,
 ) -> None:
     """Process all files that arrived since the last call, then stop.
 
-    Per micro-batch: prepare, first row per key, drop keys the target holds,
-    write.  A micro-batch owns the folder `batch_id=n` of the target.  A
+    Per micro-batch: prepare, first row per key (unless `prepare` leaves keys
+    unique and no order is given), drop keys the target holds, write.  A micro-batch owns the folder `batch_id=n` of the target.  A
     replayed one does not see its own rows and replaces them, so a failure
     between writing and committing leaves no duplicates.
     """
@@ -39,7 +39,7 @@ def incremental_upload(
         key_type = rows.schema[key].dataType.simpleString()
         known = _read_or_empty(spark, target, f"{key} {key_type}, batch_id bigint")
         known = known.where(F.col("batch_id") != batch_id)
-        first = dedup_first(rows, key, order_by)
+        first = dedup_first(rows, key, order_by) if order_by else rows
         anti_existing(first, known, key).write.mode("overwrite").parquet(
             f"{target}/batch_id={batch_id}"
         )
