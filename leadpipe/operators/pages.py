@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from leadpipe.functions import markup
 from leadpipe.functions.postings import SEARCH_PREFIX, is_search_link
+from leadpipe.operators.relational import top1
 
 
 def company_links(
@@ -22,11 +23,14 @@ def company_links(
     A search link is its own answer.  Without a page, or with a page that
     names no address, the answer is the search for the account name.  The
     addresses are taken from the pages before the join, so no HTML is shuffled.
+    Of several copies of a page the one with the smallest id counts.
     """
-    found = pages.select(
+    addresses = pages.select(
         F.col("url").alias("_url"),
+        "page_id",
         markup.outside_links(markup.hrefs_in(F.col("html"), container)).alias("_found"),
-    ).where(F.size("_found") > 0)
+    )
+    found = top1(addresses, "_url", "page_id", "_found").where(F.size("_found") > 0)
     search = F.array(F.concat(F.lit(SEARCH_PREFIX), F.col(account)))
     links = F.when(is_search_link(F.col(link)), F.array(F.col(link))).otherwise(
         F.coalesce("_found", search)
