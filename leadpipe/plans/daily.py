@@ -25,10 +25,17 @@ def scored_postings(
     dims: dict[str, DataFrame],
     as_of: datetime.date,
     order_by: Sequence[str],
+    existing: DataFrame | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Clean postings that score high enough, with score, state and some link."""
+    """Clean postings that score high enough, with score, state and some link.
+
+    Ids in `existing` leave right after the deduplication, while the rows are
+    still partitioned by id and before any title is scored.
+    """
     clean = clean_postings(raw, as_of, order_by, keep=keep)
+    if existing is not None:
+        clean = anti_existing(clean, existing)
     scored = filter_score(add_title_score(clean, dims))
     return scored.withColumns(
         {
@@ -50,11 +57,9 @@ def daily_upload(
     """New high-scoring postings of a run, ready for the target.
 
     The search result replaces the company link, also by nothing;
-    `keep_own_link=True` keeps the link where the search found none.  Known
-    ids leave right after the deduplication, while rows are still partitioned
-    by id, and before the search results are joined.
+    `keep_own_link=True` keeps the link where the search found none.
     """
-    new = anti_existing(scored_postings(raw, dims, as_of, order_by), existing)
+    new = scored_postings(raw, dims, as_of, order_by, existing)
     found = enrich_top1(new, results)
     if keep_own_link:
         found = found.withColumn("google_link", F.coalesce("google_link", "CompanyLink"))
