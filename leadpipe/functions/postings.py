@@ -12,6 +12,8 @@ SEARCH_PREFIX = "https://www.google.com/#q="
 SEARCH_MARKER = "google"
 AGE_MARKER = "days ago"
 MAX_AGE_DAYS = 30
+KEYED_ID = r"jk=([^\n]*)&"
+DASHED_ID = r"-([a-z0-9]+)"
 
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
@@ -36,22 +38,32 @@ def extract_job_id(link: Column, id_rule: str = "second") -> Column:
     if id_rule not in ("second", "last"):
         raise ValueError(f"unknown id_rule {id_rule!r}")
 
-    def pick(words: Column) -> Column:
-        if id_rule == "last":
-            return F.get(words, F.size(words) - 1)
-        return F.when(F.size(words) > 1, F.get(words, F.lit(1))).otherwise(F.get(words, F.lit(0)))
+    def pick(pattern: str) -> Column:
+        # The last of the first two matches; each list is built only once.
+        words = F.regexp_extract_all(link, F.lit(pattern), F.lit(1))
+        candidates = words if id_rule == "last" else F.slice(words, 1, 2)
+        return F.try_element_at(candidates, F.lit(-1))
 
-    keyed = F.regexp_extract_all(link, F.lit(r"jk=([^\n]*)&"), F.lit(1))
-    dashed = F.regexp_extract_all(link, F.lit(r"-([a-z0-9]+)"), F.lit(1))
-    return F.coalesce(pick(keyed), pick(dashed))
+    return F.coalesce(pick(KEYED_ID), pick(DASHED_ID))
+
+
+def has_job_id(link: Column) -> Column:
+    """Whether the link holds an id, without extracting it."""
+    return F.coalesce(link.rlike(f"{KEYED_ID}|{DASHED_ID}"), F.lit(False))
 
 
 def parse_days_ago(age_text: Column) -> Column:
     """First number of an `n days ago` text, 0 for any other text."""
     number = F.regexp_extract(age_text, "[0-9]+", 0).try_cast("int")
-    return F.when(age_text.isNull(), F.lit(None).cast("int")).when(
-        F.contains(age_text, F.lit(AGE_MARKER)), number
-    ).otherwise(F.lit(0))
+    return F.when(F.contains(age_text, F.lit(AGE_MARKER)), number).when(
+        age_text.isNotNull(), F.lit(0)
+    )
+
+
+def has_age(age_text: Column) -> Column:
+    """Whether an age can be told: not `days ago` without a number, not null."""
+    named = F.contains(age_text, F.lit(AGE_MARKER))
+    return F.coalesce(~named | age_text.rlike("[0-9]"), F.lit(False))
 
 
 def post_date(days_ago: Column, as_of: datetime.date | Column) -> Column:
@@ -82,7 +94,7 @@ def clean_description(text: Column, per_char: bool = False) -> Column:
     replacement does it.  `per_char=True` writes one blank per character.
     """
     units = text if per_char else F.decode(text.cast("binary"), "ISO-8859-1")
-    return F.trim(F.regexp_replace(units, "[^A-Za-z0-9_]", " "))
+    return F.trim(F.regexp_replace(units, r"\W", " "))
 
 
 def extract_state(location: Column) -> Column:
@@ -110,11 +122,8 @@ def compact_name(name: Column) -> Column:
     return ascii_lower(F.replace(name, F.lit(" "), F.lit("")))
 
 
-# Characters Unicode text splitting treats as blanks.
-BLANKS = (
-    r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+# Everything Unicode text splitting treats as blank.
+BLANKS = r"[\h\v\x1c-\x1f]+"
 
 
 def normalize_space(text: Column) -> Column:

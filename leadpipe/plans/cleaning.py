@@ -25,20 +25,28 @@ _PAYLOAD = [
 ]
 
 
-def _reason(job_id: Column) -> Column:
-    return (
-        F.when(F.col("job_link").isNull(), "no link")
-        .when(job_id.isNull(), "no id in link")
-        .when(F.col("job_date").isNull(), "no date")
-        .when(p.parse_days_ago(F.col("job_date")).isNull(), "no number of days")
+def reject_postings(raw: DataFrame) -> DataFrame:
+    """Raw rows that cannot be cleaned, with the reason."""
+    link, age = F.col("job_link"), F.col("job_date")
+    reason = (
+        F.when(link.isNull(), "no link")
+        .when(~p.has_job_id(link), "no id in link")
+        .when(age.isNull(), "no date")
+        .when(~p.has_age(age), "no number of days")
         .when(F.col("title").isNull(), "no title")
     )
+    return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def reject_postings(raw: DataFrame, id_rule: str = "second") -> DataFrame:
-    """Raw rows that cannot be cleaned, with the reason."""
-    reason = _reason(p.extract_job_id(F.col("job_link"), id_rule))
-    return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
+def can_be_cleaned() -> Column:
+    """Rows `reject_postings` does not list.
+
+    Plain tests of the raw columns: a filter on the extracted id would make
+    Spark extract it twice, in the filter and in the projection.
+    """
+    return (
+        p.has_job_id(F.col("job_link")) & p.has_age(F.col("job_date")) & F.col("title").isNotNull()
+    )
 
 
 def clean_postings(
@@ -57,10 +65,11 @@ def clean_postings(
     """
     extra = [c for c in dict.fromkeys([*order_by, *keep]) if c not in RAW_COLUMNS]
     rows = rename_positional(raw.select(*RAW_COLUMNS, *extra), [*RAW_COLUMNS, *extra])
-    narrow = (
-        rows.withColumn("JobId", p.extract_job_id(F.col("job_link"), id_rule))
-        .where(_reason(F.col("JobId")).isNull())
-        .withColumn("days_ago", p.parse_days_ago(F.col("job_date")))
+    narrow = rows.where(can_be_cleaned()).withColumns(
+        {
+            "JobId": p.extract_job_id(F.col("job_link"), id_rule),
+            "days_ago": p.parse_days_ago(F.col("job_date")),
+        }
     )
     fresh = F.col("days_ago") < p.MAX_AGE_DAYS
     ordered_raw = [c for c in order_by if c in _PAYLOAD]

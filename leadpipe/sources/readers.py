@@ -12,6 +12,16 @@ from leadpipe.schemas import DIMENSIONS, PAGES, RAW, SEARCH_RESULTS
 CSV_FORMAT = {"header": True, "escape": '"', "quote": '"'}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scan of fewer splits than cores among all cores.
+
+    For small inputs under costly expressions; a scan of many splits is left
+    as it is, so a large table is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_csv(
     spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = True
 ) -> DataFrame:

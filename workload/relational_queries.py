@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadpipe.functions import postings as p
-from leadpipe.operators import filters, relational
+from leadpipe.operators import relational
 from workload import sqltext as q
 from workload.data import (
     EXISTING_SQL,
@@ -49,8 +49,12 @@ def dedup_first(spark, sf_dir):
         QUALIFY row_number() OVER (PARTITION BY JobId ORDER BY {ORDER_SQL}) = 1""",
 )
 def dedup_first_posting(spark, sf_dir):
-    ids = postings(spark, sf_dir).select(*ORDER, p.extract_job_id(F.col("job_link")).alias("JobId"))
-    first = relational.dedup_first(filters.filter_null(ids, "JobId"), "JobId", ORDER)
+    ids = (
+        postings(spark, sf_dir)
+        .where(p.has_job_id(F.col("job_link")))
+        .select(*ORDER, p.extract_job_id(F.col("job_link")).alias("JobId"))
+    )
+    first = relational.dedup_first(ids, "JobId", ORDER)
     return first.select(*KEYS, "JobId")
 
 
@@ -61,8 +65,11 @@ def dedup_first_posting(spark, sf_dir):
           AND NOT EXISTS (SELECT 1 FROM ({EXISTING_SQL}) AS old WHERE old.JobId = new.JobId)""",
 )
 def anti_existing(spark, sf_dir):
-    ids = postings(spark, sf_dir).select(*KEYS, p.extract_job_id(F.col("job_link")).alias("JobId"))
-    new = filters.filter_null(ids, "JobId")
+    new = (
+        postings(spark, sf_dir)
+        .where(p.has_job_id(F.col("job_link")))
+        .select(*KEYS, p.extract_job_id(F.col("job_link")).alias("JobId"))
+    )
     return relational.anti_existing(new, existing_ids(spark, sf_dir)).select(*KEYS, "JobId")
 
 

@@ -62,7 +62,7 @@ def compact(x: str) -> str:
 
 def normalized(x: str) -> str:
     blanks = (
-        r"[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+        r"[\t\n\x{0b}\f\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}"
         r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
     )
     return f"trim(regexp_replace({x}, '{blanks}', ' ', 'g'))"
