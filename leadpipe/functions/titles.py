@@ -6,6 +6,8 @@ its own points, so a match needs no second lookup.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,16 +40,16 @@ def filter_tokens(tokens: Column) -> Column:
     return F.filter(tokens, lambda t: t.rlike(MIN_TOKEN))
 
 
-def no_matches(text: Column, entries_type: str) -> Column:
-    """Start of a consuming search: the whole text, nothing found."""
-    return F.struct(text.alias("rest"), F.array().cast(entries_type).alias("found"))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times inside `body`."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def consume(state: Column, entries: Column, strip: bool) -> Column:
-    """Search the entries in order as substrings of what is left of the text.
+def consume(text: Column, blocks: list[Column], entries_type: str, strip: bool) -> Column:
+    """Search dictionary entries in order as substrings of what is left of a text.
 
     A hit is recorded and all its occurrences leave the text, so an entry
-    inside an already found one is not found again.
+    inside an already found one is not found again: struct(rest, found).
     """
 
     def step(acc: Column, e: Column) -> Column:
@@ -60,59 +62,53 @@ def consume(state: Column, entries: Column, strip: bool) -> Column:
             ),
         ).otherwise(acc)
 
-    return F.aggregate(entries, state, step)
+    state = F.struct(text.alias("rest"), F.array().cast(entries_type).alias("found"))
+    for entries in blocks:
+        state = F.aggregate(entries, state, step)
+    return state
 
 
-def has_and(text: Column) -> Column:
-    return F.contains(text, F.lit("and"))
+def equal_entries(text: Column, blocks: list[Column]) -> Column:
+    """The dictionary entries equal to a text: none or one."""
+    return F.concat(*[F.filter(entries, lambda e: e["entry"] == text) for entries in blocks])
 
 
-def split_on_and(text: Column) -> Column:
-    """Pieces between any `and`, each with its words; no hits yet."""
-    none = F.array().cast(KEYWORDS)
-    pieces = F.transform(F.split(text, "and"), lambda p: F.trim(p))
-    return F.transform(
-        pieces,
-        lambda p: F.struct(
-            p.alias("piece"),
-            none.alias("hits"),
-            F.transform(
-                F.split(p, " "), lambda w: F.struct(w.alias("word"), none.alias("hits"))
-            ).alias("words"),
-        ),
-    )
+def find_levels(title: Column, blocks: list[Column]) -> Column:
+    return consume(title, blocks, LEVELS, strip=True)
 
 
-def look_up_pieces(pieces: Column, entries: Column) -> Column:
-    """Add the keywords equal to a piece or to one of its words."""
+def find_targets(title: Column, blocks: list[Column]) -> Column:
+    return consume(title, blocks, TARGETS, strip=False)
 
-    def equal(text: Column) -> Column:
-        return F.filter(entries, lambda e: e["entry"] == text)
 
-    return F.transform(
-        pieces,
-        lambda p: F.struct(
-            p["piece"].alias("piece"),
-            F.concat(p["hits"], equal(p["piece"])).alias("hits"),
-            F.transform(
-                p["words"],
-                lambda w: F.struct(
-                    w["word"].alias("word"), F.concat(w["hits"], equal(w["word"])).alias("hits")
-                ),
-            ).alias("words"),
-        ),
-    )
+def find_keywords(text: Column, blocks: list[Column]) -> Column:
+    """Keywords of a text in order of discovery.
 
+    A text with `and` anywhere is cut there: a piece that is a keyword counts
+    whole, otherwise those of its words that are keywords.  Any other text is
+    searched for the keywords, longest first.
+    """
 
-def piece_keywords(pieces: Column) -> Column:
-    """A piece that is a keyword counts whole, otherwise its keyword words do."""
-    return F.flatten(
-        F.transform(
-            pieces,
-            lambda p: F.when(F.size(p["hits"]) > 0, p["hits"]).otherwise(
-                F.flatten(F.transform(p["words"], lambda w: w["hits"]))
+    def of_piece(piece: Column) -> Column:
+        words = F.split(piece, " ")
+        return let(
+            equal_entries(piece, blocks),
+            lambda whole: F.when(F.size(whole) > 0, whole).otherwise(
+                F.flatten(F.transform(words, lambda w: equal_entries(w, blocks)))
             ),
         )
+
+    pieces = F.transform(F.split(text, "and"), lambda p: F.trim(p))
+    return F.when(
+        F.contains(text, F.lit("and")), F.flatten(F.transform(pieces, of_piece))
+    ).otherwise(consume(text, blocks, KEYWORDS, strip=True)["found"])
+
+
+def map_tokens(tokens: Column, blocks: list[Column]) -> Column:
+    """Replace every token the spelling map knows."""
+    return F.transform(
+        tokens,
+        lambda w: F.coalesce(F.get(equal_entries(w, blocks), F.lit(0))["new"], w),
     )
 
 
@@ -157,35 +153,58 @@ def keyword_total(found: Column) -> Column:
     return F.aggregate(found, F.lit(BASE_POINTS), lambda acc, e: acc + e["points"])
 
 
-def pick_score(
-    title: Column,
-    exact: Column,
-    level: Column,
-    target: Column,
-    keywords: Column,
+def score_title(
+    title: Column, levels: list[Column], targets: list[Column], keywords: list[Column]
 ) -> Column:
-    """The scoring rule: struct(title_level, new_title, points).
+    """Score of a cleaned title: struct(title_level, new_title, points).
 
-    exact     points per level of the target equal to the title, or NULL
-    level     best level found, or NULL
-    target    best target found, or NULL
-    keywords  keywords found in what the levels left of the title
+    A title that is a target scores at the default level.  Otherwise the best
+    target found scores at the best level found.  Without any target the
+    keywords in what the levels left of the title count, and the best level
+    adds its own points.
     """
+    default = F.lit(DEFAULT_LEVEL)
 
-    def score(lvl, name, points) -> Column:
+    def score(level: Column, name: Column, points: Column) -> Column:
         return F.struct(
-            lvl.alias("title_level"), name.alias("new_title"), points.cast("int").alias("points")
+            level.alias("title_level"), name.alias("new_title"), points.cast("int").alias("points")
         ).cast(SCORE)
 
-    default = F.lit(DEFAULT_LEVEL)
-    name = F.when(F.size(keywords) > 0, F.array_join(entry_names(keywords), " "))
-    points = keyword_total(keywords) + F.when(level.isNull(), F.lit(0)).otherwise(level["points"])
-    return (
-        F.when(title.isNull(), F.lit(None).cast(SCORE))
-        .when(exact.isNotNull(), score(default, title, F.try_element_at(exact, default)))
-        .when(
-            target.isNotNull(),
-            score(F.coalesce(level["level"], default), target["entry"], target["points"]),
+    def by_keywords(rest: Column, level: Column) -> Column:
+        own = F.when(level.isNull(), F.lit(0)).otherwise(level["points"])
+        return let(
+            find_keywords(rest, keywords),
+            lambda found: score(
+                level["level"],
+                F.when(F.size(found) > 0, F.array_join(entry_names(found), " ")),
+                keyword_total(found) + own,
+            ),
+        )
+
+    def by_target(rest: Column, level: Column) -> Column:
+        at = F.coalesce(level["level"], default)
+        return let(
+            best_target(find_targets(title, targets)["found"], at),
+            lambda target: F.when(
+                target.isNotNull(), score(at, target["entry"], target["points"])
+            ).otherwise(by_keywords(rest, level)),
+        )
+
+    def by_level() -> Column:
+        return let(
+            find_levels(title, levels),
+            lambda found: let(
+                best_level(found["found"]), lambda level: by_target(found["rest"], level)
+            ),
         )
-        .otherwise(score(level["level"], name, points))
+
+    return F.when(
+        title.isNotNull(),
+        let(
+            F.get(equal_entries(title, targets), F.lit(0)),
+            lambda exact: F.when(
+                exact.isNotNull(),
+                score(default, title, F.try_element_at(exact["points"], default)),
+            ).otherwise(by_level()),
+        ),
     )

@@ -2,13 +2,15 @@
 
 The sheets are hand-kept, but their size is still checked: each is cut into
 blocks of at most `BLOCK_ENTRIES` entries, and a block reaches the rows as a
-constant (a scalar subquery), never as a join side.  A search runs block after
-block and carries its state in a column, so any size gives the same result.
+constant (a scalar subquery), never as a join side.  A search goes on from
+block to block, so any size gives the same result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,23 +22,51 @@ BLOCK_ENTRIES = 5_000
 
 @dataclass(frozen=True)
 class Sheet:
-    """One dictionary in lookup order: rows (block, entries) and their number."""
+    """One dictionary in lookup order, as rows (block, entries).
 
+    The rows of the source sheet bound the number of entries.
+    """
+
+    source: DataFrame
     rows: DataFrame
-    blocks: int
     entries_type: str
+    block_entries: int
+
+    @cached_property
+    def blocks(self) -> int:
+        return max(1, -(-self.source.count() // self.block_entries))
+
+    def constants(self) -> list[Column]:
+        """The entries of each block as a constant array."""
+        none = F.array().cast(self.entries_type)
+        return [
+            F.coalesce(self.rows.where(F.col("block") == n).select("entries").scalar(), none)
+            for n in range(self.blocks)
+        ]
 
-    def fold(self, df: DataFrame, column: str, step) -> DataFrame:
-        """Apply `step(state column, entries)` once per block."""
-        for block in range(self.blocks):
-            rows = self.rows.where(F.col("block") == block).select("entries")
-            entries = F.coalesce(rows.scalar(), F.array().cast(self.entries_type))
-            df = (
-                df.withColumn("_entries", entries)
-                .withColumn(column, step(F.col(column), F.col("_entries")))
-                .drop("_entries")
-            )
-        return df
+
+def look_up(
+    df: DataFrame, text: str, into: str, sheets: list[Sheet], body: Callable[..., Column]
+) -> DataFrame:
+    """Add `body(text, blocks of each sheet)` as a column.
+
+    The text and the constants form one column that is used once, so Spark
+    folds it into the expression and no row carries the entries.
+    """
+    constants = [sheet.constants() for sheet in sheets]
+    named = [
+        c.alias(f"s{i}_{n}") for i, blocks in enumerate(constants) for n, c in enumerate(blocks)
+    ]
+
+    def apply(d: Column) -> Column:
+        blocks = [[d[f"s{i}_{n}"] for n in range(len(b))] for i, b in enumerate(constants)]
+        return body(d["text"], *blocks)
+
+    return (
+        df.withColumn("_input", F.struct(F.col(text).alias("text"), *named))
+        .withColumn(into, t.let(F.col("_input"), apply))
+        .drop("_input")
+    )
 
 
 @dataclass(frozen=True)
@@ -72,10 +102,7 @@ def rank_levels(no_match_levels: DataFrame) -> DataFrame:
 def _sheet(
     source: DataFrame, df: DataFrame, entry: Column, entries_type: str, block_entries: int
 ) -> Sheet:
-    """Pack rows numbered by `lookup_order` into blocks of ordered arrays.
-
-    The rows of the source sheet bound the number of entries.
-    """
+    """Pack rows numbered by `lookup_order` into blocks of ordered arrays."""
     numbered = df.select(
         ((F.col("lookup_order") - 1) / block_entries).cast("int").alias("block"),
         F.struct("lookup_order", entry.alias("entry")).alias("item"),
@@ -84,7 +111,7 @@ def _sheet(
         F.collect_list("item"), lambda a, b: a["lookup_order"] - b["lookup_order"]
     )
     rows = numbered.groupBy("block").agg(F.transform(in_order, lambda i: i["entry"]).alias("entries"))
-    return Sheet(rows, max(1, -(-source.count() // block_entries)), entries_type)
+    return Sheet(source, rows, entries_type, block_entries)
 
 
 def prepare_sheets(dims: dict[str, DataFrame], block_entries: int = BLOCK_ENTRIES) -> TitleSheets:
@@ -146,64 +173,33 @@ def prepare_sheets(dims: dict[str, DataFrame], block_entries: int = BLOCK_ENTRIE
 
 def find_levels(df: DataFrame, sheets: TitleSheets, title: str, into: str = "levels") -> DataFrame:
     """Levels inside a title and the remainder: struct(rest, found)."""
-    df = df.withColumn(into, t.no_matches(F.col(title), t.LEVELS))
-    return sheets.levels.fold(df, into, lambda s, e: t.consume(s, e, strip=True))
+    return look_up(df, title, into, [sheets.levels], t.find_levels)
 
 
 def find_targets(df: DataFrame, sheets: TitleSheets, title: str, into: str = "targets") -> DataFrame:
     """Target titles inside a title, in sheet order: struct(rest, found)."""
-    df = df.withColumn(into, t.no_matches(F.col(title), t.TARGETS))
-    return sheets.targets.fold(df, into, lambda s, e: t.consume(s, e, strip=False))
+    return look_up(df, title, into, [sheets.targets], t.find_targets)
 
 
 def find_keywords(df: DataFrame, sheets: TitleSheets, text: str, into: str = "keywords") -> DataFrame:
     """Keywords of a text, in order of discovery."""
-    source = F.col(text)
-    df = df.withColumn("_pieces", F.when(t.has_and(source), t.split_on_and(source)))
-    df = sheets.keywords.fold(df, "_pieces", t.look_up_pieces)
-    df = df.withColumn("_plain", F.when(~t.has_and(source), t.no_matches(source, t.KEYWORDS)))
-    df = sheets.keywords.fold(
-        df, "_plain", lambda s, e: F.when(s.isNotNull(), t.consume(s, e, strip=True))
-    )
-    found = F.coalesce(t.piece_keywords(F.col("_pieces")), F.col("_plain.found"))
-    return df.withColumn(into, found).drop("_pieces", "_plain")
-
-
-def exact_target(df: DataFrame, sheets: TitleSheets, title: str, into: str = "exact") -> DataFrame:
-    """Points per level of the target that equals the whole title, or NULL."""
-    df = df.withColumn(into, F.lit(None).cast("map<string,int>"))
-    return sheets.targets.fold(
-        df,
-        into,
-        lambda s, e: F.coalesce(
-            s, F.get(F.filter(e, lambda x: x["entry"] == F.col(title)), F.lit(0))["points"]
-        ),
-    )
+    return look_up(df, text, into, [sheets.keywords], t.find_keywords)
+
+
+def compute_once(df: DataFrame, column: str) -> DataFrame:
+    """Keep later filters from repeating the work of a costly column.
+
+    Spark pushes a filter below a projection by copying the expressions it
+    uses.  It does not push one below a generator, here of exactly one row.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c != column]
+    return df.select(*kept, F.explode(F.array(column)).alias(column))
 
 
 def score_title(df: DataFrame, sheets: TitleSheets, title: str, into: str = "score") -> DataFrame:
     """Add struct(title_level, new_title, points) for a cleaned title."""
-    kept = df.columns
-    df = find_levels(df, sheets, title, "_levels")
-    df = find_targets(df, sheets, title, "_targets")
-    df = exact_target(df, sheets, title, "_exact")
-    df = df.withColumn("_level", t.best_level(F.col("_levels.found")))
-    df = df.withColumn(
-        "_target",
-        t.best_target(
-            F.col("_targets.found"), F.coalesce(F.col("_level.level"), F.lit(t.DEFAULT_LEVEL))
-        ),
-    )
-    # Only titles without a target are searched for keywords.
-    df = df.withColumn(
-        "_rest",
-        F.when(F.col("_exact").isNull() & F.col("_target").isNull(), F.col("_levels.rest")),
-    )
-    df = find_keywords(df, sheets, "_rest", "_keywords")
-    score = t.pick_score(
-        F.col(title), F.col("_exact"), F.col("_level"), F.col("_target"), F.col("_keywords")
-    )
-    return df.select(*[F.col(f"`{c}`") for c in kept], score.alias(into))
+    used = [sheets.levels, sheets.targets, sheets.keywords]
+    return compute_once(look_up(df, title, into, used, t.score_title), into)
 
 
 def map_whole_title(df: DataFrame, mapping: DataFrame, title: str) -> DataFrame:
@@ -222,28 +218,7 @@ def map_whole_title(df: DataFrame, mapping: DataFrame, title: str) -> DataFrame:
 
 def map_tokens(df: DataFrame, sheets: TitleSheets, tokens: str) -> DataFrame:
     """Replace every token the spelling map knows."""
-    df = df.withColumn(
-        tokens,
-        F.transform(
-            tokens,
-            lambda w: F.struct(w.alias("old"), F.lit(None).cast("string").alias("new")),
-        ),
-    )
-    df = sheets.spelling.fold(
-        df,
-        tokens,
-        lambda s, e: F.transform(
-            s,
-            lambda w: F.struct(
-                w["old"].alias("old"),
-                F.coalesce(
-                    w["new"],
-                    F.get(F.filter(e, lambda x: x["entry"] == w["old"]), F.lit(0))["new"],
-                ).alias("new"),
-            ),
-        ),
-    )
-    return df.withColumn(tokens, F.transform(tokens, lambda w: F.coalesce(w["new"], w["old"])))
+    return look_up(df, tokens, tokens, [sheets.spelling], t.map_tokens)
 
 
 def clean_title(
@@ -272,11 +247,9 @@ def clean_title_tokens(df: DataFrame, sheets: TitleSheets, title: str = "title")
         & ~F.col(title).isin(t.JUNK_TITLES)
         & ~F.contains(F.col(title), F.lit(t.JUNK_PHRASE))
     ).withColumn("title_split", t.title_tokens(F.col(title)))
-    return (
-        map_tokens(kept, sheets, "title_split")
-        .withColumn("title_split", F.array_join("title_split", " "))
-        .where(F.col("title_split") != "")
-    )
+    mapped = map_tokens(kept, sheets, "title_split")
+    joined = mapped.withColumn("title_split", F.array_join("title_split", " "))
+    return compute_once(joined, "title_split").where(F.col("title_split") != "")
 
 
 def add_title_score(df: DataFrame, dims: dict[str, DataFrame], keep_parts: bool = False) -> DataFrame:

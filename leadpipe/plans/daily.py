@@ -16,6 +16,7 @@ from leadpipe.operators.projection import swap_column
 from leadpipe.operators.relational import anti_existing, enrich_top1
 from leadpipe.operators.scoring import add_title_score
 from leadpipe.plans.cleaning import clean_postings
+from leadpipe.schemas import UPLOAD_COLUMNS
 from leadpipe.sources.readers import scan_existing
 from leadpipe.sources.sinks import sink_append_batches, sink_dated_csv
 
@@ -63,7 +64,7 @@ def daily_upload(
     found = enrich_top1(new, results)
     if keep_own_link:
         found = found.withColumn("google_link", F.coalesce("google_link", "CompanyLink"))
-    return swap_column(found, "CompanyLink", "google_link")
+    return swap_column(found, "CompanyLink", "google_link").select(*UPLOAD_COLUMNS)
 
 
 def run_daily(

@@ -28,6 +28,19 @@ CLEAN_COLUMNS = [
     "PostDate",
 ]
 
+UPLOAD_COLUMNS = [
+    "JobLink",
+    "JobTitle",
+    "AccountName",
+    "JobLocation",
+    "JobDescription",
+    "JobId",
+    "PostDate",
+    "titleScore",
+    "State",
+    "CompanyLink",
+]
+
 # Source column -> field of the target object (fixed names of the target layout).
 TARGET_FIELDS = {
     "JobId": "JobId__c",
