@@ -30,13 +30,13 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of this machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    named = tempfile.mkdtemp(prefix="leadpipe-")
-    spark.conf.set("spark.checkpoint.dir", named)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="leadpipe-"))
+        named = context.getCheckpointDir()
     return named
 
 

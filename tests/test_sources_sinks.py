@@ -1,0 +1,114 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from leadpipe import session
+from leadpipe.schemas import RAW_COLUMNS, TARGET_FIELDS
+from leadpipe.sources import readers, sinks
+
+DAY = datetime.date(2017, 3, 1)
+
+
+def test_csv_feed(spark, tmp_path):
+    (tmp_path / "feed.csv").write_text(
+        ",".join(f"col {i}" for i in range(8))
+        + '\nu,l,"a ""quoted"", title",,n,"Paris, TX","line one\nline two",1 day ago\n'
+    )
+    rows = readers.scan_csv(spark, str(tmp_path / "feed.csv")).collect()
+    assert [tuple(r) for r in rows] == [
+        ("u", "l", 'a "quoted", title', None, "n", "Paris, TX", "line one\nline two", "1 day ago")
+    ]
+    assert rows[0].asDict().keys() == dict.fromkeys(RAW_COLUMNS).keys()
+
+
+def test_csv_feed_with_another_column_count(spark, tmp_path):
+    (tmp_path / "feed.csv").write_text(",".join("abcdefghi") + "\n")
+    with pytest.raises(ValueError, match="expected 8 columns, found 9"):
+        readers.scan_csv(spark, str(tmp_path / "feed.csv"))
+
+
+def test_existing_of_a_new_target(spark, tmp_path):
+    assert readers.scan_existing(spark, str(tmp_path / "none")).count() == 0
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    assert readers.scan_existing(spark, str(empty)).count() == 0
+
+
+def target_rows(spark, n):
+    columns = {c: F.lit(c) for c in TARGET_FIELDS} | {
+        "JobId": F.concat(F.lit("id"), F.lpad("id", 5, "0")),
+        "PostDate": F.lit(DAY),
+        "titleScore": F.lit(90),
+        "State": F.lit(None).cast("string"),
+    }
+    return spark.range(n).select(*[v.alias(c) for c, v in columns.items()])
+
+
+def test_append_in_batches_and_again(spark, tmp_path):
+    target = str(tmp_path / "target")
+    for _ in range(2):
+        counts = sinks.sink_append_batches(target_rows(spark, 250), target, DAY, ["JobId"])
+        assert {r.batch: r["rows"] for r in counts.collect()} == {0: 100, 1: 100, 2: 50}
+    other = DAY + datetime.timedelta(days=1)
+    sinks.sink_append_batches(target_rows(spark, 10), target, other, ["JobId"])
+    table = spark.read.parquet(target)
+    assert table.count() == 260
+    assert set(table.columns) == {*TARGET_FIELDS.values(), "type", "batch", "run_date"}
+    existing = readers.scan_existing(spark, target)
+    assert existing.where(F.col("run_date") != str(DAY)).count() == 10
+
+
+def test_dated_csv_replaces_its_day(spark, tmp_path):
+    target = str(tmp_path / "dated")
+    for n in (5, 3):
+        sinks.sink_dated_csv(target_rows(spark, n), target, DAY)
+    sinks.sink_dated_csv(target_rows(spark, 4), target, "2017-03-02")
+    assert spark.read.option("header", True).csv(target).count() == 7
+
+
+def test_delete_and_update(frame, tmp_path):
+    target = frame([("a", 0.1), ("b", 0.2), ("c", None), (None, 0.4)], "Id string, rate double")
+    kept = sinks.sink_delete_by_id(
+        target, frame(["a", "a", "z"], "Id string"), "Id", str(tmp_path / "kept")
+    )
+    assert {r.Id for r in kept.collect()} == {"b", "c", None}
+    updates = frame([(1, "b", 0.55555), (2, "b", 0.123456), (1, "x", 1.0)], "n int, Id string, rate double")
+    updated = sinks.sink_update_by_id(
+        target, updates, "Id", "rate", str(tmp_path / "updated"), "n"
+    )
+    assert {(r.Id, r.rate) for r in updated.collect()} == {
+        ("a", 0.1),
+        ("b", 0.1234),
+        ("c", None),
+        (None, 0.4),
+    }
+
+
+class Context:
+    """A context whose checkpoint folder is not configured."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class Unconfigured:
+    def __init__(self, master):
+        self.sparkContext = Context(master)
+        self.conf = {}
+
+
+def test_scratch_folder_is_the_named_one(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert session.scratch_path(spark, "x").startswith(f"{named}/x-")
+    local = Unconfigured("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Unconfigured("spark://host:7077"))
