@@ -7,6 +7,9 @@ the next block-level tag begins.
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,24 +25,38 @@ BLOCK_EDGE = (
     r"|aside|nav|header|footer|form|blockquote|pre|h[1-6]|hr|body|html)(?:\s[^>]*)?/?>"
 )
 TAG = r"<[^>]*>"
-# In this order; the ampersand comes last.
-ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&amp;", "&"),
-]
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+ENTITY_OR_TEXT = rf"({ENTITY}|[^&]+|&)"
+NAMED_ENTITIES = {f"&{name};": chr(code) for name, code in name2codepoint.items()}
 
 _START, _END = "\u0001", "\u0002"
 
 
 def unescape(text: Column) -> Column:
-    """Resolve the common named entities."""
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    """Resolve named and numeric entities in one pass; unknown ones stay."""
+    named = F.from_json(F.lit(json.dumps(NAMED_ENTITIES)), "map<string,string>")
+
+    def numeric(piece: Column) -> Column:
+        body = F.substr(piece, F.lit(3), F.char_length(piece) - 3)
+        code = F.when(
+            F.lower(F.left(body, F.lit(1))) == "x", F.conv(F.substr(body, F.lit(2)), 16, 10)
+        ).otherwise(body)
+        code = code.cast("int")
+        known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(known, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def resolve(piece: Column) -> Column:
+        value = (
+            F.when(F.startswith(piece, F.lit("&#")), numeric(piece))
+            .when(F.startswith(piece, F.lit("&")), F.try_element_at(named, piece))
+            .otherwise(piece)
+        )
+        return F.coalesce(value, piece)
+
+    pieces = F.regexp_extract_all(text, F.lit(ENTITY_OR_TEXT), F.lit(1))
+    return F.when(
+        F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, resolve), "")
+    ).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:

@@ -79,6 +79,25 @@ def test_page_text(apply):
     ]
 
 
+def test_entities(apply):
+    texts = [
+        "a &amp; b &copy; &eacute;&#8217;&#x1F600; &#38;lt; &amp;lt;",
+        "&unknown; & &; &#0; &#xD800; &#9999999; AT&T &#x;",
+        "none",
+        "&",
+        "",
+        None,
+    ]
+    assert apply(texts, markup.unescape) == [
+        "a & b © é’😀 &lt; &lt;",
+        texts[1],
+        "none",
+        "&",
+        "",
+        None,
+    ]
+
+
 class Blocks(HTMLParser):
     """Text of p and li elements of a page without nested blocks."""
 

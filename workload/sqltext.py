@@ -179,10 +179,26 @@ def whole_mapped(x: str, sheet: str) -> str:
     return f"coalesce((SELECT map(list(old), list(new)) FROM ({sheet}))[{x}], {x})"
 
 
+def _named_entities() -> str:
+    names, values = zip(*markup.NAMED_ENTITIES.items(), strict=True)
+    return f"map([{', '.join(map(text, names))}], [{', '.join(map(text, values))}])"
+
+
 def unescaped(x: str) -> str:
-    for name, char in markup.ENTITIES:
-        x = f"replace({x}, {text(name)}, {text(char)})"
-    return x
+    digits = "p[3:-2]"
+    code = (
+        f"CASE WHEN lower(p[3]) = 'x' THEN TRY_CAST('0x' || p[4:-2] AS INTEGER) "
+        f"ELSE TRY_CAST({digits} AS INTEGER) END"
+    )
+    number = (
+        f"CASE WHEN ({code}) BETWEEN 1 AND 55295 OR ({code}) BETWEEN 57344 AND 1114111 "
+        f"THEN chr({code}) END"
+    )
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({x}, {text(markup.ENTITY_OR_TEXT)}), "
+        f"lambda p: coalesce(CASE WHEN starts_with(p, '&#') THEN {number} "
+        f"WHEN starts_with(p, '&') THEN {_named_entities()}[p] ELSE p END, p)), '')"
+    )
 
 
 def element(x: str, tag: str) -> str:
