@@ -102,24 +102,26 @@ def best_score(df: DataFrame, key: str, value: str, score: str, pos: str) -> Dat
 
 
 def batch_number(
-    df: DataFrame, order_by: Sequence[str], rows: int = BATCH_ROWS, into: str = "batch"
+    df: DataFrame,
+    order_by: Sequence[str] | None = None,
+    rows: int = BATCH_ROWS,
+    into: str = "batch",
 ) -> DataFrame:
-    """Number consecutive chunks of `rows` rows in a total order, from 0.
+    """Number consecutive chunks of `rows` rows, from 0.
 
-    Range partitions are written once with the row's partition and place in
-    it.  The place in the whole order is then the place in the partition plus
-    the rows of all earlier partitions, a table of one row per partition.
-    No window runs over the data.
+    In a total order, or without one in the order the rows are in, which needs
+    no shuffle.  The rows are written once with their partition and place in
+    it.  The place among all rows is then the place in the partition plus the
+    rows of all earlier partitions, a table of one row per partition.  No
+    window runs over the data.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "ranged")
-    place = F.monotonically_increasing_id()
-    (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_place", place)
-        .write.parquet(path)
-    )
+    if order_by:
+        ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    else:
+        ordered = df
+    ordered.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
     ranged = spark.read.parquet(path).select(
         *df.columns,
         F.shiftright("_place", 33).alias("_part"),
@@ -131,19 +133,12 @@ def batch_number(
         .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    if _range_partitions(spark) <= MAX_BROADCAST_ROWS:
+    if offsets.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     number = F.floor((F.col("_before") + F.col("_row")) / rows)
     return ranged.join(offsets, "_part").select(*df.columns, number.alias(into))
 
 
-def _range_partitions(spark) -> int:
-    """Upper bound of the partitions a range shuffle makes, hence of the offset rows."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return max(shuffle, int(initial or 0))
-
-
 def sample_rows(df: DataFrame, key: str, n: int = 1) -> DataFrame:
     """A repeatable sample of n rows: the smallest hashes of the key."""
     return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)

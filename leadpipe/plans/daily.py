@@ -84,7 +84,7 @@ def run_daily(
     """
     existing = scan_existing(spark, target).where(F.col("run_date") != str(as_of))
     new = daily_upload(raw, dims, results, existing, as_of, order_by)
-    batches = sink_append_batches(new, target, as_of, ["JobId"])
+    batches = sink_append_batches(new, target, as_of)
     written = spark.read.parquet(f"{target}/run_date={as_of}").drop("batch", "type")
     sink_dated_csv(written, report, as_of)
     return batches

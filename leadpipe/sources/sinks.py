@@ -34,7 +34,7 @@ def sink_append_batches(
     df: DataFrame,
     target: str,
     run_date: datetime.date | str,
-    order_by: Sequence[str],
+    order_by: Sequence[str] | None = None,
     rows: int = BATCH_ROWS,
 ) -> DataFrame:
     """Append rows in the target layout, numbered in batches; rows per batch.
@@ -49,9 +49,9 @@ def sink_append_batches(
     return written.groupBy("batch").agg(F.count("*").alias("rows"))
 
 
-def _extra(columns: Sequence[str]) -> list[str]:
+def _extra(columns: Sequence[str] | None) -> list[str]:
     """Order columns that are not part of the target layout."""
-    return [c for c in columns if c not in TARGET_FIELDS]
+    return [c for c in columns or () if c not in TARGET_FIELDS]
 
 
 def sink_delete_by_id(target: DataFrame, ids: DataFrame, key: str, path: str) -> DataFrame:

@@ -166,18 +166,18 @@ def link_discovery(spark, sf_dir):
 @query("incremental_upload", "SELECT DISTINCT event_id, user_id, event_type, value FROM events")
 def incremental_upload(spark, sf_dir):
     """Two overlapping arrivals and one without news: every event is appended once."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    half = F.expr("percentile_approx(event_id, 0.5)")
+    events = table(spark, sf_dir, "events")
+    columns = ["event_id", "user_id", "event_type", "value"]
+    schema = events.select(*columns).schema
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "target")
     checkpoint = scratch_path(spark, "stream")
-    middle = events.agg(half.alias("middle"))
-    early = events.join(middle, F.col("event_id") <= F.col("middle"), "left_semi")
-    for arrival in (early, events, early):
-        arrival.write.mode("append").parquet(landing)
+    first_half = F.dayofmonth("ts") <= 15
+    for arrival in (events.where(first_half), events, events.where(first_half)):
+        arrival.select(*columns).write.mode("append").parquet(landing)
         run_incremental(
-            spark, landing, events.schema, target, checkpoint, "event_id", ["user_id", "value"]
+            spark, landing, schema, target, checkpoint, "event_id", ["user_id", "value"]
         )
-    return spark.read.parquet(target).select(*events.columns)
+    return spark.read.parquet(target).select(*columns)
 
 
 # Postings arrive by line number; the second arrival repeats the first.
