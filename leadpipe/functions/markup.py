@@ -108,3 +108,35 @@ def first_heading(html: Column, tag: str = "h2") -> Column:
     """Text of the first heading, NULL without one."""
     headings = F.regexp_extract_all(html, F.lit(element_pattern(tag)), F.lit(1))
     return plain_text(F.get(headings, F.lit(0)))
+
+
+def headed_divs(html: Column, tag: str = "h2") -> Column:
+    """Number of `div` elements that contain a heading, nested ones included.
+
+    Walks over the div and heading tags with one flag per open div.
+    """
+    element_pattern(tag)
+    visible = F.regexp_replace(html, INVISIBLE, "")
+    tags = F.regexp_extract_all(visible, F.lit(rf"(?i)<(/?div|{tag})(?:\s[^>]*)?>"), F.lit(1))
+
+    def state(flags: Column, headed: Column) -> Column:
+        return F.struct(flags.alias("flags"), headed.alias("headed"))
+
+    def step(acc: Column, name: Column) -> Column:
+        flags, headed = acc["flags"], acc["headed"]
+        inner = F.try_element_at(flags, F.lit(-1))
+        return (
+            F.when(F.lower(name) == "div", state(F.array_append(flags, F.lit(0)), headed))
+            .when(
+                F.lower(name) == "/div",
+                state(
+                    F.slice(flags, F.lit(1), F.greatest(F.size(flags) - 1, F.lit(0))),
+                    headed + F.coalesce(inner, F.lit(0)),
+                ),
+            )
+            .otherwise(state(F.transform(flags, lambda _: F.lit(1)), headed))
+        )
+
+    walked = F.aggregate(tags, state(F.array().cast("array<int>"), F.lit(0)), step)
+    unclosed = F.aggregate(walked["flags"], F.lit(0), lambda a, f: a + f)
+    return walked["headed"] + unclosed

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leadpipe.functions import markup
 from leadpipe.functions.postings import SEARCH_PREFIX, is_search_link
-from leadpipe.operators.relational import top1
+from leadpipe.operators.relational import same_key, top1
 
 
 def company_links(
@@ -36,7 +36,7 @@ def company_links(
         F.coalesce("_found", search)
     )
     return (
-        companies.join(found, F.col(link) == F.col("_url"), "left")
+        companies.join(found, same_key(F.col(link), F.col("_url")), "left")
         .withColumn(into, links)
         .drop("_url", "_found")
     )

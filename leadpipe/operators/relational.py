@@ -30,13 +30,31 @@ def dedup_first(df: DataFrame, key: str, order_by: Sequence[str | Column]) -> Da
     )
 
 
-def anti_existing(df: DataFrame, existing: DataFrame, key: str = "JobId") -> DataFrame:
+def same_key(left: Column, right: Column) -> Column:
+    """Join condition for a side that was aggregated by the join key.
+
+    The key alone would let Spark reuse the partitions of the aggregation, and
+    adaptive execution splits a skewed partition only where both join sides
+    come straight from a shuffle.  The second condition, implied by the first,
+    makes it shuffle the aggregated side once more, one row per key, so a hot
+    key on the other side is split over many tasks.
+    """
+    return (left == right) & (F.xxhash64(left) == F.xxhash64(right))
+
+
+def anti_existing(
+    df: DataFrame, existing: DataFrame, key: str = "JobId", unique: bool = False
+) -> DataFrame:
     """Rows whose key the target does not hold yet.
 
-    The distinct collapses repeated target keys before the shuffle and leaves
-    them partitioned by the join key.
+    The distinct collapses repeated target keys before their shuffle.  Rows
+    known to have `unique` keys are joined where they are, without another
+    shuffle if they are partitioned by the key.
     """
-    return df.join(existing.select(key).distinct(), key, "left_anti")
+    known = existing.select(F.col(key).alias("_key")).distinct()
+    if unique:
+        return df.join(known, F.col(key) == F.col("_key"), "left_anti")
+    return df.join(known, same_key(F.col(key), F.col("_key")), "left_anti")
 
 
 def territory_lookup(
@@ -48,7 +66,7 @@ def territory_lookup(
     representatives the first by code is taken.
     """
     reps = territory.groupBy(F.upper("state").alias("_state")).agg(F.min("rep").alias(into))
-    return df.join(reps, F.upper(state) == F.col("_state"), "left").drop("_state")
+    return df.join(reps, same_key(F.upper(state), F.col("_state")), "left").drop("_state")
 
 
 def top1(df: DataFrame, key: str, rank: str | Column, *values: str) -> DataFrame:
@@ -62,7 +80,7 @@ def enrich_top1(
 ) -> DataFrame:
     """First search result of each company name; NULL without results."""
     first = top1(results, "query", "rank", "url").withColumnRenamed("url", into)
-    return df.join(first, F.col(name) == F.col("query"), "left").drop("query")
+    return df.join(first, same_key(F.col(name), F.col("query")), "left").drop("query")
 
 
 def enrich_kg(
@@ -76,7 +94,7 @@ def enrich_kg(
             F.concat("url", F.lit(" ("), F.col("score").cast("string"), F.lit(")")),
         ).alias(into),
     )
-    return df.join(first, F.col(name) == F.col("query"), "left").drop("query")
+    return df.join(first, same_key(F.col(name), F.col("query")), "left").drop("query")
 
 
 def first_account_for_link(
@@ -92,7 +110,7 @@ def first_account_for_link(
         .groupBy(F.col(link).alias("_link"))
         .agg(F.min_by(account, order_by).alias(into))
     )
-    return df.join(first, F.col(link) == F.col("_link"), "left").drop("_link")
+    return df.join(first, same_key(F.col(link), F.col("_link")), "left").drop("_link")
 
 
 def best_score(df: DataFrame, key: str, value: str, score: str, pos: str) -> DataFrame:

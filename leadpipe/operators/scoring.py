@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadpipe.functions import titles as t
+from leadpipe.operators.relational import same_key
 
 BLOCK_ENTRIES = 5_000
 
@@ -210,7 +211,7 @@ def map_whole_title(df: DataFrame, mapping: DataFrame, title: str) -> DataFrame:
         .select(F.col("old").alias("_old"), F.col("new").alias("_new"))
     )
     return (
-        df.join(spelling, F.col(title) == F.col("_old"), "left")
+        df.join(spelling, same_key(F.col(title), F.col("_old")), "left")
         .withColumn(title, F.coalesce("_new", title))
         .drop("_old", "_new")
     )

@@ -36,7 +36,7 @@ def scored_postings(
     """
     clean = clean_postings(raw, as_of, order_by, keep=keep)
     if existing is not None:
-        clean = anti_existing(clean, existing)
+        clean = anti_existing(clean, existing, unique=True)
     scored = filter_score(add_title_score(clean, dims))
     return scored.withColumns(
         {

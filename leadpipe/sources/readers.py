@@ -3,13 +3,25 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadpipe.schemas import DIMENSIONS, PAGES, RAW, SEARCH_RESULTS
 
-# Quotes inside a quoted field are doubled.
-CSV_FORMAT = {"header": True, "escape": '"', "quote": '"'}
+# Quotes inside a quoted field are doubled; blanks at the ends of a field stay.
+CSV_FORMAT = {
+    "header": True,
+    "escape": '"',
+    "quote": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# Fixed values the feed's reader takes for a missing field.
+MISSING = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "N/A", "NA", "NULL", "NaN", "nan",
+]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -27,18 +39,25 @@ def scan_csv(
 ) -> DataFrame:
     """Read the positional CSV feed under declared names and types.
 
-    A feed with more or fewer columns is an error.  Fields may hold line
-    breaks, so a file is read by one task; with `multi_line=False` large
+    A feed with more or fewer columns is an error.  Texts that stand for a
+    missing field are read as null.  Fields may hold line breaks, so a file is read by one task; with `multi_line=False` large
     files without such fields are split.
     """
     header = spark.read.options(**CSV_FORMAT).csv(path).columns
     if len(header) != len(schema):
         raise ValueError(f"expected {len(schema)} columns, found {len(header)}: {header}")
-    return (
+    rows = (
         spark.read.schema(schema)
         .options(**CSV_FORMAT, multiLine=multi_line, enforceSchema=True)
         .csv(path)
     )
+    return missing_to_null(rows)
+
+
+def missing_to_null(df: DataFrame) -> DataFrame:
+    """Null for every text that stands for a missing field."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(~F.col(c).isin(MISSING), F.col(c)) for c in texts})
 
 
 def scan_dims(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
@@ -50,7 +69,7 @@ def scan_dims(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, D
     }
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -67,7 +86,7 @@ def scan_existing(
     A target that does not exist yet holds none.
     """
     name = partition.split()[0]
-    table = _read_or_empty(spark, target, f"{id_field} string, {partition}")
+    table = read_or_empty(spark, target, f"{id_field} string, {partition}")
     return table.select(table[id_field].alias("JobId"), name)
 
 
@@ -79,3 +98,29 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
 def scan_search_results(spark: SparkSession, path: str) -> DataFrame:
     """Ranked results per company name."""
     return spark.read.schema(SEARCH_RESULTS).parquet(path)
+
+
+def search_results_from_json(responses: DataFrame) -> DataFrame:
+    """Ranked results from raw search responses (`query, response`)."""
+    items = F.from_json("response", "items array<struct<formattedUrl:string>>")
+    return _ranked(responses, items["items"]).select(
+        "query", "rank", F.col("item.formattedUrl").alias("url"), F.lit(None).cast("double").alias("score")
+    )
+
+
+def entities_from_json(responses: DataFrame) -> DataFrame:
+    """Ranked entities from raw entity-search responses (`query, response`)."""
+    schema = "itemListElement array<struct<result:struct<url:string>,resultScore:double>>"
+    items = F.from_json("response", schema)
+    return _ranked(responses, items["itemListElement"]).select(
+        "query",
+        "rank",
+        F.col("item.result.url").alias("url"),
+        F.col("item.resultScore").alias("score"),
+    )
+
+
+def _ranked(responses: DataFrame, items: Column) -> DataFrame:
+    """One row per item, ranked from 1 in the order of the response."""
+    ranked = responses.select("query", F.posexplode(items).alias("pos", "item"))
+    return ranked.withColumn("rank", (F.col("pos") + 1).cast("bigint"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from leadpipe.functions.postings import truncate_rate
 from leadpipe.operators.projection import map_target_fields
-from leadpipe.operators.relational import BATCH_ROWS, batch_number
+from leadpipe.operators.relational import BATCH_ROWS, anti_existing, batch_number, same_key
 from leadpipe.schemas import TARGET_FIELDS
 from leadpipe.sources.readers import CSV_FORMAT
 
@@ -56,8 +56,7 @@ def _extra(columns: Sequence[str] | None) -> list[str]:
 
 def sink_delete_by_id(target: DataFrame, ids: DataFrame, key: str, path: str) -> DataFrame:
     """Rewrite the rows whose id is not listed to a new path."""
-    listed = ids.select(key).distinct()
-    target.join(listed, key, "left_anti").write.parquet(path)
+    anti_existing(target, ids, key).write.parquet(path)
     return target.sparkSession.read.schema(target.schema).parquet(path)
 
 
@@ -76,9 +75,9 @@ def sink_update_by_id(
     """
     new = truncate_rate(F.col(field))
     last = F.max_by(new, order_by) if order_by else F.max(new)
-    latest = updates.groupBy(key).agg(last.alias("_new"))
+    latest = updates.groupBy(F.col(key).alias("_key")).agg(last.alias("_new"))
     (
-        target.join(latest, key, "left")
+        target.join(latest, same_key(F.col(key), F.col("_key")), "left")
         .withColumn(field, F.coalesce("_new", field))
         .select(*target.columns)
         .write.parquet(path)

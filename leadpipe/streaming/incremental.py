@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadpipe.operators.relational import anti_existing, dedup_first
-from leadpipe.sources.readers import _read_or_empty
+from leadpipe.sources.readers import CSV_FORMAT, missing_to_null, read_or_empty
 
 
 def incremental_upload(
@@ -22,6 +22,7 @@ def incremental_upload(
     order_by: Sequence[str] | None = None,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     files_per_batch: int | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Process all files that arrived since the last call, then stop.
 
@@ -30,22 +31,25 @@ def incremental_upload(
     replayed one does not see its own rows and replaces them, so a failure
     between writing and committing leaves no duplicates.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**CSV_FORMAT, multiLine=True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def upload(batch: DataFrame, batch_id: int) -> None:
+        batch = missing_to_null(batch) if fmt == "csv" else batch
         rows = prepare(batch) if prepare else batch
         key_type = rows.schema[key].dataType.simpleString()
-        known = _read_or_empty(spark, target, f"{key} {key_type}, batch_id bigint")
+        known = read_or_empty(spark, target, f"{key} {key_type}, batch_id bigint")
         known = known.where(F.col("batch_id") != batch_id)
         first = dedup_first(rows, key, order_by) if order_by else rows
-        anti_existing(first, known, key).write.mode("overwrite").parquet(
+        anti_existing(first, known, key, unique=True).write.mode("overwrite").parquet(
             f"{target}/batch_id={batch_id}"
         )
 
     (
-        reader.parquet(landing)
+        reader.load(landing)
         .writeStream.foreachBatch(upload)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -6,6 +6,7 @@ import pytest
 
 from leadpipe.plans import cleaning, daily
 from leadpipe.schemas import CLEAN_COLUMNS, RAW_COLUMNS, UPLOAD_COLUMNS
+from leadpipe.sources.readers import CSV_FORMAT
 from leadpipe.streaming import incremental
 from workload.data import dims
 
@@ -141,3 +142,14 @@ def test_incremental_upload_and_replay(spark, frame, tmp_path):
     # A lost checkpoint replays everything as batch 0, which replaces its rows only.
     assert {i for i, _ in run("lost")} == {"a", "b", "c"}
     assert spark.read.schema(schema).parquet(target).count() == 3
+
+
+def test_incremental_upload_from_csv(spark, frame, tmp_path):
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
+    rows = frame([("a", "one\ntwo"), ("b", " x "), ("c", None)], "id string, v string")
+    rows.coalesce(1).write.options(**CSV_FORMAT).csv(landing)
+    incremental.incremental_upload(
+        spark, landing, rows.schema, target, str(tmp_path / "checkpoint"), "id", ["v"], fmt="csv"
+    )
+    found = spark.read.schema(rows.schema).parquet(target).collect()
+    assert {(r.id, r.v) for r in found} == {("a", "one\ntwo"), ("b", " x "), ("c", None)}

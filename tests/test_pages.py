@@ -142,3 +142,12 @@ def test_heading(apply):
     html = ["<h1>a</h1><H2 id=x>b <i>c</i></H2><h2>d</h2>", "<p>none</p>"]
     assert apply(html, markup.first_heading) == ["b c", None]
     assert apply(html, lambda c: markup.first_heading(c, "h1")) == ["a", None]
+
+
+def test_headed_divs(apply):
+    html = [
+        "<div><div><h2>a</h2></div><div>b</div></div>",
+        "<h2>a</h2><div>b</div></div><div class=x>c<H2 id=1>d</H2>",
+        "<!-- <div><h2></h2></div> --><p>x</p>",
+    ]
+    assert apply(html, markup.headed_divs) == [2, 1, 0]

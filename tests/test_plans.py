@@ -4,7 +4,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from __spark_entry__ import oracle_sql, queries
+from leadpipe.operators import relational
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,7 +58,7 @@ def test_daily_upload_keeps_the_partitioning_by_id(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Once for the postings (deduplication and anti-join share it), once for the known ids.
-    assert len(re.findall(r"Exchange hashpartitioning\(JobId", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\((JobId|_key)#", text)) == 2
 
 
 def test_batches_need_no_window_over_the_rows(spark):
@@ -66,3 +69,36 @@ def test_batches_need_no_window_over_the_rows(spark):
 
 def test_every_query_with_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_hot_keys_are_split_in_lookups(spark):
+    """With joins shuffled, adaptive execution splits the partition of a hot key."""
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        name = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id")))
+        rows = spark.range(0, 90_000, 1, 8).select("id", name.alias("AccountName"))
+        results = spark.range(0, 90_000, 1, 8).select(
+            F.concat(F.lit("n"), "id").alias("query"),
+            F.lit(1).alias("rank"),
+            F.col("id").cast("string").alias("url"),
+        )
+        old = results.select(F.col("query").alias("AccountName"))
+        jobs = {
+            relational.enrich_top1(rows, results): 90_000,
+            relational.first_account_for_link(rows, "id", link="AccountName", account="id"): 90_000,
+            relational.anti_existing(rows, old, "AccountName"): 30_000,
+        }
+        for found, n in jobs.items():
+            assert len(found.collect()) == n
+            assert "skew=true" in plan(found)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

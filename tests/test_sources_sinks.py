@@ -28,6 +28,28 @@ def test_csv_feed_with_another_column_count(spark, tmp_path):
         readers.scan_csv(spark, str(tmp_path / "feed.csv"))
 
 
+def test_missing_fields(spark, tmp_path):
+    (tmp_path / "feed.csv").write_text('a,b,c\nNA,"", x \nnan,n/a?,\n')
+    rows = readers.scan_csv(spark, str(tmp_path), frame_schema(spark)).collect()
+    assert [tuple(r) for r in rows] == [(None, None, " x "), (None, "n/a?", None)]
+
+
+def frame_schema(spark):
+    return spark.createDataFrame([], "a string, b string, c string").schema
+
+
+def test_responses(frame):
+    found = '{"items": [{"formattedUrl": "u1", "x": 1}, {"formattedUrl": "u2"}]}'
+    rows = frame([("q", found), ("none", "{}"), ("bad", "?")], "query string, response string")
+    assert {tuple(r) for r in readers.search_results_from_json(rows).collect()} == {
+        ("q", 1, "u1", None),
+        ("q", 2, "u2", None),
+    }
+    found = '{"itemListElement": [{"result": {"url": "u"}, "resultScore": 2.5}]}'
+    rows = frame([("q", found)], "query string, response string")
+    assert [tuple(r) for r in readers.entities_from_json(rows).collect()] == [("q", 1, "u", 2.5)]
+
+
 def test_existing_of_a_new_target(spark, tmp_path):
     assert readers.scan_existing(spark, str(tmp_path / "none")).count() == 0
     empty = tmp_path / "empty"

@@ -120,3 +120,30 @@ def first_heading(spark, sf_dir):
         markup.first_heading(F.col("html"), "h1").alias("heading"),
         markup.first_heading(F.col("html")).alias("second_level"),
     )
+
+
+_DIV_PAGES = """
+SELECT page_id, replace(replace(replace(html, '<article>', '<div><div class="x">'),
+  '</article>', '</div>'), '<nav>', '<div><nav>') AS html FROM {pages}
+"""
+_DIVS = f"""
+SELECT page_id, list_reduce(
+  list_transform(regexp_extract_all(regexp_replace(html, {q.text(markup.INVISIBLE)}, '', 'g'),
+    '(?i)<(/?div|h1)(?:\\s[^>]*)?>', 1),
+    lambda t: {{'tag': lower(t), 'flags': []::INTEGER[], 'headed': 0}}),
+  lambda a, e: CASE e.tag
+    WHEN 'div' THEN {{'tag': '', 'flags': list_append(a.flags, 0), 'headed': a.headed}}
+    WHEN '/div' THEN {{'tag': '', 'flags': a.flags[:-2], 'headed': a.headed + coalesce(a.flags[-1], 0)}}
+    ELSE {{'tag': '', 'flags': list_transform(a.flags, lambda f: 1), 'headed': a.headed}} END,
+  {{'tag': '', 'flags': []::INTEGER[], 'headed': 0}}) AS walked
+FROM ({_DIV_PAGES.format(pages='pages')})"""
+
+
+@query(
+    "headed_divs",
+    f"SELECT page_id, CAST(walked.headed + coalesce(list_sum(walked.flags), 0) AS INTEGER) AS divs "
+    f"FROM ({_DIVS})",
+)
+def headed_divs(spark, sf_dir):
+    pages_with_divs = spark.sql(_DIV_PAGES, pages=table(spark, sf_dir, "pages"))
+    return pages_with_divs.select("page_id", markup.headed_divs(F.col("html"), "h1").alias("divs"))

@@ -42,8 +42,7 @@ def scan_csv_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text", "lang"
     )
-    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    docs.write.options(**readers.CSV_FORMAT, **keep_blanks).csv(path)
+    docs.write.options(**readers.CSV_FORMAT).csv(path)
     return readers.scan_csv(spark, path, docs.schema)
 
 
@@ -103,6 +102,45 @@ def scan_search_results(spark, sf_dir):
     return readers.scan_search_results(spark, path)
 
 
+_RESPONSES = """
+SELECT c_name AS query,
+  concat('{{"items": [{{"formattedUrl": "https://www.example.com/', o_orderkey, '"}}, ',
+    '{{"formattedUrl": "https://www.example.org/', o_orderkey, '", "title": "x"}}]}}') AS results,
+  concat('{{"itemListElement": [{{"resultScore": ', o_totalprice,
+    ', "result": {{"name": "x", "url": "https://www.example.com/', o_orderkey, '"}}}}, ',
+    '{{"result": {{"name": "no address"}}}}]}}') AS entities
+FROM {customer} JOIN {orders} ON c_custkey = o_custkey
+"""
+
+
+def _responses(spark, sf_dir, column):
+    tables = {t: table(spark, sf_dir, t) for t in ("customer", "orders")}
+    return spark.sql(_RESPONSES, **tables).select("query", F.col(column).alias("response"))
+
+
+@query(
+    "search_results_from_json",
+    """SELECT c_name AS query, CAST(1 AS BIGINT) AS rank,
+         concat('https://www.example.com/', o_orderkey) AS url, CAST(NULL AS DOUBLE) AS score
+       FROM customer JOIN orders ON c_custkey = o_custkey UNION ALL
+       SELECT c_name, 2, concat('https://www.example.org/', o_orderkey), NULL
+       FROM customer JOIN orders ON c_custkey = o_custkey""",
+)
+def search_results_from_json(spark, sf_dir):
+    return readers.search_results_from_json(_responses(spark, sf_dir, "results"))
+
+
+@query(
+    "entities_from_json",
+    """SELECT c_name AS query, CAST(1 AS BIGINT) AS rank,
+         concat('https://www.example.com/', o_orderkey) AS url, o_totalprice AS score
+       FROM customer JOIN orders ON c_custkey = o_custkey UNION ALL
+       SELECT c_name, 2, NULL, NULL FROM customer JOIN orders ON c_custkey = o_custkey""",
+)
+def entities_from_json(spark, sf_dir):
+    return readers.entities_from_json(_responses(spark, sf_dir, "entities"))
+
+
 @query("sink_dated_csv", f"SELECT {RAW_SQL}, '{AS_OF}' AS run_date FROM ({POSTINGS_SQL})")
 def sink_dated_csv(spark, sf_dir):
     target = scratch_path(spark, "dated")
