@@ -119,42 +119,49 @@ def best_score(df: DataFrame, key: str, value: str, score: str, pos: str) -> Dat
     return df.groupBy(key).agg(best.alias("_best")).select(key, "_best.*")
 
 
-def batch_number(
-    df: DataFrame,
-    order_by: Sequence[str] | None = None,
-    rows: int = BATCH_ROWS,
-    into: str = "batch",
+def number_rows(
+    df: DataFrame, order_by: Sequence[str | Column] | None = None, into: str = "nth"
 ) -> DataFrame:
-    """Number consecutive chunks of `rows` rows, from 0.
+    """Number all rows from 0 without a window over the data.
 
     In a total order, or without one in the order the rows are in, which needs
     no shuffle.  The rows are written once with their partition and place in
     it.  The place among all rows is then the place in the partition plus the
-    rows of all earlier partitions, a table of one row per partition.  No
-    window runs over the data.
+    rows of all earlier partitions, a table of one row per partition.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "ranged")
+    path = scratch_path(spark, "numbered")
     if order_by:
         ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     else:
         ordered = df
     ordered.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
-    ranged = spark.read.parquet(path).select(
+    written = spark.read.parquet(path).select(
         *df.columns,
         F.shiftright("_place", 33).alias("_part"),
         F.col("_place").bitwiseAND((1 << 33) - 1).alias("_row"),
     )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_part")
+        written.groupBy("_part")
         .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
     if offsets.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    number = F.floor((F.col("_before") + F.col("_row")) / rows)
-    return ranged.join(offsets, "_part").select(*df.columns, number.alias(into))
+    nth = F.col("_before") + F.col("_row")
+    return written.join(offsets, "_part").select(*df.columns, nth.alias(into))
+
+
+def batch_number(
+    df: DataFrame,
+    order_by: Sequence[str | Column] | None = None,
+    rows: int = BATCH_ROWS,
+    into: str = "batch",
+) -> DataFrame:
+    """Number consecutive chunks of `rows` rows, from 0; see `number_rows`."""
+    numbered = number_rows(df, order_by, into)
+    return numbered.withColumn(into, F.floor(F.col(into) / rows))
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 1) -> DataFrame:

@@ -16,26 +16,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadpipe.functions import titles as t
-from leadpipe.operators.relational import same_key
+from leadpipe.operators.relational import number_rows, same_key
 
 BLOCK_ENTRIES = 5_000
 
 
 @dataclass(frozen=True)
 class Sheet:
-    """One dictionary in lookup order, as rows (block, entries).
+    """One dictionary in lookup order, as rows (block, entries)."""
 
-    The rows of the source sheet bound the number of entries.
-    """
-
-    source: DataFrame
     rows: DataFrame
+    blocks: int
     entries_type: str
-    block_entries: int
-
-    @cached_property
-    def blocks(self) -> int:
-        return max(1, -(-self.source.count() // self.block_entries))
 
     def constants(self) -> list[Column]:
         """The entries of each block as a constant array."""
@@ -70,14 +62,6 @@ def look_up(
     )
 
 
-@dataclass(frozen=True)
-class TitleSheets:
-    levels: Sheet
-    targets: Sheet
-    keywords: Sheet
-    spelling: Sheet
-
-
 def keep_last(df: DataFrame, key: str, *values: str) -> DataFrame:
     """One row per key: its first position, its last values (a keyed lookup's view)."""
     return (
@@ -87,89 +71,114 @@ def keep_last(df: DataFrame, key: str, *values: str) -> DataFrame:
     )
 
 
-def sort_by_length(df: DataFrame, entry: str, pos: str = "pos") -> DataFrame:
+def is_small(df: DataFrame, limit: int = BLOCK_ENTRIES) -> bool:
+    """Whether a table has at most `limit` rows; reads no more than it must."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def in_order(df: DataFrame, order_by: list[Column], into: str, small: bool) -> DataFrame:
+    """Number rows from 1: a small table in one task, any other in many."""
+    if small:
+        return df.withColumn(into, F.row_number().over(Window.orderBy(*order_by)))
+    return number_rows(df, order_by, into).withColumn(into, (F.col(into) + 1).cast("int"))
+
+
+def sort_by_length(
+    df: DataFrame, entry: str, pos: str = "pos", small: bool | None = None
+) -> DataFrame:
     """Number dictionary entries longest first, equal lengths in sheet order."""
-    order = Window.orderBy(F.char_length(entry).desc(), F.col(pos))
-    return df.withColumn("lookup_order", F.row_number().over(order))
+    small = is_small(df) if small is None else small
+    return in_order(df, [F.char_length(entry).desc(), F.col(pos).asc()], "lookup_order", small)
 
 
-def rank_levels(no_match_levels: DataFrame) -> DataFrame:
+def rank_levels(no_match_levels: DataFrame, small: bool | None = None) -> DataFrame:
     """Rank canonical levels by their stand-alone points, best first."""
+    small = is_small(no_match_levels) if small is None else small
     levels = keep_last(no_match_levels, "job_level", "points")
-    order = Window.orderBy(F.col("points").desc_nulls_last(), F.col("pos"))
-    return levels.withColumn("rank", F.row_number().over(order))
+    return in_order(levels, [F.col("points").desc_nulls_last(), F.col("pos").asc()], "rank", small)
 
 
-def _sheet(
-    source: DataFrame, df: DataFrame, entry: Column, entries_type: str, block_entries: int
-) -> Sheet:
-    """Pack rows numbered by `lookup_order` into blocks of ordered arrays."""
-    numbered = df.select(
-        ((F.col("lookup_order") - 1) / block_entries).cast("int").alias("block"),
-        F.struct("lookup_order", entry.alias("entry")).alias("item"),
-    )
-    in_order = F.array_sort(
-        F.collect_list("item"), lambda a, b: a["lookup_order"] - b["lookup_order"]
-    )
-    rows = numbered.groupBy("block").agg(F.transform(in_order, lambda i: i["entry"]).alias("entries"))
-    return Sheet(source, rows, entries_type, block_entries)
+class TitleSheets:
+    """The dictionaries of the scoring rule; each is packed when first used.
 
+    A sheet of at most `block_entries` rows is read into one partition, so no
+    step on it exchanges anything, and makes one block.
+    """
 
-def prepare_sheets(dims: dict[str, DataFrame], block_entries: int = BLOCK_ENTRIES) -> TitleSheets:
-    """Order, link and pack the five sheets.
+    def __init__(self, dims: dict[str, DataFrame], block_entries: int = BLOCK_ENTRIES):
+        self.dims, self.block_entries = dims, block_entries
 
-    Numbering a sheet is a global order, hence one task; with the rows already
-    in one partition the steps before it need no exchange either.
-    """
-    dims = {name: sheet.coalesce(1) for name, sheet in dims.items()}
-    ranks = rank_levels(dims["no_match_levels"]).select(
-        F.col("job_level").alias("sfdc"), "rank", "points"
-    )
-    levels = keep_last(dims["level_mapping"], "actual", "sfdc").join(ranks, "sfdc", "left")
-    targets = (
-        dims["title_matrix"]
-        .where(F.col("title").isNotNull() & (F.col("title") != ""))
-        .groupBy("title", "level")
-        .agg(F.min("pos").alias("pos"), F.max_by("points", "pos").alias("points"))
-        .groupBy("title")
-        .agg(
-            F.min("pos").alias("pos"),
-            F.map_from_entries(F.collect_list(F.struct("level", "points"))).alias("points"),
+    def _source(self, name: str) -> tuple[DataFrame, bool]:
+        sheet = self.dims[name]
+        small = is_small(sheet, self.block_entries)
+        return (sheet.coalesce(1) if small else sheet), small
+
+    def _pack(self, numbered: DataFrame, entry: Column, entries_type: str, small: bool) -> Sheet:
+        """Rows numbered by `lookup_order` as blocks of ordered arrays."""
+        items = numbered.select(
+            ((F.col("lookup_order") - 1) / self.block_entries).cast("int").alias("block"),
+            F.struct("lookup_order", entry.alias("entry")).alias("item"),
         )
-        .withColumn("lookup_order", F.row_number().over(Window.orderBy("pos", "title")))
-    )
-    keywords = keep_last(dims["keywords"], "keyword", "points")
-    spelling = keep_last(dims["mapping"], "old", "new").where(F.col("new").isNotNull())
-    return TitleSheets(
-        levels=_sheet(
-            dims["level_mapping"],
-            sort_by_length(levels, "actual"),
-            F.struct(F.col("actual").alias("entry"), F.col("sfdc").alias("level"), "rank", "points"),
-            t.LEVELS,
-            block_entries,
-        ),
-        targets=_sheet(
-            dims["title_matrix"],
-            targets,
-            F.struct(F.col("title").alias("entry"), "points"),
-            t.TARGETS,
-            block_entries,
-        ),
-        keywords=_sheet(
-            dims["keywords"],
-            sort_by_length(keywords, "keyword"),
-            F.struct(F.col("keyword").alias("entry"), "points"),
-            t.KEYWORDS,
-            block_entries,
-        ),
-        spelling=_sheet(
-            dims["mapping"],
-            sort_by_length(spelling, "old"),
-            F.struct(F.col("old").alias("entry"), "new"),
-            t.SPELLING,
-            block_entries,
-        ),
-    )
+        in_block = F.array_sort(
+            F.collect_list("item"), lambda a, b: a["lookup_order"] - b["lookup_order"]
+        )
+        entries = F.transform(in_block, lambda i: i["entry"]).alias("entries")
+        last = 1 if small else numbered.agg(F.max("lookup_order")).first()[0] or 0
+        blocks = max(1, -(-last // self.block_entries))
+        return Sheet(items.groupBy("block").agg(entries), blocks, entries_type)
+
+    @cached_property
+    def levels(self) -> Sheet:
+        """Levels longest first with their canonical name, rank and own points."""
+        mapping, small = self._source("level_mapping")
+        ranking, few_ranks = self._source("no_match_levels")
+        ranks = rank_levels(ranking, few_ranks).select(
+            F.col("job_level").alias("sfdc"), "rank", "points"
+        )
+        levels = keep_last(mapping, "actual", "sfdc").join(ranks, "sfdc", "left")
+        entry = F.struct(
+            F.col("actual").alias("entry"), F.col("sfdc").alias("level"), "rank", "points"
+        )
+        return self._pack(sort_by_length(levels, "actual", small=small), entry, t.LEVELS, small)
+
+    @cached_property
+    def targets(self) -> Sheet:
+        """Target titles in sheet order with their points per level."""
+        matrix, small = self._source("title_matrix")
+        targets = (
+            matrix.where(F.col("title").isNotNull() & (F.col("title") != ""))
+            .groupBy("title", "level")
+            .agg(F.min("pos").alias("pos"), F.max_by("points", "pos").alias("points"))
+            .groupBy("title")
+            .agg(
+                F.min("pos").alias("pos"),
+                F.map_from_entries(F.collect_list(F.struct("level", "points"))).alias("points"),
+            )
+        )
+        order = [F.col("pos").asc(), F.col("title").asc()]
+        entry = F.struct(F.col("title").alias("entry"), "points")
+        return self._pack(in_order(targets, order, "lookup_order", small), entry, t.TARGETS, small)
+
+    @cached_property
+    def keywords(self) -> Sheet:
+        """Keywords longest first with their points."""
+        source, small = self._source("keywords")
+        numbered = sort_by_length(keep_last(source, "keyword", "points"), "keyword", small=small)
+        entry = F.struct(F.col("keyword").alias("entry"), "points")
+        return self._pack(numbered, entry, t.KEYWORDS, small)
+
+    @cached_property
+    def spelling(self) -> Sheet:
+        """Old and new spellings."""
+        source, small = self._source("mapping")
+        known = keep_last(source, "old", "new").where(F.col("new").isNotNull())
+        entry = F.struct(F.col("old").alias("entry"), "new")
+        return self._pack(sort_by_length(known, "old", small=small), entry, t.SPELLING, small)
+
+
+def prepare_sheets(dims: dict[str, DataFrame], block_entries: int = BLOCK_ENTRIES) -> TitleSheets:
+    """Order, link and pack the five sheets."""
+    return TitleSheets(dims, block_entries)
 
 
 def find_levels(df: DataFrame, sheets: TitleSheets, title: str, into: str = "levels") -> DataFrame:

@@ -15,7 +15,7 @@ from leadpipe.operators.relational import dedup_first
 from leadpipe.schemas import CLEAN_COLUMNS, RAW_COLUMNS
 
 # Needed for the clean layout; `url` and `job_date` are not.
-_PAYLOAD = [
+_TEXTS = [
     "job_link",
     "title",
     "company_link",
@@ -64,6 +64,7 @@ def clean_postings(
     `keep` names further columns to carry along.
     """
     extra = [c for c in dict.fromkeys([*order_by, *keep]) if c not in RAW_COLUMNS]
+    extra_kept = [c for c in keep if c not in order_by]
     rows = rename_positional(raw.select(*RAW_COLUMNS, *extra), [*RAW_COLUMNS, *extra])
     narrow = rows.where(can_be_cleaned()).withColumns(
         {
@@ -72,18 +73,17 @@ def clean_postings(
         }
     )
     fresh = F.col("days_ago") < p.MAX_AGE_DAYS
-    ordered_raw = [c for c in order_by if c in _PAYLOAD]
-    narrow = narrow.withColumns(
-        {c: F.when(fresh, F.col(c)) for c in _PAYLOAD if c not in ordered_raw}
-    ).select(*_PAYLOAD, "JobId", "days_ago", *extra)
+    narrow = narrow.select(
+        "JobId", "days_ago", *order_by, *extra_kept, F.when(fresh, F.struct(*_TEXTS)).alias("texts")
+    )
     recent = filter_recent(dedup_first(narrow, "JobId", order_by))
     clean = recent.select(
-        "job_link",
-        "title",
-        "company_link",
-        p.title_case(F.col("account_name")),
-        "job_location",
-        p.clean_description(F.col("job_description")),
+        "texts.job_link",
+        "texts.title",
+        "texts.company_link",
+        p.title_case(F.col("texts.account_name")),
+        "texts.job_location",
+        p.clean_description(F.col("texts.job_description")),
         "JobId",
         p.post_date(F.col("days_ago"), as_of),
         *keep,

@@ -31,6 +31,16 @@ def _plain(value):
     return value
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _bag(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
@@ -46,6 +56,10 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> str:
     columns = [c[0] for c in result.description]
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    types = {c[0]: str(c[1]) for c in result.description}
+    for column, spark_type in df.dtypes:
+        if TYPES.get(spark_type, spark_type) != types[column]:
+            return f"type of {column}: {spark_type} != {types[column]}"
     expected = _bag(result.fetchall(), columns)
     found = _bag(rows, df.columns)
     if found == expected:
