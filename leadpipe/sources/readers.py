@@ -34,8 +34,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+# Order of a feed's rows: by file name, then as in the file.
+FEED_ORDER = ["feed_file", "feed_block", "feed_row"]
+
+
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = RAW,
+    multi_line: bool = True,
+    with_order: bool = False,
 ) -> DataFrame:
     """Read the positional CSV feed under declared names and types.
 
@@ -51,12 +59,23 @@ def scan_csv(
         .options(**CSV_FORMAT, multiLine=multi_line, enforceSchema=True)
         .csv(path)
     )
-    return missing_to_null(rows)
+    if with_order:
+        rows = rows.select(
+            "*",
+            F.col("_metadata.file_path").alias("feed_file"),
+            F.col("_metadata.file_block_start").alias("feed_block"),
+            F.monotonically_increasing_id().alias("feed_row"),
+        )
+    return missing_to_null(rows, schema.fieldNames())
 
 
-def missing_to_null(df: DataFrame) -> DataFrame:
+def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Null for every text that stands for a missing field."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    texts = [
+        f.name
+        for f in df.schema
+        if isinstance(f.dataType, T.StringType) and f.name in (columns or df.columns)
+    ]
     return df.withColumns({c: F.when(~F.col(c).isin(MISSING), F.col(c)) for c in texts})
 
 

@@ -34,6 +34,24 @@ def test_missing_fields(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(None, None, " x "), (None, "n/a?", None)]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_feed_order(spark, tmp_path, multi_line):
+    """Files by name, whatever their size, and rows as in the file."""
+    sizes = {"a": 3, "b": 4_000, "c": 50}
+    for name, n in sizes.items():
+        rows = "".join(f"{name},{i},{'x' * 20}\n" for i in range(n))
+        (tmp_path / f"{name}.csv").write_text("a,b,c\n" + rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        feed = readers.scan_csv(
+            spark, str(tmp_path), frame_schema(spark), multi_line=multi_line, with_order=True
+        )
+        found = [(r.a, int(r.b)) for r in feed.orderBy(*readers.FEED_ORDER).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == [(name, i) for name, n in sizes.items() for i in range(n)]
+
+
 def frame_schema(spark):
     return spark.createDataFrame([], "a string, b string, c string").schema
 
