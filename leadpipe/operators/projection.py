@@ -51,3 +51,14 @@ def conditional_assign(df: DataFrame, column: str, mask: Column, value: Column)
 def add_run_constants(df: DataFrame, as_of: datetime.date) -> DataFrame:
     """The constant columns a run starts from: its date and an age of 0 days."""
     return df.withColumns({"post_date": F.lit(as_of), "days_ago": F.lit(0)})
+
+
+def compute_once(df: DataFrame, *columns: str) -> DataFrame:
+    """Keep later filters from repeating the work of costly columns.
+
+    Spark pushes a filter below a projection by copying the expressions it
+    uses.  It does not push one below a generator, here of exactly one row.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    once = df.select(*kept, F.inline(F.array(F.struct(*columns))))
+    return once.select(*[F.col(f"`{c}`") for c in df.columns])

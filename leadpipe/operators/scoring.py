@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadpipe.functions import titles as t
+from leadpipe.operators.projection import compute_once
 from leadpipe.operators.relational import number_rows, same_key
 
 BLOCK_ENTRIES = 5_000
@@ -196,16 +197,6 @@ def find_keywords(df: DataFrame, sheets: TitleSheets, text: str, into: str = "ke
     return look_up(df, text, into, [sheets.keywords], t.find_keywords)
 
 
-def compute_once(df: DataFrame, column: str) -> DataFrame:
-    """Keep later filters from repeating the work of a costly column.
-
-    Spark pushes a filter below a projection by copying the expressions it
-    uses.  It does not push one below a generator, here of exactly one row.
-    """
-    kept = [F.col(f"`{c}`") for c in df.columns if c != column]
-    return df.select(*kept, F.explode(F.array(column)).alias(column))
-
-
 def score_title(df: DataFrame, sheets: TitleSheets, title: str, into: str = "score") -> DataFrame:
     """Add struct(title_level, new_title, points) for a cleaned title."""
     used = [sheets.levels, sheets.targets, sheets.keywords]

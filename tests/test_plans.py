@@ -34,7 +34,7 @@ def test_title_is_scored_once(spark):
     assert len(filters) == 1
     assert "aggregate(" not in filters[0]
     # No row carries the dictionary entries.
-    assert text.count("Generate explode") == 1
+    assert text.count("Generate inline(array(struct(score") == 1
 
 
 def test_only_needed_columns_are_read(spark):
