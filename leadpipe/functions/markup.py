@@ -88,7 +88,8 @@ def outside_links(targets: Column, pattern: str = LINK_PATTERN) -> Column:
 
 def sidebar_link(html: Column, css_class: str, container: str = "dd") -> Column:
     """First link in a container after the start of the first element of a class."""
-    start = rf"""(?is)<[a-z][a-z0-9]*\s(?:[^>]*?\s)?class\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["'][^>]*>(.*)"""
+    named = rf"""class\s*=\s*["'](?:[^"']*\s)?{css_class}(?:\s[^"']*)?["']"""
+    start = rf"(?is)<[a-z][a-z0-9]*\s(?:[^>]*?\s)?{named}[^>]*>(.*)"
     below = F.regexp_extract(html, start, 1)
     return F.get(hrefs_in(below, container), F.lit(0))
 

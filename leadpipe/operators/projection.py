@@ -29,12 +29,14 @@ def swap_column(df: DataFrame, old: str, new: str) -> DataFrame:
     return drop_columns(df, old).withColumnRenamed(new, old)
 
 
-def map_target_fields(df: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+def map_target_fields(
+    df: DataFrame, fields: dict[str, str] | None = None, tag: str = TARGET_TYPE
+) -> DataFrame:
     """Rename to the fields of the target object and add its type tag."""
     fields = TARGET_FIELDS if fields is None else fields
     return df.select(
         *[F.col(source).alias(field) for source, field in fields.items()],
-        F.lit(TARGET_TYPE).alias("type"),
+        F.lit(tag).alias("type"),
     )
 
 

@@ -1,9 +1,13 @@
 """Title scoring against the five dimension sheets.
 
-The sheets are hand-kept, but their size is still checked: each is cut into
-blocks of at most `BLOCK_ENTRIES` entries, and a block reaches the rows as a
-constant (a scalar subquery), never as a join side.  A search goes on from
-block to block, so any size gives the same result.
+A search consumes the title entry by entry in a fixed order, so every title
+meets every entry: the dictionaries belong next to the rows, not into a join.
+They are hand-kept sheets, but their size is still checked.  Up to
+`BLOCK_ENTRIES` rows a sheet is ordered in one task and makes one block; a
+larger one is ordered by many tasks and cut into blocks of that size, each
+built by a task of its own.  A block reaches the rows as a constant (a scalar
+subquery) and a search goes on from block to block with the same result.  A
+million entries, all a workbook sheet can hold, are about 100 MB of constants.
 """
 
 from __future__ import annotations

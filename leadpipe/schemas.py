@@ -54,7 +54,7 @@ TARGET_FIELDS = {
     "titleScore": "Title_Score__c",
     "State": "State__c",
 }
-TARGET_TYPE = "JobPosting__c"
+TARGET_TYPE = "Posting__c"
 
 RAW = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 

@@ -48,8 +48,9 @@ def scan_csv(
     """Read the positional CSV feed under declared names and types.
 
     A feed with more or fewer columns is an error.  Texts that stand for a
-    missing field are read as null.  Fields may hold line breaks, so a file is read by one task; with `multi_line=False` large
-    files without such fields are split.
+    missing field are read as null.  Fields may hold line breaks, so a file is
+    read by one task; with `multi_line=False` large files without such fields
+    are split.
     """
     header = spark.read.options(**CSV_FORMAT).csv(path).columns
     if len(header) != len(schema):

@@ -27,9 +27,10 @@ def incremental_upload(
     """Process all files that arrived since the last call, then stop.
 
     Per micro-batch: prepare, first row per key (unless `prepare` leaves keys
-    unique and no order is given), drop keys the target holds, write.  A micro-batch owns the folder `batch_id=n` of the target.  A
-    replayed one does not see its own rows and replaces them, so a failure
-    between writing and committing leaves no duplicates.
+    unique and no order is given), drop keys the target holds, write.  A
+    micro-batch owns the folder `batch_id=n` of the target.  A replayed one
+    does not see its own rows and replaces them, so a failure between writing
+    and committing leaves no duplicates.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadpipe.functions import postings as p
-from leadpipe.schemas import RAW_COLUMNS, TARGET_FIELDS
+from leadpipe.schemas import RAW_COLUMNS, TARGET_FIELDS, TARGET_TYPE
 from leadpipe.session import scratch_path
 from leadpipe.sources import readers, sinks
 from workload import sqltext as q
@@ -48,7 +48,8 @@ def scan_csv_documents(spark, sf_dir):
 
 @query(
     "scan_dims",
-    """SELECT 'title_matrix' AS sheet, p_partkey AS pos, p_name AS entry, CAST(p_size AS VARCHAR) AS value FROM part
+    """SELECT 'title_matrix' AS sheet, p_partkey AS pos, p_name AS entry,
+         CAST(p_size AS VARCHAR) AS value FROM part
        UNION ALL SELECT 'mapping', p_partkey, p_name, p_type FROM part
        UNION ALL SELECT 'level_mapping', p_partkey, p_name, p_brand FROM part
        UNION ALL SELECT 'keywords', p_partkey, p_name, CAST(p_size AS VARCHAR) FROM part
@@ -183,7 +184,7 @@ def _target_rows(spark, sf_dir):
           job_location AS Job_Location__c, title AS Job_Title__c, job_link AS Job_Link__c,
           job_description AS Job_Description__c, company_link AS Company_Link__c,
           {q.days_ago('job_date')} AS Title_Score__c, {q.state('job_location')} AS State__c,
-          'JobPosting__c' AS type FROM ({POSTINGS_SQL})""",
+          '{TARGET_TYPE}' AS type FROM ({POSTINGS_SQL})""",
 )
 def sink_append_batches_rows(spark, sf_dir):
     target = scratch_path(spark, "target")
