@@ -25,6 +25,12 @@ BLOCK_EDGE = (
     r"|aside|nav|header|footer|form|blockquote|pre|h[1-6]|hr|body|html)(?:\s[^>]*)?/?>"
 )
 TAG = r"<[^>]*>"
+# Elements whose end tag may be left out.
+IMPLIED_ENDS = {
+    "dd": r"|<dt(?:\s[^>]*)?>|</dl\s*>",
+    "dt": r"|<dd(?:\s[^>]*)?>|</dl\s*>",
+    "li": r"|</ul\s*>|</ol\s*>",
+}
 ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 ENTITY_OR_TEXT = rf"({ENTITY}|[^&]+|&)"
 NAMED_ENTITIES = {f"&{name};": chr(code) for name, code in name2codepoint.items()}
@@ -73,10 +79,30 @@ def hrefs(html: Column) -> Column:
     return F.transform(F.regexp_extract_all(html, F.lit(HREF), F.lit(1)), unescape)
 
 
+def container_start(tag: str) -> str:
+    if not tag.isalnum():
+        raise ValueError(f"not a tag name: {tag!r}")
+    return rf"(?i)<{tag}(?:\s[^>]*)?>"
+
+
+def container_end(tag: str) -> str:
+    """End tag, or for list items what closes them without one."""
+    return rf"(?i)</{tag}\s*>" + IMPLIED_ENDS.get(tag, "")
+
+
+def containers(html: Column, tag: str) -> Column:
+    """Content of each element of a tag, up to its end or the next start."""
+    visible = F.regexp_replace(F.translate(html, _START + _END, ""), INVISIBLE, "")
+    marked = F.regexp_replace(visible, container_start(tag), _START)
+    marked = F.regexp_replace(marked, container_end(tag), _END)
+    pieces = F.split(marked, _START)
+    pieces = F.slice(pieces, F.lit(2), F.size(pieces))
+    return F.transform(pieces, lambda b: F.substring_index(b, _END, 1))
+
+
 def hrefs_in(html: Column, container: str = "dd") -> Column:
     """All link targets inside the container elements, in document order."""
-    blocks = F.regexp_extract_all(html, F.lit(element_pattern(container)), F.lit(1))
-    return F.flatten(F.transform(blocks, hrefs))
+    return F.flatten(F.transform(containers(html, container), hrefs))
 
 
 def outside_links(targets: Column, pattern: str = LINK_PATTERN) -> Column:

@@ -21,6 +21,14 @@ def test_links_in_containers(apply):
     ]
 
 
+def test_containers_without_end_tags_and_comments(apply):
+    html = [
+        "<dl><dd><a href=/1>a</a><dt>t<a href=/no></a><dd><a href=/2></a><a href=/3></a></dl><a href=/no>",
+        "<!-- <dd><a href=/no></a></dd> --><dd>x<!-- <a href=/no> --><a href='/4'></a></dd>",
+    ]
+    assert apply(html, markup.hrefs_in) == [["/1", "/2", "/3"], ["/4"]]
+
+
 def test_outside_links(frame):
     df = frame(
         [(["/x?u=http://a.b/c", "www.c.com.org", "ftp://d", "https://e"],), ([],)],

@@ -212,8 +212,18 @@ def hrefs(x: str) -> str:
     )
 
 
+def containers(x: str, tag: str) -> str:
+    visible = f"regexp_replace({x}, {text(markup.INVISIBLE)}, '', 'g')"
+    marked = f"regexp_replace({visible}, {text(markup.container_start(tag))}, chr(1), 'g')"
+    marked = f"regexp_replace({marked}, {text(markup.container_end(tag))}, chr(2), 'g')"
+    return (
+        f"list_transform(string_split({marked}, chr(1))[2:], "
+        "lambda b: string_split(b, chr(2))[1])"
+    )
+
+
 def hrefs_in(x: str, tag: str) -> str:
-    return f"flatten(list_transform({element(x, tag)}, lambda b: {hrefs('b')}))"
+    return f"flatten(list_transform({containers(x, tag)}, lambda c: {hrefs('c')}))"
 
 
 def outside_links(x: str) -> str:
