@@ -55,13 +55,16 @@ def clean_postings(
     order_by: Sequence[str],
     id_rule: str = "second",
     keep: Sequence[str] = (),
+    texts_if: Column | None = None,
 ) -> DataFrame:
     """Identify, deduplicate, date, age-filter and normalise raw postings.
 
     The first row per id is chosen before the age filter: an id whose first
     row is old is gone even if a later row is fresh.  Old rows only take part
     in that choice, so they travel through its shuffle without their texts.
-    `keep` names further columns to carry along.
+    `keep` names further columns to carry along.  `texts_if` withholds the
+    texts from more rows that only take part in the choice; the caller filters
+    those rows afterwards.
     """
     extra = [c for c in dict.fromkeys([*order_by, *keep]) if c not in RAW_COLUMNS]
     extra_kept = [c for c in keep if c not in order_by]
@@ -72,9 +75,11 @@ def clean_postings(
             "days_ago": p.parse_days_ago(F.col("job_date")),
         }
     )
-    fresh = F.col("days_ago") < p.MAX_AGE_DAYS
+    wanted = F.col("days_ago") < p.MAX_AGE_DAYS
+    if texts_if is not None:
+        wanted = wanted & texts_if
     narrow = narrow.select(
-        "JobId", "days_ago", *order_by, *extra_kept, F.when(fresh, F.struct(*_TEXTS)).alias("texts")
+        "JobId", "days_ago", *order_by, *extra_kept, F.when(wanted, F.struct(*_TEXTS)).alias("texts")
     )
     recent = filter_recent(dedup_first(narrow, "JobId", order_by))
     clean = recent.select(

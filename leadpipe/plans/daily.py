@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from leadpipe.functions import postings as p
 from leadpipe.functions.similarity import best_candidate
-from leadpipe.operators.filters import filter_score
+from leadpipe.operators.filters import MIN_SCORE, filter_score
 from leadpipe.operators.pages import company_links
 from leadpipe.operators.projection import swap_column
 from leadpipe.operators.relational import anti_existing, enrich_top1
 from leadpipe.operators.scoring import add_title_score
-from leadpipe.plans.cleaning import clean_postings
+from leadpipe.plans.cleaning import can_be_cleaned, clean_postings
 from leadpipe.schemas import UPLOAD_COLUMNS
 from leadpipe.sources.readers import scan_existing
 from leadpipe.sources.sinks import sink_append_batches, sink_dated_csv
@@ -31,13 +31,20 @@ def scored_postings(
 ) -> DataFrame:
     """Clean postings that score high enough, with score, state and some link.
 
-    Ids in `existing` leave right after the deduplication, while the rows are
-    still partitioned by id and before any title is scored.
+    Titles are scored first, of rows that are not too old.  Few rows score
+    high, and only those take their texts through the shuffle of the
+    deduplication; the others just take part in the choice of the first row.
+    Ids in `existing` leave while the rows are still partitioned by id.
     """
-    clean = clean_postings(raw, as_of, order_by, keep=keep)
+    aged = raw.where(can_be_cleaned())
+    age = p.parse_days_ago(F.col("job_date"))
+    titled = aged.withColumn("JobTitle", F.when(age < p.MAX_AGE_DAYS, F.col("title")))
+    rated = add_title_score(titled, dims)
+    high = F.col("titleScore") >= MIN_SCORE
+    clean = clean_postings(rated, as_of, order_by, keep=["titleScore", *keep], texts_if=high)
+    scored = filter_score(clean)
     if existing is not None:
-        clean = anti_existing(clean, existing, unique=True)
-    scored = filter_score(add_title_score(clean, dims))
+        scored = anti_existing(scored, existing, unique=True)
     return scored.withColumns(
         {
             "State": p.extract_state(F.col("JobLocation")),

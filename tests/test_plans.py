@@ -61,6 +61,13 @@ def test_daily_upload_keeps_the_partitioning_by_id(spark):
     assert len(re.findall(r"Exchange hashpartitioning\((JobId|_key)#", text)) == 2
 
 
+def test_daily_upload_scores_before_the_shuffle(spark):
+    text = plan(queries()["daily_upload"](spark, SF))
+    # Read bottom up: score, keep texts of wanted rows, one row per id, shuffle.
+    assert text.index("hashpartitioning(JobId") < text.index("Generate inline(array(struct(score")
+    assert len(re.findall(r"Generate inline", text)) == 1
+
+
 def test_batches_need_no_window_over_the_rows(spark):
     text = plan(queries()["batch_number_postings"](spark, SF))
     window = text[text.index("Window [") :]
