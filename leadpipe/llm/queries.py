@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, credentials, langid, quality
+from leadpipe.llm import bpe, credentials, langid, neardup, quality
 
 QUERIES = {}
 SQL = {}
@@ -107,3 +107,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
     return bpe.digests(bpe.decode(encoded, RANKS, public_tokenizers.PATTERN))
+
+
+@query("op8_dart_minhash")
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
