@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, credentials, langid, neardup, quality
+from leadpipe.llm import bpe, credentials, langid, neardup, quality, spans
 
 QUERIES = {}
 SQL = {}
@@ -112,3 +112,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_dart_minhash")
 def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op6_sentence_spans")
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.remove(table(spark, sf_dir, "documents"))
