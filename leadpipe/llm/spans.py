@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from leadpipe.llm import words as W
 from leadpipe.operators.relational import same_key
-from leadpipe.session import scratch_path
 
 # A run has at least so many sentences, and so many more that it has enough words.
 RUN_SENTENCES = 3
@@ -142,13 +141,12 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     without an id are no document of the corpus: they lose only what they repeat
     themselves, and nothing is removed for their sake.  Hashes alone are shuffled,
     once to find the first place, partly aggregated, and once to tell the others,
-    with hot ones split.
+    with hot ones split.  They are computed twice, as a table of them would take
+    more disk than the texts' second reading takes time.
     """
-    path = scratch_path(docs.sparkSession, "spans")
-    plain = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    W.map_texts(plain, _hashes, "hashes array<long>", ["id"], "text").write.parquet(path)
-    held = docs.sparkSession.read.parquet(path).select("id", F.explode("hashes").alias("hash"))
-    held = held.where("id IS NOT NULL")
+    plain = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
+    hashed = W.map_texts(plain, _hashes, "hashes array<long>", ["id"], "text")
+    held = hashed.select("id", F.explode("hashes").alias("hash"))
     places = held.groupBy(F.col("hash").alias("met")).agg(F.min("id").alias("low"), F.max("id").alias("high"))
     repeated = places.where("low <> high").select("met", "low")
     others = held.join(repeated, same_key(F.col("hash"), F.col("met"))).where("id <> low")
