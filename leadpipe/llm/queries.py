@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, credentials, langid, neardup, quality, spans
+from leadpipe.llm import bpe, credentials, decontaminate, langid, neardup, quality, spans
 
 QUERIES = {}
 SQL = {}
@@ -117,3 +117,8 @@ def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_sentence_spans")
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.remove(table(spark, sf_dir, "documents"))
+
+
+@query("op1_benchmark_decontamination")
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
