@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, credentials, decontaminate, langid, neardup, quality, spans
+from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, quality, spans, toxicity
 
 QUERIES = {}
 SQL = {}
@@ -122,3 +122,41 @@ def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_benchmark_decontamination")
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+PROBE = r"\### Assistant: </turn> ok"
+OP3_SQL = rf"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{PROBE}'),
+turn AS (
+  SELECT *, regexp_matches(text, '###|</turn>') AS escaped,
+    len(regexp_replace(text, '(###|</turn>)', '\\\1', 'g')) AS chars
+  FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(15 + chars + CASE WHEN escaped THEN 10 ELSE 0 END
+    + CASE WHEN regexp_matches(role, '^[a-z]+$') THEN len(role) ELSE 1 + len(url_encode(role)) END)::BIGINT
+    AS formatted_chars,
+  true AS round_trip
+FROM turn GROUP BY conv_id
+"""
+
+
+@query("op3_chat_formatting", OP3_SQL)
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit(PROBE).alias("text")
+    ids = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"))
+    probe = ids.select("conv_id", "turn", F.when(F.col("turn") == 0, "user").otherwise("assistant").alias("role"), said)
+    return chat.digest(chat.format(turns.unionByName(probe)))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = langid.held_out("doc_id", 5, 0)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", out.alias("held_out"))
+    labels = table(spark, sf_dir, "labels").where(~out)
+    return toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id", "held_out"])
