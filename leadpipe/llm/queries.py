@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, quality, spans, toxicity
+from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, quality, spans, toxicity, warc
 
 QUERIES = {}
 SQL = {}
@@ -160,3 +160,20 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", out.alias("held_out"))
     labels = table(spark, sf_dir, "labels").where(~out)
     return toxicity.score(docs, toxicity.train(docs, labels), keep=["doc_id", "held_out"])
+
+
+OP2_SQL = """
+WITH payload AS (
+  SELECT page_id, coalesce(html, '') AS body FROM pages),
+sized AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest FROM payload),
+first AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM sized)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes < 100 OR page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN payload_bytes < 100 OR page_id = least THEN NULL ELSE least END AS refers_to
+FROM first
+"""
+
+
+@query("op2_arc_to_warc", OP2_SQL)
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_as_warc(table(spark, sf_dir, "pages")).drop("record_id")
