@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadpipe.llm import words as W
@@ -157,6 +157,12 @@ def _sign(texts: pa.Array) -> list:
     ]
 
 
+def _key(texts: pa.Array) -> list:
+    data, at = W.buffers(pa.compute.utf8_lower(texts))
+    found = W.Runs(data, at, W.ALNUM)
+    return [pa.array([k if n else None for k, n in zip(contents(found), found.count, strict=True)], pa.binary())]
+
+
 def _sets(texts: pa.Array) -> list:
     values, first, found = shingles(texts)
     lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values.view(np.int64), pa.int64()))
@@ -256,6 +262,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
+def _sign_all(plain: DataFrame) -> DataFrame:
+    return _saved(W.map_texts(plain, _sign, "content binary, bands array<long>", ["id"], "text"), "signed")
+
+
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: `id`, `content`, `class_id` and `n_links`.
 
@@ -267,7 +277,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
     take the class of their content, without one a null class.
     """
     plain = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    signed = _saved(W.map_texts(plain, _sign, "content binary, bands array<long>", ["id"], "text"), "signed")
+    signed = _sign_all(plain)
     edges = links(plain, signed, "id", "text", similarity)
     roots = components(edges).withColumnRenamed("node", "content_")
     degree = (
@@ -283,3 +293,28 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
         F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("class_id"),
         F.col("n_links").cast("long").alias("n_links"),
     )
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """The document of the smallest id of each class, all columns as they are.
+
+    Rows without an id stay only where their class has none with one.  Of rows
+    of the same id and words one stays; documents without words stay, once each.
+    Documents are shuffled once, and map tasks send one of each content.
+    """
+    plain = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    signed = _sign_all(plain)
+    roots = components(links(plain, signed, "id", "text", similarity))
+    least = signed.groupBy("content").agg(F.min("id").alias("least"))
+    members = roots.join(least, F.col("node") == F.col("content")).select("node", "root", "least")
+    order = F.struct(F.col("least").isNull().alias("none"), "least", "node")
+    keepers = members.groupBy(F.col("root").alias("root_")).agg(F.min_by("node", order).alias("keeper"))
+    dropped = members.join(keepers, same_key(F.col("root"), F.col("root_"))).where("node <> keeper")
+    key = W.fresh("_content", docs.columns)
+    keyed = W.map_texts(docs, _key, f"{key} binary", docs.columns, text)
+    alone = F.unhex(F.sha2(F.to_json(F.struct(F.col(id).alias("id"), F.col(text).alias("text"))), 256))
+    first = dedup_first(
+        keyed.withColumn(key, F.coalesce(key, alone)), key, [F.col(id).asc_nulls_last(), F.col(text)]
+    )
+    gone = dropped.select(F.col("node").alias("gone"))
+    return first.join(gone, first[key] == F.col("gone"), "left_anti").select(*docs.columns)

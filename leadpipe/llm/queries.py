@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,3 +178,6 @@ FROM first
 @query("op2_arc_to_warc", OP2_SQL)
 def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.pages_as_warc(table(spark, sf_dir, "pages")).drop("record_id")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
