@@ -38,25 +38,33 @@ MARGIN = 0.002
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """One dictionary per language, the most frequent one first.
 
-    The order counts all labelled rows; the dictionaries come from a bounded
-    sample, the SAMPLE_DOCS rows of the smallest text hashes per language, which
-    map tasks choose before the shuffle, and from each text the SAMPLE_CHARS
-    characters in its middle.  Rows without a letter or language are left out.
-    Dictionaries share TOTAL_BYTES, so what the driver holds is bounded for any
-    number of languages.
+    The order counts all labelled rows.  The dictionaries come from a bounded
+    sample, the SAMPLE_DOCS different texts of the smallest hashes per language
+    and from each the SAMPLE_CHARS characters in its middle.  A threshold on the
+    hash, set from the language's number of rows, leaves about four times as
+    many before they are put in order, however many rows or copies there are.
+    Rows without a letter or language are left out.  Dictionaries share
+    TOTAL_BYTES, so what the driver holds is bounded for any number of languages.
     """
     body = F.lower(F.col(text).cast("string"))
-    middle = F.greatest(F.lit(1), ((F.length(body) - SAMPLE_CHARS) / 2).cast("int"))
+    name = F.col(lang).cast("string")
     usable = labelled.where(F.col(lang).isNotNull() & has_letter(body))
-    rows = usable.select(
-        F.col(lang).cast("string").alias("lang"),
-        F.substring(body, middle, F.lit(SAMPLE_CHARS)).alias("part"),
-        F.xxhash64(body).alias("order"),
+    counted = usable.groupBy(name.alias("lang")).agg(
+        F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(body)).alias("texts")
+    )
+    found = counted.orderBy(F.desc("n"), "lang").collect()
+    ordered = [r.lang for r in found]
+    rare = {r.lang: min(1.0, 4 * SAMPLE_DOCS / r.texts) for r in found}
+    limits = {k: int(-(2.0**63) + share * (2.0**64 - 2048)) for k, share in rare.items() if share < 1}
+    limit = F.lit(2**63 - 1)
+    for one, most in limits.items():
+        limit = F.when(name == one, F.lit(most)).otherwise(limit)
+    middle = F.greatest(F.lit(1), ((F.length(body) - SAMPLE_CHARS) / 2).cast("int"))
+    few = usable.where(F.xxhash64(body) <= limit).groupBy(name.alias("lang"), F.xxhash64(body).alias("order")).agg(
+        F.min(F.substring(body, middle, F.lit(SAMPLE_CHARS))).alias("part")
     )
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order", "part"))
-    sample = rows.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_DOCS).drop("nth")
-    counts = usable.groupBy(F.col(lang).cast("string").alias("lang")).count()
-    ordered = [r.lang for r in counts.orderBy(F.desc("count"), "lang").collect()]
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    sample = few.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_DOCS).drop("nth")
     size = min(DICTIONARY_BYTES, TOTAL_BYTES // max(len(ordered), 1))
     joined = (
         sample.groupBy("lang")
