@@ -110,7 +110,9 @@ def classify(
     table gives an empty one, and other columns are left out.
     """
     taken = [*keep, found, examples]
-    row, who, where = (W.fresh(n, taken) for n in ("_row", "_owner", "_repository"))
+    row, who, where, holder, copies = (
+        W.fresh(n, taken) for n in ("_row", "_owner", "_repository", "_holder", "_copies")
+    )
     path = scratch_path(docs.sparkSession, "secrets")
     named = docs.withColumns({who: F.col(owner), where: F.col(repository)})
     scanned = scan(named, text, [*keep, who, where], found)
@@ -121,14 +123,14 @@ def classify(
     each = some.select(row, who, where, F.explode(hashes).alias("held"))
     copied = ownership(each, "held", where, who).where(is_example(least=examples_from))
     shared = (
-        each.select(F.col(row).alias("holder"), "held")
+        each.select(F.col(row).alias(holder), "held")
         .join(copied.select("secret"), same_key(F.col("held"), F.col("secret")))
-        .groupBy("holder")
-        .agg(F.collect_set("secret").alias("copied"))
+        .groupBy(holder)
+        .agg(F.collect_set("secret").alias(copies))
     )
     none = F.array().cast("array<string>")
-    with_some = some.join(shared, F.col(row) == F.col("holder"), "left").select(
-        *keep, found, F.coalesce("copied", none).alias(examples)
+    with_some = some.join(shared, F.col(row) == F.col(holder), "left").select(
+        *keep, found, F.coalesce(copies, none).alias(examples)
     )
     without = scanned.where(F.size(found) == 0).select(*keep, found, none.alias(examples))
     return with_some.unionByName(without)

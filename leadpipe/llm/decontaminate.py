@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadpipe.llm import words as W
 from leadpipe.operators.relational import same_key
 from leadpipe.session import scratch_path
 
-# Ones are the positions a seed compares.  All masks have the same span.
-MASKS = ("110110011", "101011101")
+# Ones are the positions a seed compares.  All masks have the same span, and a
+# hole in the middle, so one substituted word in five still leaves hits.
+MASKS = ("110101011", "101101101")
 SPAN = len(MASKS[0])
 # An overlap has at least so many tokens, or the whole item, and so many of them equal.
 MIN_TOKENS = 13
@@ -182,5 +184,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str =
 
     Rows without an id are never found to hold one.
     """
-    found = overlaps(docs, benchmark, id, text).select(F.col(id).alias("found")).distinct()
-    return docs.join(_small(_saved(found, "held")), docs[id] == F.col("found"), "left_anti")
+    held = W.fresh("_held", docs.columns)
+    found = overlaps(docs, benchmark, id, text).select(F.col(id).alias(held)).distinct()
+    return docs.join(_small(_saved(found, "held")), docs[id] == F.col(held), "left_anti")

@@ -47,7 +47,7 @@ class Sentences:
         found = W.Runs(self.data, self.at, W.NOT_SPACE)
         owner = found.owner
         ends = np.flatnonzero(self._ends(found, owner))
-        begins = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
+        begins = np.concatenate([[0], ends[:-1] + 1])[: len(ends)].astype(np.int64)
         self.owner = owner[ends]
         self.first = np.searchsorted(self.owner, np.arange(len(self.at)))
         self.start = found.start[begins]

@@ -1,0 +1,69 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+
+from leadpipe.llm import words as W
+
+TEXTS = ["a bb  a\tbb", "", "x", " \n ", "é bb é", "bb", "word" * 5000 + " a"]
+
+
+def runs(texts, member=W.NOT_SPACE):
+    data, at = W.buffers(pa.array(texts, pa.string()))
+    return data, at, W.Runs(data, at, member)
+
+
+def test_runs_are_the_words_of_each_text():
+    data, at, found = runs(TEXTS)
+    raw = data.tobytes()
+    words = [raw[a:b].decode() for a, b in zip(found.start, found.end, strict=True)]
+    expected = [t.split() for t in TEXTS]
+    assert words == sum(expected, [])
+    assert list(found.count) == [len(e) for e in expected]
+    assert len(set(zip(words, found.hash, strict=True))) == len(set(words)) == len(set(found.hash))
+
+
+def test_chunks_and_slices_change_nothing(monkeypatch):
+    texts = [" ".join(f"w{i * j % 97}" for j in range(50)) for i in range(40)]
+    _, _, whole = runs(texts)
+    monkeypatch.setattr(W, "CHUNK_BYTES", 16)
+    _, _, cut = runs(texts)
+    assert (whole.hash == cut.hash).all() and (whole.first == cut.first).all()
+    sliced = pa.array(["zzz", *texts], pa.string()).slice(1)
+    data, at = W.buffers(sliced)
+    assert (W.Runs(data, at, W.NOT_SPACE).hash == whole.hash).all()
+
+
+def test_a_run_ends_with_its_text():
+    _, _, found = runs(["ab", "cd", "", "ef"])
+    assert list(found.count) == [1, 1, 0, 1]
+
+
+def test_windows_stay_within_texts():
+    _, _, found = runs(["a b c d", "a b", "b c d"])
+    hashes = W.windows(found.hash, 3)
+    inside = W.whole(found.first, len(hashes), 3)
+    assert inside.sum() == 3 and len(set(hashes[inside])) == 2
+
+
+def test_long_words_that_differ_late_differ():
+    a = "x" * 5000 + "a" + "x" * 5000
+    b = "x" * 9000 + "a" + "x" * 1000
+    _, _, found = runs([a, b])
+    assert found.hash[0] != found.hash[1]
+
+
+def test_repeated():
+    often, again = W.repeated(np.array([3, 1, 3, 2, 3], np.uint64))
+    assert list(often) == [True, False, True, False, True]
+    assert again.sum() == 2 and not again[0]
+
+
+def test_fresh_ignores_case():
+    assert W.fresh("_text", ["_Text", "_text_"]) == "_text__"
+
+
+def test_letters_and_digits():
+    text = "Café-au_lait, 2nd!"
+    _, _, found = runs([text], W.ALNUM)
+    assert found.count[0] == len(re.findall(r"[^\W_]+", text))
