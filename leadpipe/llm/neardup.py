@@ -12,25 +12,30 @@ together, and an exact comparison of the shingles decides.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadpipe.llm import words as W
-from leadpipe.operators.relational import dedup_first, same_key
+from leadpipe.operators.relational import same_key
 from leadpipe.session import scratch_path
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# A pair of similarity 0.8 shares a band with a probability of 0.998.
-BANDS = 16
-ROWS = 5
+# A pair of similarity 0.8 shares a band with a probability of 0.99997.
+BANDS = 20
+ROWS = 4
 COORDINATES = BANDS * ROWS
 # Darts expected per text; an empty coordinate then has a probability of 1/(k e^2).
 DARTS = int(COORDINATES * np.log(COORDINATES) + 2 * COORDINATES)
+# Members outside a band's largest class that meet all others in it.
+OUTSIDERS = 8
+# Members of the largest class in a band that another class meets in a turn.
+LEADERS = 12
 # Eight bytes each: 32 MB.
 MAX_BROADCAST_ROWS = 4_000_000
 
@@ -186,33 +191,8 @@ def _saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs `a`, `b` of contents whose similarity is at least the given one.
-
-    The members of a band meet two of them, the first and the last, never each
-    other, so pairs grow with the members.  Contents that a stranger keeps
-    apart in one band meet in another.  Each pair is compared exactly.  Only the texts in
-    pairs are read again; their ids are broadcast if few, else joined.
-    """
-    nodes = signed.where("content IS NOT NULL").groupBy("content").agg(
-        F.min("id").alias("id"), F.first("bands").alias("bands")
-    )
-    each = nodes.select("content", "id", F.explode("bands").alias("band"))
-    ends = each.groupBy("band").agg(F.min("content").alias("low"), F.max("content").alias("high"))
-    met = (
-        each.join(ends.where("low <> high").withColumnRenamed("band", "met"), same_key(F.col("band"), F.col("met")))
-        .select(F.col("content").alias("b"), F.col("id"), F.explode(F.array("low", "high")).alias("a"))
-        .where("a <> b")
-        .select("id", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    )
-    pairs = _saved(met.select("a", "b").distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    ids = nodes.select("content", "id").join(wanted, F.col("content") == F.col("wanted")).select("id")
-    ids = _saved(ids.distinct(), "ids")
-    some = F.broadcast(ids) if ids.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else ids
-    again = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(some, "id", "left_semi")
-    sets = W.map_texts(again, _sets, "content binary, hashes array<long>", [], "text")
-    sets = _saved(sets.groupBy("content").agg(F.first("hashes").alias("hashes")), "sets")
+def _close(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs `a`, `b` whose shingles are similar enough, compared exactly."""
     left = sets.select(F.col("content").alias("a_"), F.col("hashes").alias("x"))
     right = sets.select(F.col("content").alias("b_"), F.col("hashes").alias("y"))
     both = (
@@ -230,7 +210,100 @@ def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "t
                 [batch.column("a"), batch.column("b")], names=["a", "b"]
             ).filter(pa.array(close, pa.bool_()))
 
-    return _saved(both.mapInArrow(compare, "a binary, b binary"), "links")
+    W.bound_batches(pairs.sparkSession)
+    return both.mapInArrow(compare, "a binary, b binary")
+
+
+def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def _split(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of the bands whose members are in more than one class, with their classes."""
+    known = labels.select(F.col("node").alias("node_"), "root")
+    now = met.join(known, same_key(F.col("node"), F.col("node_")), "left").select(
+        "band", "node", "n", F.coalesce("root", "node").alias("root")
+    )
+    apart = now.groupBy(F.col("band").alias("open")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return now.join(apart.where("low <> high").select("open"), same_key(F.col("band"), F.col("open")), "left_semi")
+
+
+def _first_pairs(met: DataFrame) -> DataFrame:
+    """Each member of a band and the member that meets the most others in all of its bands."""
+    degree = met.groupBy(F.col("node").alias("node_")).agg(F.sum("n").alias("degree"))
+    ranked = met.join(degree, F.col("node") == F.col("node_")).select("band", "node", "degree")
+    lead = ranked.groupBy(F.col("band").alias("led")).agg(F.max_by("node", F.struct("degree", "node")).alias("lead"))
+    return _pairs(met.join(lead, same_key(F.col("band"), F.col("led"))).where("node <> lead"), "node", "lead")
+
+
+def _outside(rows: DataFrame) -> DataFrame:
+    """The rows with the band's largest class, `lead`, and how many members are in others."""
+    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("size"), F.min("n").alias("n"))
+    lead = sizes.groupBy(F.col("band").alias("led")).agg(
+        F.max_by("root", F.struct("size", "root")).alias("lead"), (F.first("n") - F.max("size")).alias("outside")
+    )
+    return rows.join(lead, same_key(F.col("band"), F.col("led"))).drop("led")
+
+
+def _all_pairs(few: DataFrame) -> DataFrame:
+    """The few members outside a band's largest class with all members of other classes than
+    their own."""
+    others = few.where("root <> lead").select(
+        F.col("band").alias("band_"), F.col("node").alias("other"), F.col("root").alias("root_")
+    )
+    return _pairs(few.join(others, F.col("band") == F.col("band_")).where("root <> root_"), "node", "other")
+
+
+def _some_pairs(many: DataFrame, turn: int) -> DataFrame:
+    """A member of each class with LEADERS of the band's largest class, others in each turn."""
+    chance = F.xxhash64(F.lit(turn), "band", "node")
+    leaders = (
+        many.where("root = lead")
+        .groupBy(F.col("band").alias("band_"), F.pmod(chance, F.lit(LEADERS)).alias("nth"))
+        .agg(F.max_by("node", chance).alias("leader"))
+    )
+    others = many.where("root <> lead").groupBy("band", "root").agg(F.max_by("node", chance).alias("node"))
+    return _pairs(others.join(leaders, F.col("band") == F.col("band_")), "node", "leader")
+
+
+def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """Enough pairs `a`, `b` of similar contents to connect all that the bands bring together.
+
+    Members of a band are never paired all with all.  First each one meets the
+    member with the most neighbours.  Then only classes that share a band but no
+    link yet go on.  Where few members are outside the band's largest class, each
+    of them meets all others, which settles the band.  Where many are, one of
+    each class meets some of the largest class, others in each turn, until a turn
+    links nothing.
+    So pairs grow with the members, and turns concern what is still apart.
+    Every pair is compared exactly.  Only texts that share a band are read again; their
+    ids are broadcast if few, else joined.
+    """
+    nodes = signed.where("content IS NOT NULL").groupBy(F.col("content").alias("node")).agg(
+        F.min("id").alias("id"), F.first("bands").alias("bands")
+    )
+    each = nodes.select("node", "id", F.explode("bands").alias("band"))
+    shared = each.groupBy(F.col("band").alias("shared")).agg(F.count("*").alias("n")).where("n > 1")
+    met = each.join(shared, same_key(F.col("band"), F.col("shared"))).select("band", "node", "id", "n")
+    met = _saved(met, "bands")
+    ids = _saved(met.select("id").distinct(), "ids")
+    some = F.broadcast(ids) if ids.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else ids
+    again = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(some, "id", "left_semi")
+    sets = W.map_texts(again, _sets, "content binary, hashes array<long>", [], "text")
+    sets = _saved(sets.groupBy("content").agg(F.first("hashes").alias("hashes")), "sets")
+    found = _saved(_close(_first_pairs(met), sets, similarity), "links")
+    rows = _split(met, components(found))
+    for turn in itertools.count():
+        rows = _saved(_outside(rows), "split")
+        if rows.isEmpty():
+            return found
+        many = rows.where(F.col("outside") > OUTSIDERS)
+        tried = _all_pairs(rows.where(F.col("outside") <= OUTSIDERS)).union(_some_pairs(many, turn)).distinct()
+        more = _saved(_close(tried, sets, similarity), "links")
+        if more.isEmpty():
+            return found
+        found = found.union(more)
+        rows = _split(many.select("band", "node", "n"), components(found))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -271,7 +344,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
 
     The class id is the smallest document id of the class, a class being what
     links of similar contents connect; documents of equal words have the same
-    content.  `n_links` counts the verified links of the content to others.  A
+    content.  `n_links` counts the links of the content that connect the class.  A
     text without words, null among them, is a class of its own with a null
     content.  Repeated rows stay repeated and share a class; rows without an id
     take the class of their content, without one a null class.
@@ -310,11 +383,10 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity
     order = F.struct(F.col("least").isNull().alias("none"), "least", "node")
     keepers = members.groupBy(F.col("root").alias("root_")).agg(F.min_by("node", order).alias("keeper"))
     dropped = members.join(keepers, same_key(F.col("root"), F.col("root_"))).where("node <> keeper")
-    key = W.fresh("_content", docs.columns)
+    key, nth, gone = (W.fresh(n, docs.columns) for n in ("_content", "_nth", "_gone"))
     keyed = W.map_texts(docs, _key, f"{key} binary", docs.columns, text)
     alone = F.unhex(F.sha2(F.to_json(F.struct(F.col(id).alias("id"), F.col(text).alias("text"))), 256))
-    first = dedup_first(
-        keyed.withColumn(key, F.coalesce(key, alone)), key, [F.col(id).asc_nulls_last(), F.col(text)]
-    )
-    gone = dropped.select(F.col("node").alias("gone"))
-    return first.join(gone, first[key] == F.col("gone"), "left_anti").select(*docs.columns)
+    # The rank filter lets map tasks send one row of each content.
+    order = Window.partitionBy(key).orderBy(F.col(id).asc_nulls_last(), F.col(text))
+    first = keyed.withColumn(key, F.coalesce(key, alone)).withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
+    return first.join(dropped.select(F.col("node").alias(gone)), F.col(key) == F.col(gone), "left_anti").select(*docs.columns)
