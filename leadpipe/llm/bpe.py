@@ -88,6 +88,7 @@ def decode(
                 made = pa.array([codec.decode_bytes(i) for i in ids], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, made], names=schema.fieldNames())
 
+    W.bound_batches(encoded.sparkSession)
     return encoded.select(*kept).mapInArrow(run, schema)
 
 

@@ -182,4 +182,5 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
                 arrays = [part.column("id"), clean, pa.array(total, pa.int64()), pa.array(gone, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
 
+    W.bound_batches(docs.sparkSession)
     return joined.mapInArrow(run, schema)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from leadpipe.llm import words as W
 from leadpipe.operators.relational import same_key
 from leadpipe.session import scratch_path
 
@@ -199,6 +200,7 @@ def _rows(files: DataFrame, function, schema: str) -> DataFrame:
                         waiting, size = [], 0
             yield pa.RecordBatch.from_pylist(waiting, schema=arrow)
 
+    W.bound_batches(files.sparkSession)
     return files.mapInArrow(run, fields)
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts handled at a time: at most so many bytes, or one text.
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 # Bytes whose intermediate arrays are alive at a time; a longer word alone goes beyond it.
 CHUNK_BYTES = 1 << 20
 
@@ -39,20 +41,39 @@ def map_texts(
     """
     made = T.StructType.fromDDL(fields)
     schema = T.StructType([docs.schema[c] for c in keep] + made.fields)
-    taken = fresh("_text", keep)
-    rows = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias(taken))
-    names = schema.fieldNames()
+    names, kept = schema.fieldNames(), len(keep)
+    if text in keep and docs.schema[text].dataType == T.StringType():
+        rows, column = docs.select(*keep), list(keep).index(text)
+    else:
+        rows, column = docs.select(*keep, F.col(text).cast("string").alias(fresh("_text", keep))), kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, len(names) - len(made.fields)):
-                values = function(part.columns[-1])
-                arrays = [*part.columns[:-1], *(v if isinstance(v, pa.Array) else pa.array(v) for v in values)]
+            for part in slices(batch, column):
+                values = function(pc.fill_null(part.column(column), ""))
+                arrays = [*part.columns[:kept], *(v if isinstance(v, pa.Array) else pa.array(v) for v in values)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
+    bound_batches(docs.sparkSession)
     return rows.mapInArrow(run, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch of the session hold more than BATCH_BYTES, or one row.
+
+    Spark's own bound is for rows of numbers; with whole texts or files each
+    task holds several batches of that size at once.  A lower setting stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(spark.conf.get(key)) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """The batch in parts of a bounded number of bytes in one column."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.columns[column]), 0).to_numpy(zero_copy_only=False))
