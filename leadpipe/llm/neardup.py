@@ -34,8 +34,10 @@ COORDINATES = BANDS * ROWS
 DARTS = int(COORDINATES * np.log(COORDINATES) + 2 * COORDINATES)
 # Members outside a band's largest class that meet all others in it.
 OUTSIDERS = 8
-# Members of the largest class in a band that another class meets in a turn.
+# Members of a band's largest class that are drawn for a turn, and how many of those drawn
+# in all of its bands a member of another class is compared with.
 LEADERS = 12
+NEAREST = 8
 # Eight bytes each: 32 MB.
 MAX_BROADCAST_ROWS = 4_000_000
 
@@ -255,15 +257,23 @@ def _all_pairs(few: DataFrame) -> DataFrame:
 
 
 def _some_pairs(many: DataFrame, turn: int) -> DataFrame:
-    """A member of each class with LEADERS of the band's largest class, others in each turn."""
-    chance = F.xxhash64(F.lit(turn), "band", "node")
+    """A member of each class with those of LEADERS of a band's largest class that it shares the
+    most bands with; other members and leaders in each turn.
+
+    Only names are joined to find the NEAREST ones.
+    """
+    chance = F.xxhash64(F.lit(turn), "node")
     leaders = (
         many.where("root = lead")
-        .groupBy(F.col("band").alias("band_"), F.pmod(chance, F.lit(LEADERS)).alias("nth"))
+        .groupBy(F.col("band").alias("band_"), F.pmod(chance, F.lit(LEADERS)).alias("slot"))
         .agg(F.max_by("node", chance).alias("leader"))
     )
     others = many.where("root <> lead").groupBy("band", "root").agg(F.max_by("node", chance).alias("node"))
-    return _pairs(others.join(leaders, F.col("band") == F.col("band_")), "node", "leader")
+    shared = (
+        others.join(leaders, F.col("band") == F.col("band_")).groupBy("node", "leader").agg(F.count("*").alias("bands"))
+    )
+    nearest = Window.partitionBy("node").orderBy(F.desc("bands"), F.xxhash64(F.lit(turn), "leader"))
+    return _pairs(shared.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= NEAREST), "node", "leader")
 
 
 def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
