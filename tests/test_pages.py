@@ -1,3 +1,4 @@
+import random
 from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
@@ -106,50 +107,111 @@ def test_entities(apply):
     ]
 
 
+NESTED = [
+    "<li>a<div>b</div>c</li>",
+    "<li><div>only</div></li>",
+    "<li><h3>Title</h3>body</li>",
+    "<ul><li>one<ul><li>two</li><li>three</ul>four</li><li>five</ul><p>six<div>no</div>no",
+    "<ol><li>a<p>b<p>c</ol><p>d <b>e</b> <i>f<li>g",
+    "<div><p>a</div>no<p>b</p>no</p><li>c<hr>d</li>",
+    "<table><tr><td><p>x<td><li>y</table>no",
+    "<li>a<!-- </li> --><script>'</li>'</script>b</li></li>no",
+]
+
+
+def test_blocks_hold_all_their_text(apply):
+    assert apply(NESTED, markup.page_text) == [
+        ["abc"],
+        ["only"],
+        ["Titlebody"],
+        ["onetwothreefour", "two", "three", "five", "six"],
+        ["abc", "b", "c", "d e f", "g"],
+        ["a", "b", "cd"],
+        ["x", "y"],
+        ["ab"],
+    ]
+
+
+def test_links_are_whole(apply):
+    html = [
+        """<dd><a href="it's here/a b">x</a><a class='>' href='say "hi"'>y</a><a href=/z?a=1&apos;>z</a></dd>""",
+        "<dd>a<dl><dd><a href='/in'></a></dd></dl><a href='/out'></a></dd>",
+    ]
+    found = apply(html, markup.hrefs_in)
+    assert found[0][0] == "it's here/a b" and found[0][-1] == "/z?a=1'"
+    assert found[1] == ["/in", "/out", "/in"]
+
+
+def test_sidebar_link_is_inside_its_element(apply):
+    html = [
+        "<div class='s'><div>x</div></div><dd><a href='/no'></a></dd>",
+        "<!-- <div class='s'><dd><a href='/no'></a></dd></div> --><p class=s>x",
+        "<div class='a s b'><div></div><dd><a href='/yes'></a></dd></div>",
+        "<div class='s.x'><dd><a href='/dot'></a></dd></div>",
+    ]
+    assert apply(html, lambda c: markup.sidebar_link(c, "s")) == [None, None, "/yes", None]
+    assert apply(html[3:], lambda c: markup.sidebar_link(c, "s.x")) == ["/dot"]
+    assert apply(["<div class='sax'><dd><a href='/no'></a></dd></div>"], lambda c: markup.sidebar_link(c, "s.x")) == [None]
+
+
 class Blocks(HTMLParser):
-    """Text of p and li elements of a page without nested blocks."""
+    """Whole text of p and li elements of a page with all its end tags."""
 
-    def __init__(self, edges):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.edges, self.blocks, self.open = edges, [], False
+        self.blocks, self.open, self.hidden = [], [], False
 
     def handle_starttag(self, tag, attrs):
         if tag in ("p", "li"):
+            self.open.append(len(self.blocks))
             self.blocks.append("")
-            self.open = True
-        elif tag in self.edges:
-            self.open = False
+        self.hidden = tag in ("script", "style")
 
     def handle_endtag(self, tag):
-        if tag in self.edges:
-            self.open = False
+        if tag in ("p", "li"):
+            self.open.pop()
+        self.hidden = False
 
     def handle_data(self, data):
-        if self.open:
-            self.blocks[-1] += data
-
-
-def test_page_text_against_a_parser(spark):
-    edges = set(
-        "p li ul ol dl dt dd div table thead tbody tr td th section article main aside nav header "
-        "footer form blockquote pre h1 h2 h3 h4 h5 h6 hr body html".split()
-    )
-    table = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    found = table.select("html", markup.page_text(F.col("html")).alias("blocks")).collect()
-    blocks = 0
-    for r in found:
-        parser = Blocks(edges)
-        parser.feed(r.html)
+        if not self.hidden:
+            for i in self.open:
+                self.blocks[i] += data
+
+
+def markup_of(draw, depth=0):
+    """Well-formed markup of nested lists, blocks and text."""
+    out = []
+    for _ in range(draw.randint(1, 4)):
+        kind = draw.choice(["text", "li", "div", "p", "b", "h3", "script"])
+        if kind == "text" or depth > 4:
+            out.append(draw.choice(["one &amp; two", " x ", "&eacute;t&eacute;", "a < b", "\n"]))
+        elif kind == "li":
+            items = "".join(f"<li class='c'>{markup_of(draw, depth + 1)}</li>" for _ in range(draw.randint(1, 3)))
+            out.append(f"<ul>{items}</ul>")
+        elif kind in ("p", "b"):
+            out.append(f"<{kind}>text {draw.randint(0, 9)}</{kind}>")
+        elif kind == "script":
+            out.append("<script>var x = '<p>';</script><!-- <li> -->")
+        else:
+            out.append(f"<{kind}>{markup_of(draw, depth + 1)}</{kind}>")
+    return "".join(out)
+
+
+def test_page_text_against_a_parser(apply):
+    draw = random.Random(7)
+    html = [markup_of(draw) for _ in range(60)]
+    found = apply(html, markup.page_text)
+    for text, blocks in zip(html, found, strict=True):
+        parser = Blocks()
+        parser.feed(text)
         parser.close()
-        assert r.blocks == [" ".join(b.split()) for b in parser.blocks]
-        blocks += len(r.blocks)
-    assert blocks
+        assert blocks == [" ".join(b.split()) for b in parser.blocks], text
 
 
 def test_heading(apply):
-    html = ["<h1>a</h1><H2 id=x>b <i>c</i></H2><h2>d</h2>", "<p>none</p>"]
-    assert apply(html, markup.first_heading) == ["b c", None]
-    assert apply(html, lambda c: markup.first_heading(c, "h1")) == ["a", None]
+    html = ["<h1>a</h1><H2 id=x>b <i>c</i></H2><h2>d</h2>", "<p>none</p>", "<!-- <h2>old</h2> --><h2>new</h2>"]
+    assert apply(html, markup.first_heading) == ["b c", None, "new"]
+    assert apply(html, lambda c: markup.first_heading(c, "h1")) == ["a", None, None]
 
 
 def test_headed_divs(apply):

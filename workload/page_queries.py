@@ -109,6 +109,34 @@ def page_text(spark, sf_dir):
     return pages.page_blocks(table(spark, sf_dir, "pages"))
 
 
+# Pages made of nested lists, so that their blocks are known without reading them.
+_NESTED = """
+SELECT p_partkey AS page_id, concat('<ul class="top"><li>', a, '<div>', b, '</div><h3>', c, '</h3>',
+  CASE WHEN p_partkey % 3 = 0 THEN concat('<ol><li>', d, '<p>', e, '</p>', f, '</li></ol>')
+    WHEN p_partkey % 3 = 1 THEN concat('<!-- <li> --><p>', d, '<p>', e, '<div>', f, '</div>')
+    ELSE concat('<ul><li>', d, '<li>', e, '</ul>', f) END,
+  '</li></ul>', g, '<p>', h) AS html
+FROM (SELECT *, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b, p_brand AS c,
+    split_part(p_type, ' ', 1) AS d, concat('e', p_size) AS e, concat('f', p_partkey) AS f,
+    concat('g', p_size) AS g, concat('h', p_partkey) AS h FROM {part}) AS words
+"""
+_NESTED_WORDS = """SELECT *, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b, p_brand AS c,
+    split_part(p_type, ' ', 1) AS d, 'e' || p_size AS e, 'f' || p_partkey AS f, 'h' || p_partkey AS h FROM part"""
+_NESTED_BLOCKS = f"""SELECT p_partkey AS page_id, CASE p_partkey % 3
+    WHEN 0 THEN [a || b || c || d || e || f, d || e || f, e, h]
+    WHEN 1 THEN [a || b || c || d || e || f, d, e, h]
+    ELSE [a || b || c || d || e || f, d, e, h] END AS blocks FROM ({_NESTED_WORDS})"""
+
+
+@query(
+    "page_text_nested",
+    f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS block, blocks[i] AS text
+        FROM (SELECT page_id, blocks, unnest([1, 2, 3, 4]) AS i FROM ({_NESTED_BLOCKS}))""",
+)
+def page_text_nested(spark, sf_dir):
+    return pages.page_blocks(spark.sql(_NESTED, part=table(spark, sf_dir, "part")))
+
+
 @query(
     "first_heading",
     f"SELECT page_id, {q.plain(q.element('html', 'h1') + '[1]')} AS heading, "

