@@ -257,10 +257,16 @@ def clean_title_tokens(df: DataFrame, sheets: TitleSheets, title: str = "title")
     return compute_once(joined, "title_split").where(F.col("title_split") != "")
 
 
-def add_title_score(df: DataFrame, dims: dict[str, DataFrame], keep_parts: bool = False) -> DataFrame:
-    """Add `titleScore`; with `keep_parts` also the level and the matched title."""
+def add_title_score(
+    df: DataFrame, dims: dict[str, DataFrame], keep_parts: bool = False, per_token: bool = False
+) -> DataFrame:
+    """Add `titleScore`; with `keep_parts` also the level and the matched title.
+
+    The spelling map sees the whole title, or each of its tokens.
+    """
     kept = df.columns
-    scored = score_title(clean_title(df, dims), prepare_sheets(dims), "cleanTitle")
+    sheets = prepare_sheets(dims)
+    scored = score_title(clean_title(df, dims, per_token=per_token, sheets=sheets), sheets, "cleanTitle")
     parts = [F.col("score.title_level").alias("titleLevel"), F.col("score.new_title").alias("newTitle")]
     return scored.select(
         *[F.col(f"`{c}`") for c in kept],

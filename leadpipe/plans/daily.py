@@ -16,7 +16,7 @@ from leadpipe.operators.projection import swap_column
 from leadpipe.operators.relational import anti_existing, enrich_top1
 from leadpipe.operators.scoring import add_title_score
 from leadpipe.plans.cleaning import can_be_cleaned, clean_postings
-from leadpipe.schemas import UPLOAD_COLUMNS
+from leadpipe.schemas import TARGET_TYPE, UPLOAD_COLUMNS
 from leadpipe.sources.readers import scan_existing
 from leadpipe.sources.sinks import sink_append_batches, sink_dated_csv
 
@@ -28,6 +28,9 @@ def scored_postings(
     order_by: Sequence[str],
     existing: DataFrame | None = None,
     keep: Sequence[str] = (),
+    min_score: int = MIN_SCORE,
+    id_rule: str = "second",
+    per_token: bool = False,
 ) -> DataFrame:
     """Clean postings that score high enough, with score, state and some link.
 
@@ -39,10 +42,12 @@ def scored_postings(
     aged = raw.where(can_be_cleaned())
     age = p.parse_days_ago(F.col("job_date"))
     titled = aged.withColumn("JobTitle", F.when(age < p.MAX_AGE_DAYS, F.col("title")))
-    rated = add_title_score(titled, dims)
-    high = F.col("titleScore") >= MIN_SCORE
-    clean = clean_postings(rated, as_of, order_by, keep=["titleScore", *keep], texts_if=high)
-    scored = filter_score(clean)
+    rated = add_title_score(titled, dims, per_token=per_token)
+    high = F.col("titleScore") >= min_score
+    clean = clean_postings(
+        rated, as_of, order_by, id_rule, keep=["titleScore", *keep], texts_if=high
+    )
+    scored = filter_score(clean, threshold=min_score)
     if existing is not None:
         scored = anti_existing(scored, existing, unique=True)
     return scored.withColumns(
@@ -61,17 +66,19 @@ def daily_upload(
     as_of: datetime.date,
     order_by: Sequence[str],
     keep_own_link: bool = False,
+    **rules,
 ) -> DataFrame:
     """New high-scoring postings of a run, ready for the target.
 
     The search result replaces the company link, also by nothing;
-    `keep_own_link=True` keeps the link where the search found none.
+    `keep_own_link=True` keeps the link where the search found none.  `rules` are
+    those of `scored_postings`: score threshold, id rule and per-token spelling.
     """
-    new = scored_postings(raw, dims, as_of, order_by, existing)
+    new = scored_postings(raw, dims, as_of, order_by, existing, **rules)
     found = enrich_top1(new, results)
     if keep_own_link:
         found = found.withColumn("google_link", F.coalesce("google_link", "CompanyLink"))
-    return swap_column(found, "CompanyLink", "google_link").select(*UPLOAD_COLUMNS)
+    return swap_column(found, "CompanyLink", "google_link").select(*UPLOAD_COLUMNS, *rules.get("keep", ()))
 
 
 def run_daily(
@@ -83,15 +90,19 @@ def run_daily(
     report: str,
     as_of: datetime.date,
     order_by: Sequence[str],
+    tag: str = TARGET_TYPE,
+    **rules,
 ) -> DataFrame:
     """One day's job: append the new postings in batches, then report them as CSV.
 
     Ids of the same run date do not count as existing, so a repeated run
-    replaces its own rows.  Returns the rows per batch.
+    replaces its own rows.  Returns the rows per batch.  Batches are cut in the
+    feed's order, which travels with the rows.  `tag` names the type of the target
+    object, `rules` are those of `daily_upload`.
     """
     existing = scan_existing(spark, target).where(F.col("run_date") != str(as_of))
-    new = daily_upload(raw, dims, results, existing, as_of, order_by)
-    batches = sink_append_batches(new, target, as_of)
+    new = daily_upload(raw, dims, results, existing, as_of, order_by, keep=order_by, **rules)
+    batches = sink_append_batches(new, target, as_of, order_by, tag=tag)
     written = spark.read.parquet(f"{target}/run_date={as_of}").drop("batch", "type")
     sink_dated_csv(written, report, as_of)
     return batches

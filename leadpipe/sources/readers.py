@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,10 @@ CSV_FORMAT = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# A row of another width is kept as text in this column, which is null for all others.
+BAD_ROW = "_bad_row"
+KEEP_BAD_ROWS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW, "columnPruning": False}
+BAD_WIDTH = "number of fields"
 # Fixed values the feed's reader takes for a missing field.
 MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -47,27 +51,56 @@ def scan_csv(
 ) -> DataFrame:
     """Read the positional CSV feed under declared names and types.
 
-    A feed with more or fewer columns is an error.  Texts that stand for a
-    missing field are read as null.  Fields may hold line breaks, so a file is
-    read by one task; with `multi_line=False` large files without such fields
-    are split.
+    Rows with more or fewer fields are left out, and `csv_rejects` lists them; a
+    feed that has no others and another header is an error.  Texts that
+    stand for a missing field are read as null.  Fields may hold line breaks, so
+    a file is read by one task; with `multi_line=False` large files without such
+    fields are split.
     """
+    rows = _csv_rows(spark, path, schema, multi_line).where(~is_bad(schema))
     header = spark.read.options(**CSV_FORMAT).csv(path).columns
-    if len(header) != len(schema):
+    if len(header) != len(schema) and rows.isEmpty():
         raise ValueError(f"expected {len(schema)} columns, found {len(header)}: {header}")
-    rows = (
-        spark.read.schema(schema)
-        .options(**CSV_FORMAT, multiLine=multi_line, enforceSchema=True)
+    order = [
+        F.col("_metadata.file_path").alias("feed_file"),
+        F.col("_metadata.file_block_start").alias("feed_block"),
+        F.monotonically_increasing_id().alias("feed_row"),
+    ]
+    rows = rows.select(*schema.fieldNames(), *(order if with_order else []))
+    return missing_to_null(rows, schema.fieldNames())
+
+
+def csv_rejects(
+    spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = True
+) -> DataFrame:
+    """Rows that `scan_csv` leaves out, as `row`, with the `reason`."""
+    rows = _csv_rows(spark, path, schema, multi_line)
+    return rows.where(is_bad(schema)).select(
+        F.col(BAD_ROW).alias("row"), F.lit(BAD_WIDTH).alias("reason")
+    )
+
+
+def with_bad_row(schema: T.StructType) -> T.StructType:
+    """The schema with a field for rows that do not fit it."""
+    return T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+
+
+def is_bad(schema: T.StructType) -> Column:
+    """Is this a row of another width.
+
+    Spark reads the column of bad rows only along with another one, so the test
+    looks at both, at no character of the other.
+    """
+    other = F.substring(F.col(schema.fieldNames()[0]).cast("string"), 1, 0)
+    return F.length(F.concat_ws("", BAD_ROW, other)) > 0
+
+
+def _csv_rows(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    return (
+        spark.read.schema(with_bad_row(schema))
+        .options(**CSV_FORMAT, **KEEP_BAD_ROWS, multiLine=multi_line, enforceSchema=True)
         .csv(path)
     )
-    if with_order:
-        rows = rows.select(
-            "*",
-            F.col("_metadata.file_path").alias("feed_file"),
-            F.col("_metadata.file_block_start").alias("feed_block"),
-            F.monotonically_increasing_id().alias("feed_row"),
-        )
-    return missing_to_null(rows, schema.fieldNames())
 
 
 def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -81,12 +114,50 @@ def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 
 def scan_dims(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """Read the five scoring sheets, one file or folder each."""
+    """Read the five scoring sheets, one file or folder each, in their long form.
+
+    A CSV sheet of another number of columns is an error, see `scan_dims_wide`.
+    """
     options = CSV_FORMAT if fmt == "csv" else {}
-    return {
-        name: spark.read.schema(schema).options(**options).format(fmt).load(f"{folder}/{name}")
-        for name, schema in DIMENSIONS.items()
-    }
+    sheets = {}
+    for name, schema in DIMENSIONS.items():
+        path = f"{folder}/{name}"
+        if fmt == "csv":
+            header = spark.read.options(**CSV_FORMAT).csv(path).columns
+            fields = [f.strip().split()[0] for f in schema.split(",")]
+            if len(header) != len(fields):
+                raise ValueError(f"{name}: expected the columns {fields}, found {header}")
+        sheets[name] = spark.read.schema(schema).options(**options).format(fmt).load(path)
+    return sheets
+
+
+def scan_dims_wide(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Read the five scoring sheets as people keep them: without positions, and the title matrix
+    with one column of points per level.
+
+    A position is a row's place in its sheet, by file and then as in the file.
+    Columns go by place but for the level columns of the matrix, whose names are
+    the levels, in lower case.  A cell without points is no entry.
+    """
+    found = {}
+    for name, schema in DIMENSIONS.items():
+        sheet = spark.read.options(**CSV_FORMAT, multiLine=True).csv(f"{folder}/{name}")
+        rows = sheet.select(
+            F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id()).alias("_place"), *sheet.columns
+        )
+        place = F.row_number().over(Window.orderBy("_place")).cast("int")  # sheets are small
+        rows = rows.withColumn("pos", place).drop("_place")
+        fields = [f.strip().split() for f in schema.split(",")][1:]
+        if name == "title_matrix":
+            title, *levels = sheet.columns
+            rows = rows.unpivot(["pos", title], levels, "level", "points").withColumn("level", F.lower(F.trim("level")))
+            rows = rows.where("points IS NOT NULL")
+        given = [c for c in rows.columns if c != "pos"]
+        if len(given) != len(fields):
+            raise ValueError(f"{name}: expected {len(fields)} columns, found {given}")
+        typed = [F.col(f"`{c}`").cast(kind).alias(field) for c, (field, kind) in zip(given, fields, strict=True)]
+        found[name] = rows.select("pos", *typed)
+    return found
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

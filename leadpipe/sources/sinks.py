@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from leadpipe.functions.postings import truncate_rate
 from leadpipe.operators.projection import map_target_fields
 from leadpipe.operators.relational import BATCH_ROWS, anti_existing, batch_number, same_key
-from leadpipe.schemas import TARGET_FIELDS
+from leadpipe.schemas import TARGET_FIELDS, TARGET_TYPE
 from leadpipe.sources.readers import CSV_FORMAT
 
 
@@ -36,15 +36,17 @@ def sink_append_batches(
     run_date: datetime.date | str,
     order_by: Sequence[str] | None = None,
     rows: int = BATCH_ROWS,
+    tag: str = TARGET_TYPE,
 ) -> DataFrame:
     """Append rows in the target layout, numbered in batches; rows per batch.
 
-    Every row counts, not just the first one of a batch.
+    Every row counts, not just the first one of a batch.  `tag` names the type of
+    the target object.
     """
     path = run_folder(target, run_date)
     fields = {**TARGET_FIELDS, "batch": "batch"}
     numbered = batch_number(df.select(*TARGET_FIELDS, *_extra(order_by)), order_by, rows)
-    map_target_fields(numbered, fields).write.mode("overwrite").parquet(path)
+    map_target_fields(numbered, fields, tag).write.mode("overwrite").parquet(path)
     written = df.sparkSession.read.schema("batch bigint").parquet(path)
     return written.groupBy("batch").agg(F.count("*").alias("rows"))
 
@@ -71,10 +73,12 @@ def sink_update_by_id(
     """Rewrite the target to a new path with one truncated rate per listed id.
 
     Of several updates of an id the last one by `order_by` counts; without an
-    order the updates must hold an id once.
+    order several different ones are an error.
     """
     new = truncate_rate(F.col(field))
-    last = F.max_by(new, order_by) if order_by else F.max(new)
+    several = F.raise_error(F.lit(f"several updates of one {key}, and no order"))
+    only = F.when(F.min(new).eqNullSafe(F.max(new)), F.max(new)).otherwise(several.cast("double"))
+    last = F.max_by(new, order_by) if order_by else only
     latest = updates.groupBy(F.col(key).alias("_key")).agg(last.alias("_new"))
     (
         target.join(latest, same_key(F.col(key), F.col("_key")), "left")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from leadpipe import session
 from leadpipe.schemas import RAW_COLUMNS, TARGET_FIELDS
 from leadpipe.sources import readers, sinks
+from leadpipe.streaming.incremental import incremental_upload
 
 DAY = datetime.date(2017, 3, 1)
 
@@ -152,3 +153,80 @@ def test_scratch_folder_is_the_named_one(spark):
     assert session.shared_dir(local) == session.shared_dir(local)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Unconfigured("spark://host:7077"))
+
+
+def _mixed_feed(tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    head = ",".join(readers.RAW.fieldNames())
+    (feed / "a.csv").write_text(f"{head}\n" + "1,2,3,4,5,6,7,8\n")
+    (feed / "b.csv").write_text(f"x,{head}\n" + "0,1,2,3,4,5,6,7,8\n" * 2)
+    (feed / "c.csv").write_text("a,b\n" + '1,"2,3\n4",3,4,5,6,7\n' + "9,2,3,4,5,6,7,8\n")
+    return str(feed)
+
+
+def test_rows_of_another_width_are_rejects(spark, tmp_path):
+    feed = _mixed_feed(tmp_path)
+    kept = readers.scan_csv(spark, feed).collect()
+    assert sorted(r.url for r in kept) == ["1", "9"]
+    assert {r.job_date for r in kept} == {"8"}
+    rejects = readers.csv_rejects(spark, feed).collect()
+    assert len(kept) + len(rejects) == 5
+    assert {r.reason for r in rejects} == {readers.BAD_WIDTH}
+    assert "0,1,2,3,4,5,6,7,8" in {r.row for r in rejects}
+    assert readers.scan_csv(spark, feed).count() == 2
+
+
+def test_the_stream_rejects_them_too(spark, tmp_path):
+    feed = _mixed_feed(tmp_path)
+    folders = [str(tmp_path / name) for name in ("target", "checkpoint", "rejects")]
+    with pytest.raises(Exception, match="number of fields"):
+        incremental_upload(spark, feed, readers.RAW, folders[0], folders[1] + "0", "url", ["job_date"], fmt="csv")
+    incremental_upload(
+        spark, feed, readers.RAW, folders[0], folders[1], "url", ["job_date"], fmt="csv", rejects=folders[2]
+    )
+    assert sorted(r.url for r in spark.read.parquet(folders[0]).collect()) == ["1", "9"]
+    assert spark.read.parquet(folders[2]).count() == 3
+
+
+def test_repeated_keys_need_an_order(spark, tmp_path):
+    with pytest.raises(ValueError, match="order"):
+        incremental_upload(spark, str(tmp_path), readers.RAW, "t", "c", "url")
+
+
+def test_a_sheet_of_another_width_is_an_error(spark, tmp_path):
+    from leadpipe.schemas import DIMENSIONS
+
+    for name in DIMENSIONS:
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "s.csv").write_text("title,manager,director\nx,1,2\n")
+    with pytest.raises(ValueError, match="title_matrix"):
+        readers.scan_dims(spark, str(tmp_path))
+
+
+def test_wide_sheets(spark, tmp_path):
+    sheets = {
+        "title_matrix": "Title,Manager,Vice President\nring,70,75\nbolt,,80\n",
+        "mapping": "old,new\na,b\n",
+        "level_mapping": "Actual,SFDC\nsenior,manager\nlead,director\n",
+        "keywords": "k,p\nz,3\n",
+        "no_match_levels": "l,p\nmanager,8\n",
+    }
+    for name, text in sheets.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "s.csv").write_text(text)
+    found = readers.scan_dims_wide(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found["title_matrix"].collect()) == [
+        (1, "ring", "manager", 70), (1, "ring", "vice president", 75), (2, "bolt", "vice president", 80),
+    ]
+    assert sorted(tuple(r) for r in found["level_mapping"].collect()) == [(1, "senior", "manager"), (2, "lead", "director")]
+    assert found["keywords"].dtypes == [("pos", "int"), ("keyword", "string"), ("points", "int")]
+
+
+def test_several_updates_without_an_order_are_an_error(frame, tmp_path):
+    target = frame([("a", 0.1), ("b", 0.2)], "Id string, rate double")
+    same = frame([("a", 0.5), ("a", 0.5)], "Id string, rate double")
+    rows = sinks.sink_update_by_id(target, same, "Id", "rate", str(tmp_path / "one")).collect()
+    assert {r.Id: r.rate for r in rows} == {"a": 0.5, "b": 0.2}
+    with pytest.raises(Exception, match="several updates"):
+        sinks.sink_update_by_id(target, same.unionAll(target), "Id", "rate", str(tmp_path / "two"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from leadpipe.plans import cleaning, daily
 from leadpipe.session import scratch_path
+from leadpipe.sources.readers import CSV_FORMAT
 from leadpipe.streaming.incremental import incremental_upload as run_incremental
 from workload import sqltext as q
 from workload.data import (
@@ -145,6 +146,44 @@ def run_daily(spark, sf_dir):
     return batches
 
 
+_ORDERED = scored_sql(clean_sql(POST, more=f", {ORDER_SQL}"))
+_TARGET_ROWS = f"""
+SELECT new.JobId AS JobId__c, new.AccountName AS Account_Name__c, new.JobLocation AS Job_Location__c,
+  new.PostDate AS Post_Date__c, new.JobTitle AS Job_Title__c, new.JobLink AS Job_Link__c,
+  url AS Company_Link__c, new.JobDescription AS Job_Description__c, new.titleScore AS Title_Score__c,
+  new.State AS State__c, (row_number() OVER (ORDER BY {ORDER_SQL}) - 1) // 100 AS batch
+FROM ({_ORDERED}) AS new LEFT JOIN {FIRST_URL} ON AccountName = query
+WHERE NOT EXISTS (SELECT 1 FROM ({EXISTING_SQL}) AS old WHERE old.JobId = new.JobId)"""
+
+
+def _ran(spark, sf_dir):
+    """Folders of a day's job over a target that holds ids of an earlier day."""
+    target, report = scratch_path(spark, "target"), scratch_path(spark, "report")
+    existing_ids(spark, sf_dir).select(F.col("JobId").alias("JobId__c")).write.parquet(
+        f"{target}/run_date=2001-01-01"
+    )
+    raw, sheets, results = postings(spark, sf_dir), dims(spark), search_results(spark, sf_dir)
+    daily.run_daily(spark, raw, sheets, results, target, report, AS_OF, ORDER, tag="Lead__c")
+    return f"{target}/run_date={AS_OF}", f"{report}/run_date={AS_OF}"
+
+
+@query("run_daily_rows", f"SELECT *, 'Lead__c' AS type FROM ({_TARGET_ROWS})")
+def run_daily_rows(spark, sf_dir):
+    """Every field and the batch of each row that the job appends."""
+    rows = spark.read.parquet(_ran(spark, sf_dir)[0])
+    return rows.withColumn("Post_Date__c", F.col("Post_Date__c").cast("string"))
+
+
+@query(
+    "run_daily_report",
+    f"SELECT * EXCLUDE (batch, Title_Score__c), CAST(Title_Score__c AS VARCHAR) AS Title_Score__c "
+    f"FROM ({_TARGET_ROWS})",
+)
+def run_daily_report(spark, sf_dir):
+    """The same rows as the job's CSV report has them."""
+    return spark.read.options(**CSV_FORMAT, multiLine=True).csv(_ran(spark, sf_dir)[1])
+
+
 _SITE_PAGES = """
 SELECT page_id, concat('https://jobs.example.com/cmp/', page_id) AS url,
   replace(replace(replace(html, '<li>', '<dd>'), '</li>', '</dd>'),

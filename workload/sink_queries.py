@@ -81,6 +81,43 @@ def scan_dims(spark, sf_dir):
     return rows
 
 
+# Level columns of a matrix as people keep it.
+_LEVELS = ["Manager", "Director", "Vice President"]
+
+
+@query(
+    "scan_dims_wide",
+    """SELECT 'title_matrix' AS sheet, CAST(nth AS INTEGER) AS pos, p_name AS entry, level AS more,
+         CASE level WHEN 'manager' THEN p_size WHEN 'director' THEN p_size + 1 ELSE p_size * 2 END AS value
+       FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS nth FROM part),
+         (VALUES ('manager'), ('director'), ('vice president')) AS l(level)
+       WHERE NOT (level = 'director' AND p_size % 5 = 0)
+       UNION ALL SELECT 'keywords', CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER), p_name, NULL, p_size
+       FROM part""",
+)
+def scan_dims_wide(spark, sf_dir):
+    """Sheets without positions, the matrix with a column per level and empty cells."""
+    folder = scratch_path(spark, "sheets")
+    part = table(spark, sf_dir, "part").orderBy("p_partkey").coalesce(1)
+    cells = [F.col("p_size"), F.when(F.col("p_size") % 5 != 0, F.col("p_size") + 1), F.col("p_size") * 2]
+    matrix = part.select(F.col("p_name").alias("Title"), *[c.alias(n) for c, n in zip(cells, _LEVELS, strict=True)])
+    two = {"mapping": "p_type", "level_mapping": "p_brand", "keywords": "p_size", "no_match_levels": "p_size"}
+    written = {"title_matrix": matrix} | {name: part.select("p_name", value) for name, value in two.items()}
+    for name, sheet in written.items():
+        sheet.write.options(**readers.CSV_FORMAT).csv(f"{folder}/{name}")
+    sheets = readers.scan_dims_wide(spark, folder)
+    wide = sheets["title_matrix"].select(
+        F.lit("title_matrix").alias("sheet"), "pos", F.col("title").alias("entry"), F.col("level").alias("more"),
+        F.col("points").alias("value"),
+    )
+    return wide.unionByName(
+        sheets["keywords"].select(
+            F.lit("keywords").alias("sheet"), "pos", F.col("keyword").alias("entry"),
+            F.lit(None).cast("string").alias("more"), F.col("points").alias("value"),
+        )
+    )
+
+
 @query("scan_existing", EXISTING_SQL)
 def scan_existing(spark, sf_dir):
     target = scratch_path(spark, "target")
