@@ -120,17 +120,21 @@ def best_score(df: DataFrame, key: str, value: str, score: str, pos: str) -> Dat
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str | Column] | None = None, into: str = "nth"
+    df: DataFrame,
+    order_by: Sequence[str | Column] | None = None,
+    into: str = "nth",
+    path: str | None = None,
 ) -> DataFrame:
     """Number all rows from 0 without a window over the data.
 
     In a total order, or without one in the order the rows are in, which needs
     no shuffle.  The rows are written once with their partition and place in
     it.  The place among all rows is then the place in the partition plus the
-    rows of all earlier partitions, a table of one row per partition.
+    rows of all earlier partitions, a table of one row per partition.  `path` is
+    where the rows are written, for a caller that deletes them.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, "numbered")
+    path = path or scratch_path(spark, "numbered")
     if order_by:
         ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     else:
@@ -158,9 +162,10 @@ def batch_number(
     order_by: Sequence[str | Column] | None = None,
     rows: int = BATCH_ROWS,
     into: str = "batch",
+    path: str | None = None,
 ) -> DataFrame:
     """Number consecutive chunks of `rows` rows, from 0; see `number_rows`."""
-    numbered = number_rows(df, order_by, into)
+    numbered = number_rows(df, order_by, into, path)
     return numbered.withColumn(into, F.floor(F.col(into) / rows))
 
 

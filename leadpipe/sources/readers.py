@@ -28,16 +28,6 @@ MISSING = [
 ]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a scan of fewer splits than cores among all cores.
-
-    For small inputs under costly expressions; a scan of many splits is left
-    as it is, so a large table is never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # Order of a feed's rows: by file name, then as in the file.
 FEED_ORDER = ["feed_file", "feed_block", "feed_row"]
 

@@ -16,6 +16,7 @@ from leadpipe.functions.postings import truncate_rate
 from leadpipe.operators.projection import map_target_fields
 from leadpipe.operators.relational import BATCH_ROWS, anti_existing, batch_number, same_key
 from leadpipe.schemas import TARGET_FIELDS, TARGET_TYPE
+from leadpipe.session import scratch
 from leadpipe.sources.readers import CSV_FORMAT
 
 
@@ -45,8 +46,10 @@ def sink_append_batches(
     """
     path = run_folder(target, run_date)
     fields = {**TARGET_FIELDS, "batch": "batch"}
-    numbered = batch_number(df.select(*TARGET_FIELDS, *_extra(order_by)), order_by, rows)
-    map_target_fields(numbered, fields, tag).write.mode("overwrite").parquet(path)
+    with scratch(df.sparkSession, "numbered") as kept:
+        chosen = df.select(*TARGET_FIELDS, *_extra(order_by))
+        numbered = batch_number(chosen, order_by, rows, path=kept)
+        map_target_fields(numbered, fields, tag).write.mode("overwrite").parquet(path)
     written = df.sparkSession.read.schema("batch bigint").parquet(path)
     return written.groupBy("batch").agg(F.count("*").alias("rows"))
 

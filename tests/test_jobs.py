@@ -1,9 +1,11 @@
 """Whole jobs on small invented postings."""
 
 import datetime
+from pathlib import Path
 
 import pytest
 
+from leadpipe import session
 from leadpipe.plans import cleaning, daily
 from leadpipe.schemas import CLEAN_COLUMNS, RAW_COLUMNS, UPLOAD_COLUMNS
 from leadpipe.sources.readers import CSV_FORMAT
@@ -100,10 +102,13 @@ def test_days_in_a_row(spark, raw, results, tmp_path):
         )
         return sum(r["rows"] for r in batches.collect())
 
+    before = set(Path(session.shared_dir(spark).removeprefix("file:")).glob("*"))
     next_day = DAY + datetime.timedelta(days=1)
     assert run(DAY) == 2
     assert run(DAY) == 2  # a rerun replaces its own rows
     assert run(next_day) == 0  # nothing new
+    # The job removes the tables it kept for itself.
+    assert set(Path(session.shared_dir(spark).removeprefix("file:")).glob("*")) == before
     assert spark.read.parquet(target).count() == 2
     assert spark.read.option("header", True).csv(report).count() == 2
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadpipe.functions.postings import title_case
-from leadpipe.sources.readers import spread
 from workload import sqltext as q
 
 AS_OF = datetime.date(2001, 8, 1)
@@ -225,6 +224,15 @@ def _escape(text: str) -> str:
 COSTLY = ("lineitem", "documents", "pages")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scan of fewer splits than cores among all cores.
+
+    For the small test tables, which are one file with one row group each.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return spread(rows) if name in COSTLY else rows
