@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadpipe.llm import words as W
@@ -26,18 +26,18 @@ from leadpipe.session import scratch_path
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# A pair of similarity 0.8 shares a band with a probability of 0.99997.
-BANDS = 20
-ROWS = 4
+# A pair of similarity 0.8 shares a band with a probability of 0.998.
+BANDS = 16
+ROWS = 5
 COORDINATES = BANDS * ROWS
 # Darts expected per text; an empty coordinate then has a probability of 1/(k e^2).
 DARTS = int(COORDINATES * np.log(COORDINATES) + 2 * COORDINATES)
 # Members outside a band's largest class that meet all others in it.
-OUTSIDERS = 8
+OUTSIDERS = 4
 # Members of a band's largest class that are drawn for a turn, and how many of those drawn
 # in all of its bands a member of another class is compared with.
-LEADERS = 12
-NEAREST = 8
+LEADERS = 6
+NEAREST = 6
 # Eight bytes each: 32 MB.
 MAX_BROADCAST_ROWS = 4_000_000
 
@@ -161,6 +161,7 @@ def _sign(texts: pa.Array) -> list:
     return [
         pa.array([k if s else None for k, s in zip(keys, some, strict=True)], pa.binary()),
         pa.array([list(b) if s else [] for b, s in zip(bands, some, strict=True)], pa.list_(pa.int64())),
+        np.diff(first).astype(np.int64),
     ]
 
 
@@ -220,58 +221,70 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def _may_be(a: str, b: str, similarity: float) -> Column:
+    """Sets whose sizes differ by more cannot be as similar."""
+    return F.least(a, b) >= similarity * F.greatest(a, b)
+
+
 def _split(met: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of the bands whose members are in more than one class, with their classes."""
     known = labels.select(F.col("node").alias("node_"), "root")
     now = met.join(known, same_key(F.col("node"), F.col("node_")), "left").select(
-        "band", "node", "n", F.coalesce("root", "node").alias("root")
+        "band", "node", "size", "n", F.coalesce("root", "node").alias("root")
     )
     apart = now.groupBy(F.col("band").alias("open")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
     return now.join(apart.where("low <> high").select("open"), same_key(F.col("band"), F.col("open")), "left_semi")
 
 
-def _first_pairs(met: DataFrame) -> DataFrame:
+def _first_pairs(met: DataFrame, similarity: float) -> DataFrame:
     """Each member of a band and the member that meets the most others in all of its bands."""
     degree = met.groupBy(F.col("node").alias("node_")).agg(F.sum("n").alias("degree"))
-    ranked = met.join(degree, F.col("node") == F.col("node_")).select("band", "node", "degree")
-    lead = ranked.groupBy(F.col("band").alias("led")).agg(F.max_by("node", F.struct("degree", "node")).alias("lead"))
-    return _pairs(met.join(lead, same_key(F.col("band"), F.col("led"))).where("node <> lead"), "node", "lead")
+    ranked = met.join(degree, F.col("node") == F.col("node_")).select("band", "node", "size", "degree")
+    lead = ranked.groupBy(F.col("band").alias("led")).agg(
+        F.max_by(F.struct("node", "size"), F.struct("degree", "node")).alias("lead")
+    )
+    lead = lead.select("led", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size"))
+    near = _may_be("size", "lead_size", similarity) & (F.col("node") != F.col("lead"))
+    return _pairs(met.join(lead, same_key(F.col("band"), F.col("led")) & near), "node", "lead")
 
 
 def _outside(rows: DataFrame) -> DataFrame:
     """The rows with the band's largest class, `lead`, and how many members are in others."""
-    sizes = rows.groupBy("band", "root").agg(F.count("*").alias("size"), F.min("n").alias("n"))
-    lead = sizes.groupBy(F.col("band").alias("led")).agg(
-        F.max_by("root", F.struct("size", "root")).alias("lead"), (F.first("n") - F.max("size")).alias("outside")
+    classes = rows.groupBy("band", "root").agg(F.count("*").alias("members"), F.min("n").alias("n"))
+    lead = classes.groupBy(F.col("band").alias("led")).agg(
+        F.max_by("root", F.struct("members", "root")).alias("lead"),
+        (F.first("n") - F.max("members")).alias("outside"),
     )
     return rows.join(lead, same_key(F.col("band"), F.col("led"))).drop("led")
 
 
-def _all_pairs(few: DataFrame) -> DataFrame:
+def _all_pairs(few: DataFrame, similarity: float) -> DataFrame:
     """The few members outside a band's largest class with all members of other classes than
     their own."""
     others = few.where("root <> lead").select(
-        F.col("band").alias("band_"), F.col("node").alias("other"), F.col("root").alias("root_")
+        F.col("band").alias("band_"), F.col("node").alias("other"), F.col("root").alias("root_"), F.col("size").alias("size_")
     )
-    return _pairs(few.join(others, F.col("band") == F.col("band_")).where("root <> root_"), "node", "other")
+    apart = (F.col("band") == F.col("band_")) & (F.col("root") != F.col("root_"))
+    return _pairs(few.join(others, apart & _may_be("size", "size_", similarity)), "node", "other")
 
 
-def _some_pairs(many: DataFrame, turn: int) -> DataFrame:
+def _some_pairs(many: DataFrame, similarity: float, turn: int) -> DataFrame:
     """A member of each class with those of LEADERS of a band's largest class that it shares the
     most bands with; other members and leaders in each turn.
 
     Only names are joined to find the NEAREST ones.
     """
     chance = F.xxhash64(F.lit(turn), "node")
+    one = F.max_by(F.struct("node", "size"), chance).alias("one")
     leaders = (
         many.where("root = lead")
         .groupBy(F.col("band").alias("band_"), F.pmod(chance, F.lit(LEADERS)).alias("slot"))
-        .agg(F.max_by("node", chance).alias("leader"))
-    )
-    others = many.where("root <> lead").groupBy("band", "root").agg(F.max_by("node", chance).alias("node"))
-    shared = (
-        others.join(leaders, F.col("band") == F.col("band_")).groupBy("node", "leader").agg(F.count("*").alias("bands"))
+        .agg(one)
+        .select("band_", F.col("one.node").alias("leader"), F.col("one.size").alias("size_"))
     )
+    others = many.where("root <> lead").groupBy("band", "root").agg(one).select("band", "one.node", "one.size")
+    near = (F.col("band") == F.col("band_")) & _may_be("size", "size_", similarity)
+    shared = others.join(leaders, near).groupBy("node", "leader").agg(F.count("*").alias("bands"))
     nearest = Window.partitionBy("node").orderBy(F.desc("bands"), F.xxhash64(F.lit(turn), "leader"))
     return _pairs(shared.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= NEAREST), "node", "leader")
 
@@ -286,34 +299,36 @@ def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "t
     each class meets some of the largest class, others in each turn, until a turn
     links nothing.
     So pairs grow with the members, and turns concern what is still apart.
-    Every pair is compared exactly.  Only texts that share a band are read again; their
+    Pairs whose sizes rule the similarity out are left out, all others are
+    compared exactly.  Only texts that share a band are read again; their
     ids are broadcast if few, else joined.
     """
     nodes = signed.where("content IS NOT NULL").groupBy(F.col("content").alias("node")).agg(
-        F.min("id").alias("id"), F.first("bands").alias("bands")
+        F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("size").alias("size")
     )
-    each = nodes.select("node", "id", F.explode("bands").alias("band"))
+    each = nodes.select("node", "id", "size", F.explode("bands").alias("band"))
     shared = each.groupBy(F.col("band").alias("shared")).agg(F.count("*").alias("n")).where("n > 1")
-    met = each.join(shared, same_key(F.col("band"), F.col("shared"))).select("band", "node", "id", "n")
+    met = each.join(shared, same_key(F.col("band"), F.col("shared"))).select("band", "node", "size", "id", "n")
     met = _saved(met, "bands")
     ids = _saved(met.select("id").distinct(), "ids")
     some = F.broadcast(ids) if ids.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else ids
     again = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(some, "id", "left_semi")
     sets = W.map_texts(again, _sets, "content binary, hashes array<long>", [], "text")
     sets = _saved(sets.groupBy("content").agg(F.first("hashes").alias("hashes")), "sets")
-    found = _saved(_close(_first_pairs(met), sets, similarity), "links")
+    found = _saved(_close(_first_pairs(met, similarity), sets, similarity), "links")
     rows = _split(met, components(found))
     for turn in itertools.count():
         rows = _saved(_outside(rows), "split")
         if rows.isEmpty():
             return found
         many = rows.where(F.col("outside") > OUTSIDERS)
-        tried = _all_pairs(rows.where(F.col("outside") <= OUTSIDERS)).union(_some_pairs(many, turn)).distinct()
+        few = rows.where(F.col("outside") <= OUTSIDERS)
+        tried = _all_pairs(few, similarity).union(_some_pairs(many, similarity, turn)).distinct()
         more = _saved(_close(tried, sets, similarity), "links")
         if more.isEmpty():
             return found
         found = found.union(more)
-        rows = _split(many.select("band", "node", "n"), components(found))
+        rows = _split(many.select("band", "node", "size", "n"), components(found))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -346,7 +361,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _sign_all(plain: DataFrame) -> DataFrame:
-    return _saved(W.map_texts(plain, _sign, "content binary, bands array<long>", ["id"], "text"), "signed")
+    return _saved(W.map_texts(plain, _sign, "content binary, bands array<long>, size long", ["id"], "text"), "signed")
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
