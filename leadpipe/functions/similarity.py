@@ -1,12 +1,14 @@
 """Fuzzy ratios as an Arrow UDF - the one place Spark has no expression for.
 
-Scores are whole percents of matching characters.  A candidate list lives in
+Scores are whole percents of matching characters, by the published rules of
+token-sort, token-set and weighted ratios; letters beyond ASCII count as letters.  A candidate list lives in
 one cell, so a row is scored where it is and nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -101,12 +103,13 @@ def best_candidate(name: Column, links: Column, mode: str = "token_set_ratio") -
     compare = MODES[mode]
 
     @F.pandas_udf(BEST)
-    def score(names: pd.Series, lists: pd.Series) -> pd.DataFrame:
-        once = lru_cache(maxsize=100_000)(compare)
-        rows = [
-            (None, None) if n is None or ls is None else best_of(n, ls, once)
-            for n, ls in zip(names, lists, strict=True)
-        ]
-        return pd.DataFrame(rows, columns=["link", "score"]).astype({"score": "Int32"})
+    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        once = lru_cache(maxsize=100_000)(compare)  # for all batches of a task
+        for names, lists in batches:
+            rows = [
+                (None, None) if n is None or ls is None else best_of(n, ls, once)
+                for n, ls in zip(names, lists, strict=True)
+            ]
+            yield pd.DataFrame(rows, columns=["link", "score"]).astype({"score": "Int32"})
 
     return score(name, links)
