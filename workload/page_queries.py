@@ -65,25 +65,30 @@ def has_n_links(spark, sf_dir):
     return single.select("page_id", "CompanyLink", F.get("links", F.lit(0)).alias("link"))
 
 
-@query("best_candidate")
-def best_candidate_link(spark, sf_dir):
+def _best_sql(scores) -> str:
+    rows = f"SELECT page_id, {q.compact('AccountName')} AS name, links FROM {LINKED}"
+    return f"SELECT page_id, AccountName, link, score FROM {LINKED} JOIN ({q.best_links(rows, 'page_id', scores)}) USING (page_id)"
+
+
+def _best(spark, sf_dir, mode):
     linked = _linked(spark, sf_dir)
-    best = best_candidate(p.compact_name(F.col("AccountName")), F.col("links"))
+    best = best_candidate(p.compact_name(F.col("AccountName")), F.col("links"), mode)
     return linked.withColumn("best", best).select("page_id", "AccountName", "best.*")
 
 
-@query("best_candidate_extract_one")
+@query("best_candidate", _best_sql(q.token_set_scores))
+def best_candidate_link(spark, sf_dir):
+    return _best(spark, sf_dir, "token_set_ratio")
+
+
+@query("best_candidate_extract_one", _best_sql(q.weighted_scores))
 def best_candidate_extract_one(spark, sf_dir):
-    linked = _linked(spark, sf_dir)
-    best = best_candidate(p.compact_name(F.col("AccountName")), F.col("links"), "extractOne")
-    return linked.withColumn("best", best).select("page_id", "AccountName", "best.*")
+    return _best(spark, sf_dir, "extractOne")
 
 
-@query("best_candidate_token_sort")
+@query("best_candidate_token_sort", _best_sql(q.token_sort_scores))
 def best_candidate_token_sort(spark, sf_dir):
-    linked = _linked(spark, sf_dir)
-    best = best_candidate(p.compact_name(F.col("AccountName")), F.col("links"), "token_sort_ratio")
-    return linked.withColumn("best", best).select("page_id", "AccountName", "best.*")
+    return _best(spark, sf_dir, "token_sort_ratio")
 
 
 LIST = '<dl class="wide cmp-inline-block">'

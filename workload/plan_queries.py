@@ -192,7 +192,23 @@ FROM {pages}
 """
 
 
-@query("link_discovery")
+_PAIRS = f"""(SELECT row_number() OVER () AS n, * FROM (SELECT DISTINCT CompanyLink, AccountName FROM ({SCORED})))"""
+_SITE_LINKS = q.outside_links(q.hrefs_in("html", "dd"))
+_DISCOVERED = f"""(SELECT n, CompanyLink, AccountName, CASE WHEN contains(CompanyLink, 'google') THEN [CompanyLink]
+    WHEN len(found) > 0 THEN found ELSE ['https://www.google.com/#q=' || AccountName] END AS links
+  FROM {_PAIRS} LEFT JOIN (SELECT url, arg_min({_SITE_LINKS}, page_id) AS found
+    FROM ({_SITE_PAGES.format(pages="pages")}) GROUP BY url) ON CompanyLink = url)"""
+_BEST = q.best_links(
+    f"SELECT n, {q.compact('AccountName')} AS name, links FROM {_DISCOVERED}", "n", q.token_set_scores
+)
+
+
+@query(
+    "link_discovery",
+    f"""WITH discovered AS MATERIALIZED {_DISCOVERED}
+    SELECT CompanyLink, AccountName, array_to_string(links, '|') AS links, link, score
+    FROM discovered JOIN ({_BEST.replace(_DISCOVERED, "discovered")}) USING (n)""",
+)
 def link_discovery(spark, sf_dir):
     scored = daily.scored_postings(postings(spark, sf_dir), dims(spark), AS_OF, ORDER)
     site = spark.sql(_SITE_PAGES, pages=table(spark, sf_dir, "pages"))

@@ -247,3 +247,129 @@ def page_text(x: str) -> str:
         f"list_transform(string_split({marked}, chr(1))[2:], "
         f"lambda b: {plain('string_split(b, chr(2))[1]')})"
     )
+
+
+def prepared(x: str) -> str:
+    """Lower case, anything but letters, digits and `_` a blank, ends trimmed."""
+    return rf"trim(lower(regexp_replace({x}, '[^\p{{L}}\p{{N}}_]', ' ', 'g')))"
+
+
+def tokens(x: str) -> str:
+    return f"list_filter(string_split({prepared(x)}, ' '), lambda t: t <> '')"
+
+
+def blocks(pairs: str) -> str:
+    """Rows (a, b, i, j, n) of the matched parts of the distinct pairs `a, b` of a query.
+
+    The longest common part, the first one of several, is matched, then what is
+    left and right of it in the same way.
+    """
+    return f"""(
+  WITH RECURSIVE numbered AS MATERIALIZED (
+    SELECT row_number() OVER () AS p, a, b FROM (SELECT DISTINCT a, b FROM ({pairs}))),
+  side_a AS (SELECT p, unnest(range(0, len(a))) AS i, unnest(string_split(a, '')) AS x FROM numbered WHERE a <> ''),
+  side_b AS (SELECT p, unnest(range(0, len(b))) AS j, unnest(string_split(b, '')) AS x FROM numbered WHERE b <> ''),
+  met AS (SELECT p, i, j, i - row_number() OVER (PARTITION BY p, i - j ORDER BY i) AS island
+    FROM side_a JOIN side_b USING (p, x)),
+  cell AS MATERIALIZED (
+    SELECT p, i, j, max(i) OVER (PARTITION BY p, i - j, island) - i + 1 AS run FROM met),
+  walk AS (
+    SELECT p, 0::BIGINT AS a0, len(a)::BIGINT AS a1, 0::BIGINT AS b0, len(b)::BIGINT AS b1,
+      NULL::BIGINT AS i, NULL::BIGINT AS j, NULL::BIGINT AS n
+    FROM numbered
+    UNION ALL
+    SELECT p, part.a0, part.a1, part.b0, part.b1, part.i, part.j, part.n FROM (
+      SELECT p, unnest([
+          {{'a0': a0, 'a1': -m.i, 'b0': b0, 'b1': -m.j, 'i': -m.i, 'j': -m.j, 'n': m.n}},
+          {{'a0': m.n - m.i, 'a1': a1, 'b0': m.n - m.j, 'b1': b1, 'i': NULL, 'j': NULL, 'n': NULL}}]) AS part
+      FROM (
+        SELECT p, a0, a1, b0, b1,
+          max({{'n': least(run, a1 - cell.i, b1 - cell.j), 'i': -cell.i, 'j': -cell.j}}) AS m
+        FROM walk JOIN cell USING (p)
+        WHERE cell.i >= a0 AND cell.i < a1 AND cell.j >= b0 AND cell.j < b1
+        GROUP BY p, a0, a1, b0, b1)))
+  SELECT a, b, i, j, n FROM walk JOIN numbered USING (p) WHERE n IS NOT NULL)"""
+
+
+def ratios(pairs: str) -> str:
+    """Rows (a, b, exact, score) for the distinct pairs: matched characters in percent of all."""
+    return f"""
+SELECT a, b, exact, round_even(exact, 0) AS score FROM (
+  SELECT a, b, CASE WHEN a = '' OR b = '' THEN 0 ELSE 100 * (2.0::DOUBLE * coalesce(matched, 0) / (len(a) + len(b))) END
+    AS exact
+  FROM (SELECT DISTINCT a, b FROM ({pairs})) AS pair
+  LEFT JOIN (SELECT a, b, sum(n) AS matched FROM {blocks(pairs)} GROUP BY a, b) AS found USING (a, b))"""
+
+
+def partial_ratios(pairs: str) -> str:
+    """The same for the shorter text and the best of the equally long parts of the longer one that
+    start where a matched part puts them."""
+    ordered = f"""SELECT DISTINCT a AS a_, b AS b_, CASE WHEN len(a) <= len(b) THEN a ELSE b END AS a,
+        CASE WHEN len(a) <= len(b) THEN b ELSE a END AS b FROM ({pairs})"""
+    starts = f"""SELECT a, b, greatest(0, j - i) AS start FROM {blocks(ordered)}
+      UNION SELECT a, b, len(b) - len(a) FROM ({ordered})"""
+    windows = f"SELECT a, b, substr(b, (start + 1)::BIGINT, len(a)) AS part FROM ({starts})"
+    return f"""
+SELECT a_ AS a, b_ AS b, round_even(max(exact), 0) AS score FROM ({ordered}) AS o
+JOIN ({windows}) AS w USING (a, b)
+JOIN (SELECT a, b AS part, exact FROM ({ratios(f'SELECT a, part AS b FROM ({windows})')})) AS r USING (a, part)
+GROUP BY a_, b_"""
+
+
+def sorted_tokens(x: str) -> str:
+    return f"array_to_string(list_sort({tokens(x)}), ' ')"
+
+
+def token_sort_scores(pairs: str, ratios=ratios) -> str:
+    """Rows (link, name, score) for the distinct pairs `link, name`."""
+    keyed = (
+        f"SELECT DISTINCT link, name, {sorted_tokens('link')} AS a, {sorted_tokens('name')} AS b FROM ({pairs})"
+    )
+    return f"SELECT link, name, score FROM ({keyed}) AS k JOIN ({ratios(keyed)}) AS r USING (a, b)"
+
+
+def token_set_scores(pairs: str, ratios=ratios) -> str:
+    """The best of three ratios: shared tokens, and those with the rest of either side."""
+    join = lambda x: f"array_to_string(list_sort({x}), ' ')"
+    sets = f"""SELECT DISTINCT link, name, list_distinct({tokens('link')}) AS l, list_distinct({tokens('name')}) AS n
+      FROM ({pairs})"""
+    both = "list_intersect(l, n)"
+    keyed = f"""SELECT link, name, len(l) = 0 OR len(n) = 0 AS empty, {join(both)} AS shared,
+        trim(concat({join(both)}, ' ', {join('list_filter(l, lambda t: NOT list_contains(n, t))')})) AS first,
+        trim(concat({join(both)}, ' ', {join('list_filter(n, lambda t: NOT list_contains(l, t))')})) AS second
+      FROM ({sets})"""
+    compared = f"""SELECT link, name, empty, unnest([{{'a': shared, 'b': first}}, {{'a': shared, 'b': second}},
+        {{'a': first, 'b': second}}], recursive := true) FROM ({keyed})"""
+    return f"""SELECT link, name, max(CASE WHEN empty THEN 0 ELSE score END) AS score
+      FROM ({compared}) AS c JOIN ({ratios(f'SELECT a, b FROM ({compared})')}) AS r USING (a, b) GROUP BY link, name"""
+
+
+def weighted_scores(pairs: str) -> str:
+    """The best of the ratios, the looser ones counting less, by how the lengths compare."""
+    keyed = f"SELECT DISTINCT link, name, {prepared('link')} AS a, {prepared('name')} AS b FROM ({pairs})"
+    sized = f"""SELECT *, CASE WHEN a = '' OR b = '' THEN NULL
+        ELSE greatest(len(a), len(b)) / least(len(a), len(b))::DOUBLE END AS lengths FROM ({keyed})"""
+    near = f"SELECT * FROM ({sized}) WHERE lengths < 1.5"
+    far = f"SELECT *, CASE WHEN lengths > 8 THEN 0.6::DOUBLE ELSE 0.9::DOUBLE END AS scale FROM ({sized}) WHERE lengths >= 1.5"
+    named = lambda rows: f"SELECT link, name FROM ({rows})"
+    loose = "0.95::DOUBLE"
+    return f"""
+SELECT link, name, 0 AS score FROM ({sized}) WHERE lengths IS NULL
+UNION ALL
+SELECT link, name, round_even(greatest(r.score::DOUBLE, {loose} * t.score, {loose} * s.score), 0)
+FROM ({near}) JOIN ({ratios(near)}) AS r USING (a, b)
+JOIN ({token_sort_scores(named(near))}) AS t USING (link, name)
+JOIN ({token_set_scores(named(near))}) AS s USING (link, name)
+UNION ALL
+SELECT link, name, round_even(greatest(r.score::DOUBLE, scale * p.score, scale * {loose} * t.score,
+  scale * {loose} * s.score), 0)
+FROM ({far}) JOIN ({ratios(far)}) AS r USING (a, b) JOIN ({partial_ratios(far)}) AS p USING (a, b)
+JOIN ({token_sort_scores(named(far), partial_ratios)}) AS t USING (link, name)
+JOIN ({token_set_scores(named(far), partial_ratios)}) AS s USING (link, name)"""
+
+
+def best_links(rows: str, key: str, scores) -> str:
+    """Key, best link and its score for rows of key, name and links; the first of equal ones."""
+    pairs = f"SELECT {key}, name, unnest(links) AS link, generate_subscripts(links, 1) AS nth FROM ({rows})"
+    return f"""SELECT {key}, arg_min(link, {{'s': -score, 'n': nth}}) AS link, max(score)::INTEGER AS score
+      FROM ({pairs}) AS p JOIN ({scores(f'SELECT link, name FROM ({pairs})')}) AS s USING (link, name) GROUP BY {key}"""
