@@ -254,7 +254,7 @@ def prepared(x: str) -> str:
     return rf"trim(lower(regexp_replace({x}, '[^\p{{L}}\p{{N}}_]', ' ', 'g')))"
 
 
-def tokens(x: str) -> str:
+def ratio_tokens(x: str) -> str:
     return f"list_filter(string_split({prepared(x)}, ' '), lambda t: t <> '')"
 
 
@@ -317,7 +317,7 @@ GROUP BY a_, b_"""
 
 
 def sorted_tokens(x: str) -> str:
-    return f"array_to_string(list_sort({tokens(x)}), ' ')"
+    return f"array_to_string(list_sort({ratio_tokens(x)}), ' ')"
 
 
 def token_sort_scores(pairs: str, ratios=ratios) -> str:
@@ -331,7 +331,7 @@ def token_sort_scores(pairs: str, ratios=ratios) -> str:
 def token_set_scores(pairs: str, ratios=ratios) -> str:
     """The best of three ratios: shared tokens, and those with the rest of either side."""
     join = lambda x: f"array_to_string(list_sort({x}), ' ')"
-    sets = f"""SELECT DISTINCT link, name, list_distinct({tokens('link')}) AS l, list_distinct({tokens('name')}) AS n
+    sets = f"""SELECT DISTINCT link, name, list_distinct({ratio_tokens('link')}) AS l, list_distinct({ratio_tokens('name')}) AS n
       FROM ({pairs})"""
     both = "list_intersect(l, n)"
     keyed = f"""SELECT link, name, len(l) = 0 OR len(n) = 0 AS empty, {join(both)} AS shared,
