@@ -27,7 +27,7 @@ from leadpipe.session import scratch_path
 ARC_RECORDS = 1000
 # Smaller payloads are never told to repeat another one.
 LEAST_REVISIT = 100
-FLUSH_BYTES = 4 << 20
+FLUSH_BYTES = 1 << 20
 
 # Fixed values of the formats: URL-record definitions by version, and the revisit profile.
 ARC_FIELDS = {

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Texts handled at a time: at most so many bytes, or one text.
-SLICE_BYTES = 4 << 20
-BATCH_BYTES = 8 << 20
+SLICE_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
 # Bytes whose intermediate arrays are alive at a time; a longer word alone goes beyond it.
 CHUNK_BYTES = 1 << 20
 
