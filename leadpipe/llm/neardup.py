@@ -38,6 +38,7 @@ OUTSIDERS = 4
 # in all of its bands a member of another class is compared with.
 LEADERS = 6
 NEAREST = 6
+FILES_PER_CORE = 4
 # Eight bytes each: 32 MB.
 MAX_BROADCAST_ROWS = 4_000_000
 
@@ -186,10 +187,16 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
-def _saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, without lineage."""
+def _saved(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, without lineage.
+
+    A narrow one, of names alone, is written by a few tasks per core, as its
+    rounds would else leave more files than rows.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if narrow:
+        df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -310,21 +317,21 @@ def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "t
     shared = each.groupBy(F.col("band").alias("shared")).agg(F.count("*").alias("n")).where("n > 1")
     met = each.join(shared, same_key(F.col("band"), F.col("shared"))).select("band", "node", "size", "id", "n")
     met = _saved(met, "bands")
-    ids = _saved(met.select("id").distinct(), "ids")
+    ids = _saved(met.select("id").distinct(), "ids", narrow=True)
     some = F.broadcast(ids) if ids.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else ids
     again = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(some, "id", "left_semi")
     sets = W.map_texts(again, _sets, "content binary, hashes array<long>", [], "text")
     sets = _saved(sets.groupBy("content").agg(F.first("hashes").alias("hashes")), "sets")
-    found = _saved(_close(_first_pairs(met, similarity), sets, similarity), "links")
+    found = _saved(_close(_first_pairs(met, similarity), sets, similarity), "links", narrow=True)
     rows = _split(met, components(found))
     for turn in itertools.count():
-        rows = _saved(_outside(rows), "split")
+        rows = _saved(_outside(rows), "split", narrow=True)
         if rows.isEmpty():
             return found
         many = rows.where(F.col("outside") > OUTSIDERS)
         few = rows.where(F.col("outside") <= OUTSIDERS)
         tried = _all_pairs(few, similarity).union(_some_pairs(many, similarity, turn)).distinct()
-        more = _saved(_close(tried, sets, similarity), "links")
+        more = _saved(_close(tried, sets, similarity), "links", narrow=True)
         if more.isEmpty():
             return found
         found = found.union(more)
@@ -340,9 +347,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     by partial aggregation and by splitting its partition.
     """
     both = _saved(
-        edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct(), "edges"
+        edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct(), "edges", narrow=True
     )
-    labels = _saved(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("root")), "roots")
+    labels = _saved(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("root")), "roots", narrow=True)
     while True:
         near = (
             both.join(labels, same_key(F.col("v"), F.col("node")))
@@ -354,7 +361,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = lower.join(up, same_key(F.col("next"), F.col("up")), "left").select(
             "node", F.least("next", "top").alias("root"), (F.least("next", "top") != F.col("root")).alias("moved")
         )
-        step = _saved(step, "roots")
+        step = _saved(step, "roots", narrow=True)
         labels = step.select("node", "root")
         if step.where("moved").isEmpty():
             return labels
