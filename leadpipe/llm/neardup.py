@@ -38,6 +38,8 @@ OUTSIDERS = 4
 # in all of its bands a member of another class is compared with.
 LEADERS = 6
 NEAREST = 6
+# Counters that tell rare shingles from common ones, in what stays apart: 1 MB.
+COUNTERS = 1 << 17
 FILES_PER_CORE = 4
 # Eight bytes each: 32 MB.
 MAX_BROADCAST_ROWS = 4_000_000
@@ -296,6 +298,100 @@ def _some_pairs(many: DataFrame, similarity: float, turn: int) -> DataFrame:
     return _pairs(shared.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= NEAREST), "node", "leader")
 
 
+def _numbered(hashes: np.ndarray) -> np.ndarray:
+    """Names of sorted hashes that tell the repeats of one apart."""
+    place = np.arange(len(hashes))
+    head = np.ones(len(hashes), bool)
+    head[1:] = hashes[1:] != hashes[:-1]
+    nth = place - np.maximum.accumulate(np.where(head, place, 0))
+    return W.mix(hashes + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+def _counter(names: np.ndarray, counters: int) -> np.ndarray:
+    return (names % np.uint64(counters)).astype(np.int64)
+
+
+def _rare_first(apart: DataFrame, similarity: float) -> DataFrame:
+    """The rarest shingles of each set that can be the first it shares with a similar one, as
+    `token`, with their place `at` in the order of all.
+
+    `apart` has `node`, `root` and `hashes`.  The order is that of counters that
+    shingles share by their hash, then of the hash: any order is right, and this
+    one puts common shingles last.  Shingles that no other set has are left out.
+    """
+
+    counters = COUNTERS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(counters, np.int64)
+        for batch in batches:
+            for hashes in batch.column(0):
+                names = _numbered(hashes.values.to_numpy().view(np.uint64))
+                np.add.at(total, _counter(names, counters), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["counter", "n"])
+
+    spark = apart.sparkSession
+    W.bound_batches(spark)
+    counted = apart.select("hashes").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    held = counted.toArrow()
+    often = np.zeros(counters, np.int64)
+    often[held.column("counter").to_numpy()] = held.column("n").to_numpy()
+    sent = spark.sparkContext.broadcast(often)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = sent.value
+        for batch in batches:
+            rows, tokens, places = [], [], []
+            for i, hashes in enumerate(batch.column("hashes")):
+                names = _numbered(hashes.values.to_numpy().view(np.uint64))
+                n = often[_counter(names, len(often))]
+                most = int(len(names) * (1 - similarity) + 1e-6) + 1
+                order = np.lexsort((names, n))[:most]
+                at = np.flatnonzero(n[order] > 1)
+                rows.append(np.full(len(at), i))
+                tokens.append(names[order][at].view(np.int64))
+                places.append(at)
+            if rows:
+                kept = batch.select(["node", "root", "size"]).take(pa.array(np.concatenate(rows)))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(np.concatenate(tokens)), pa.array(np.concatenate(places))],
+                    names=["node", "root", "size", "token", "at"],
+                )
+
+    return apart.mapInArrow(first, "node binary, root binary, size long, token long, at long")
+
+
+def _left_pairs(many: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of members of different classes that may be similar, each member being in a band
+    of `many`.
+
+    Similar sets share enough for the first shingle they share, in an order of
+    all shingles, to have as many after it in both.  So pairs come from equal
+    shingles near the begin of that order, where the rare ones are; what
+    thousands have in common is met only in sets that have little else.
+    A shingle's members meet those outside its largest class.
+    """
+    nodes = many.select("node", "root", "size").distinct()
+    few = nodes.limit(MAX_BROADCAST_ROWS // 8 + 1).count() <= MAX_BROADCAST_ROWS // 8
+    apart = sets.join(F.broadcast(nodes) if few else nodes, F.col("content") == F.col("node"))
+    rare = _saved(_rare_first(apart.select("node", "root", "size", "hashes"), similarity), "rare")
+    classes = rare.groupBy("token", "root").agg(F.count("*").alias("members"))
+    lead = classes.groupBy(F.col("token").alias("led")).agg(
+        F.max_by("root", F.struct("members", "root")).alias("lead"), F.count("*").alias("classes")
+    )
+    lead = lead.where("classes > 1").select("led", "lead")
+    rows = rare.join(lead, same_key(F.col("token"), F.col("led"))).drop("led")
+    others = rows.where("root <> lead").select(
+        F.col("token").alias("token_"), F.col("node").alias("other"), F.col("root").alias("root_"),
+        F.col("size").alias("size_"), F.col("at").alias("at_"),
+    )
+    shared = similarity / (1 + similarity) * (F.col("size") + F.col("size_")) - 1e-6
+    first = F.least(F.col("size") - F.col("at"), F.col("size_") - F.col("at_")) >= shared
+    apart = same_key(F.col("token"), F.col("token_")) & (F.col("root") != F.col("root_"))
+    return _pairs(rows.join(others, apart & first & _may_be("size", "size_", similarity)), "node", "other")
+
+
 def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Enough pairs `a`, `b` of similar contents to connect all that the bands bring together.
 
@@ -304,7 +400,8 @@ def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "t
     link yet go on.  Where few members are outside the band's largest class, each
     of them meets all others, which settles the band.  Where many are, one of
     each class meets some of the largest class, others in each turn, until a turn
-    links nothing.
+    links nothing.  All similar pairs of different classes that are left in
+    these bands are then found by their rare shingles, see `_left_pairs`.
     So pairs grow with the members, and turns concern what is still apart.
     Pairs whose sizes rule the similarity out are left out, all others are
     compared exactly.  Only texts that share a band are read again; their
@@ -333,9 +430,13 @@ def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "t
         tried = _all_pairs(few, similarity).union(_some_pairs(many, similarity, turn)).distinct()
         more = _saved(_close(tried, sets, similarity), "links", narrow=True)
         if more.isEmpty():
-            return found
+            break
         found = found.union(more)
         rows = _split(many.select("band", "node", "size", "n"), components(found))
+    if many.isEmpty():
+        return found
+    left = _saved(_left_pairs(many, sets, similarity), "left", narrow=True)
+    return found.union(_saved(_close(left, sets, similarity), "links", narrow=True))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

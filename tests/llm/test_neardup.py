@@ -89,6 +89,25 @@ def test_a_large_group_and_its_pairs(frame, spark):
     assert neardup.links(plain, signed, "id", "text").count() < 300 * 2 * neardup.BANDS
 
 
+def test_pairs_inside_many_texts_on_one_template_are_found(frame):
+    template = words(173)
+    docs = []
+    for i in range(180):
+        own = words(30)
+        docs.append((2 * i, " ".join(template + own)))
+        if i % 3 == 0:
+            docs.append((2 * i + 1, " ".join(template + own[:13] + words(17))))
+    classes = by_hand(docs)
+    assert len(set(classes.values())) == 180
+    assert found(frame, docs) == classes
+
+
+def test_the_same_without_broadcast_and_with_few_counters(frame, monkeypatch):
+    monkeypatch.setattr(neardup, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(neardup, "COUNTERS", 64)
+    test_pairs_inside_many_texts_on_one_template_are_found(frame)
+
+
 def test_punctuation_and_case_make_copies(frame):
     docs = [(4, "One two, THREE four five six"), (2, "one two three four. five SIX!"), (3, "one two three four five")]
     assert found(frame, docs) == {4: 2, 2: 2, 3: 3}
