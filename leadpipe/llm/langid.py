@@ -1,8 +1,9 @@
 """Language identification by compression.
 
 A text is compressed once per language, each time with a raw-content dictionary
-of that language's text.  The language whose dictionary makes it smallest wins;
-a narrow margin to the second is a rejection.
+of that language's text, a long one in pieces whose sizes are added up.  The
+language whose dictionary makes it smallest wins; a narrow margin to the second
+is a rejection.
 """
 
 from __future__ import annotations
@@ -31,6 +32,9 @@ LEVEL = 9
 # shrink is stored raw, which would hide the few matches of a short text.
 FILLER = b"\n" * 256
 LETTERS = re.compile(r"[^\W\d_]+")
+# Bytes compressed at a time, each with the dictionary, all of a text: what a dictionary saves is
+# bounded, so in one piece the lead would shrink with the text's length.
+PIECE_BYTES = 1 << 16
 # Least lead of the winner, as a share of the second's size.
 MARGIN = 0.002
 
@@ -84,6 +88,17 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
+def pieces(data: bytes) -> list[bytes]:
+    """The text in pieces of PIECE_BYTES of about equal length, cut after blanks where there are any."""
+    parts = -(-len(data) // PIECE_BYTES)
+    cuts = [0]
+    for i in range(1, parts):
+        at = i * len(data) // parts
+        blank = data.rfind(b" ", cuts[-1], at)
+        cuts.append(blank + 1 if blank > cuts[-1] else at)
+    return [data[a:b] for a, b in zip(cuts, [*cuts[1:], len(data)], strict=True)]
+
+
 @functools.lru_cache(maxsize=2)
 def compressors(packed: bytes) -> tuple[list[str], list[zstandard.ZstdCompressor]]:
     """Languages in order and their compressors, built once per worker process."""
@@ -121,8 +136,8 @@ def predict(
             if not names or not any(map(str.isalpha, value)):
                 best.append(UNKNOWN)
                 continue
-            data = FILLER + plain(value).encode()
-            sizes = [len(tool.compress(data)) for tool in tools]
+            parts = [FILLER + part for part in pieces(plain(value).encode())]
+            sizes = [sum(len(tool.compress(part)) for part in parts) for tool in tools]
             least = min(sizes)
             best.append(names[sizes.index(least)])
             rest = sorted(sizes)[1:]

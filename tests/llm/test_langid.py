@@ -39,6 +39,25 @@ def test_the_end_of_a_text_counts(frame):
     assert row.lang_pred == "de" and row.accepted
 
 
+def test_the_lead_does_not_shrink_with_the_length(frame):
+    draw = random.Random(5)
+    own = {lang: ["".join(draw.choices("abcdefghijklmnop", k=7)) for _ in range(3000)] for lang in ("x", "y")}
+    rows = [(i, " ".join(draw.choices(own[lang], k=60)), lang) for i, lang in enumerate(["x", "y"] * 200)]
+    learned = langid.learn(frame(rows, "doc_id long, text string, lang string"))
+    long = " ".join(draw.choices(own["x"], k=500_000))
+    docs = frame([(1, long[:60_000]), (2, long)], "doc_id long, text string")
+    short, whole = sorted(langid.predict(docs, learned).collect())
+    assert (short.lang_pred, whole.lang_pred) == ("x", "x") and whole.accepted
+    assert whole.score > 0.8 * short.score
+
+
+def test_pieces_are_the_whole_text():
+    for data in (b" a ", b"word " * 60_000, b"x" * 200_000):
+        parts = langid.pieces(data)
+        assert b"".join(parts) == data and all(parts)
+        assert len(parts) == -(-len(data) // langid.PIECE_BYTES)
+
+
 def test_ties_nulls_and_texts_without_letters(frame, edges, none):
     learned = langid.learn(frame(corpus(100), "doc_id long, text string, lang string"))
     rows = langid.predict(edges, learned).collect()
