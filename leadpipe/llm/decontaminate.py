@@ -3,8 +3,9 @@
 A seed is a mask over consecutive tokens that looks at some positions and
 ignores the others, so a hit survives substituted words at the ignored ones.
 Equal seed hashes of a benchmark item and a document put the two on a diagonal;
-there their tokens are compared one by one and the best stretch, substitutions
-allowed, decides.
+there their tokens are compared one by one.  Any stretch that is long enough and
+of enough equal tokens decides; the one with the highest score is reported, if
+it is such a stretch.
 """
 
 from __future__ import annotations
@@ -103,6 +104,50 @@ def best_stretch(equal: Column) -> Column:
     return F.aggregate(equal, start, step, lambda s: F.struct(s["start"], s["length"], s["equal"]))
 
 
+def long_stretch(equal: Column, least: str, similarity: float) -> Column:
+    """Start, length and equal tokens of a stretch of at least `least` tokens, so many of them
+    equal; of several ends the one with the most equal tokens.  Zeros if there is none.
+
+    A sum has 1 - `similarity` for an equal token and -`similarity` for another.
+    It is held against the least sum up to any place `least` or more tokens
+    before, from where the stretch begins; `old` is the token by which those
+    places go on.
+    """
+    delayed = F.slice(F.concat(F.array_repeat(F.lit(False), F.col(least)), equal), 1, F.size(equal))
+    both = F.zip_with(equal, delayed, lambda new, old: F.struct(new.alias("new"), old.alias("old")))
+    start = F.struct(
+        *[F.lit(0).alias(n) for n in ("at", "same", "old_same", "low_at", "low_same", "start", "length", "equal")],
+        *[F.lit(0.0).alias(n) for n in ("old_sum", "low")],
+    )
+
+    def step(s: Column, token: Column) -> Column:
+        at = s["at"] + 1
+        same = s["same"] + token["new"].cast("int")
+        begin = at - F.col(least)
+        old_same = s["old_same"] + F.when(begin > 0, token["old"].cast("int")).otherwise(0)
+        old_sum = F.when(begin > 0, old_same - similarity * begin).otherwise(0.0)
+        lower = old_sum < s["low"]
+        low = F.least(old_sum, s["low"])
+        low_at = F.when(lower, begin).otherwise(s["low_at"])
+        low_same = F.when(lower, old_same).otherwise(s["low_same"])
+        better = (begin >= 0) & (same - similarity * at - low >= -1e-9) & (same - low_same > s["equal"])
+        pick = lambda new, old: F.when(better, new).otherwise(s[old]).alias(old)
+        return F.struct(
+            at.alias("at"),
+            same.alias("same"),
+            old_same.alias("old_same"),
+            low_at.alias("low_at"),
+            low_same.alias("low_same"),
+            pick(low_at, "start"),
+            pick(at - low_at, "length"),
+            pick(same - low_same, "equal"),
+            old_sum.alias("old_sum"),
+            low.alias("low"),
+        )
+
+    return F.aggregate(both, start, step, lambda s: F.struct(s["start"], s["length"], s["equal"]))
+
+
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Pairs of document content and item on a diagonal where a seed agrees.
 
@@ -162,11 +207,17 @@ def overlaps(
         F.slice("item_words", F.greatest(-F.col("diagonal"), F.lit(0)) + 1, F.size("item_words")).alias("y"),
     )
     equal = F.zip_with("x", "y", lambda a, b: F.coalesce(a == b, F.lit(False)))
-    scored = aligned.withColumn("stretch", best_stretch(equal)).select(
-        "id", "item", "item_tokens", (F.col("from") + F.col("stretch.start")).alias("start"), "stretch.length", "stretch.equal"
+    aligned = aligned.withColumn("least", F.least(F.lit(min_tokens), F.col("item_tokens")))
+    both = aligned.select(
+        "id", "item", "item_tokens", "from", "least",
+        best_stretch(equal).alias("best"), long_stretch(equal, "least", similarity).alias("long"),
+    )
+    enough = (F.col("best.length") >= F.col("least")) & (F.col("best.equal") >= similarity * F.col("best.length"))
+    scored = both.withColumn("stretch", F.when(enough, F.col("best")).otherwise(F.col("long"))).select(
+        "id", "item", "item_tokens", "least", (F.col("from") + F.col("stretch.start")).alias("start"), "stretch.length", "stretch.equal"
     )
     good = scored.where(
-        (F.col("length") >= F.least(F.lit(min_tokens), F.col("item_tokens")))
+        (F.col("length") >= F.col("least"))
         & (F.col("equal") >= similarity * F.col("length"))
     )
     best = F.max_by(

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from leadpipe.llm import decontaminate
 
 DRAW = random.Random(11)
@@ -65,6 +67,31 @@ def test_against_brute_force(frame):
     assert set(found(frame, texts, items)) == planted
 
 
+def test_any_stretch_that_is_long_enough_counts(frame):
+    item = words(20)
+    one = [w if i != 3 else "zz" for i, w in enumerate(item[:16])]
+    three = [w if i not in (3, 7, 11) else "zz" for i, w in enumerate(item)]
+    items = [(1, " ".join(item[:16])), (2, " ".join(item))]
+    hits = found(frame, [" ".join(words(9) + one + words(9)), " ".join(words(9) + three + words(9))], items)
+    assert {(0, 1), (0, 2), (1, 1), (1, 2)} == set(hits)
+    assert all(length >= 13 and equal >= 0.8 * length for _, length, equal, _ in hits.values())
+
+
+def test_stretches_against_brute_force(frame):
+    rows = [
+        (i, DRAW.randint(8, 13), [DRAW.random() > 0.2 for _ in range(DRAW.randint(0, 30))]) for i in range(600)
+    ]
+    stretch = decontaminate.long_stretch(F.col("equal"), "least", 0.8)
+    for r in frame(rows, "id long, least int, equal array<boolean>").withColumn("s", stretch).collect():
+        n = len(r.equal)
+        good = any(
+            5 * sum(r.equal[a:b]) >= 4 * (b - a) for a in range(n) for b in range(a + r.least, n + 1)
+        )
+        start, length, same = r.s
+        assert good == (length >= r.least)
+        assert same == sum(r.equal[start : start + length]) and 5 * same >= 4 * length
+
+
 def test_short_items_count_whole(frame):
     items = [(1, "one two three four five six seven eight nine ten"), (2, "too short")]
     texts = ["zero one two three four five six seven eight nine ten eleven", "too short"]
