@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, quality, spans, toxicity, warc
+from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, pieces, quality, spans, toxicity, warc
 
 QUERIES = {}
 SQL = {}
@@ -110,6 +110,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, RANKS, public_tokenizers.PATTERN))
 
 
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op13_sentencepiece")
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), MODEL, keep=["doc_id"])
+    return pieces.digests(pieces.decode(encoded, MODEL))
+
+
 @query("op8_dart_minhash")
 def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")

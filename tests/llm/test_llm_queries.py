@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from compare import compare, connect
 from test_credentials import by_hand as spans_by_hand
 from test_neardup import by_hand as classes_by_hand
@@ -129,6 +130,17 @@ def test_op10(spark, docs):
         assert found[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_op13(spark, docs):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    found = rows(spark, "op13_sentencepiece")
+    assert len(found) == len(docs)
+    for i, text, *_ in docs:
+        ids = library.encode(text or "", add_eos=True)
+        digest = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert (found[i].n_tokens, found[i].ids_sha256) == (len(ids), digest)
+        assert found[i].decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
 def test_the_pipeline_against_plain_loops(spark, docs, bench):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     learned = langid.learn(table)
