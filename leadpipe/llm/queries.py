@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, pieces, quality, spans, toxicity, warc
+from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, periods, pieces, quality, spans, toxicity, warc
 
 QUERIES = {}
 SQL = {}
@@ -110,6 +110,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, RANKS, public_tokenizers.PATTERN))
 
 
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periods.digests(periods.find(docs, keep=["doc_id"], tails=periods.tail_code("doc_id")))
+
+
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 

@@ -9,6 +9,8 @@ import sentencepiece
 from compare import compare, connect
 from test_credentials import by_hand as spans_by_hand
 from test_neardup import by_hand as classes_by_hand
+from test_periods import row_by_hand as runs_by_hand
+from test_periods import values as run_values
 
 import corpus_pipeline
 from leadpipe.llm import bpe, credentials, langid
@@ -130,6 +132,15 @@ def test_op10(spark, docs):
         assert found[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_op12(spark, docs):
+    found = rows(spark, "op12_periodic_runs")
+    assert len(found) == len(docs)
+    for i, text, *_ in docs:
+        if len((text or "").split()) <= 2000:
+            assert runs_by_hand(i, text) == run_values(found[i])
+    assert sum(r.n_runs > 0 for r in found.values()) > 0.05 * len(docs)
+
+
 def test_op13(spark, docs):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     found = rows(spark, "op13_sentencepiece")
