@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, periods, pieces, quality, spans, toxicity, warc
+from leadpipe.llm import bpe, chat, credentials, decontaminate, langid, neardup, periods, pieces, quality, repair, spans, toxicity, warc
 
 QUERIES = {}
 SQL = {}
@@ -116,6 +116,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digests(periods.find(docs, keep=["doc_id"], tails=periods.tail_code("doc_id")))
 
 
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    bad = repair.damaged(turns)
+    return repair.digests(bad, repair.saved(repair.plan(bad, turns)))
+
+
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 

@@ -11,6 +11,9 @@ from test_credentials import by_hand as spans_by_hand
 from test_neardup import by_hand as classes_by_hand
 from test_periods import row_by_hand as runs_by_hand
 from test_periods import values as run_values
+from test_repair import by_hand as repair_by_hand
+from test_repair import damage_by_hand
+from test_repair import values as repair_values
 
 import corpus_pipeline
 from leadpipe.llm import bpe, credentials, langid
@@ -132,6 +135,15 @@ def test_op10(spark, docs):
         assert found[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
+def test_op11(spark, con):
+    turns = con.execute("SELECT conv_id, turn, role, text FROM conversations").fetchall()
+    talks = {r[0]: [] for r in turns}
+    for row in damage_by_hand(turns):
+        talks[row[0]].append(row)
+    found = QUERIES["op11_conversation_repair"](spark, SF).collect()
+    assert {r.conv_id: repair_values(r) for r in found} == {c: repair_by_hand(rows)[0] for c, rows in talks.items()}
+
+
 def test_op12(spark, docs):
     found = rows(spark, "op12_periodic_runs")
     assert len(found) == len(docs)
