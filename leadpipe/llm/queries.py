@@ -116,7 +116,90 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digests(periods.find(docs, keep=["doc_id"], tails=periods.tail_code("doc_id")))
 
 
-@query("op11_conversation_repair")
+def _way(letter: str, cost: str, then: str, when: str | None = None) -> str:
+    """An edit in front of the best edits from a state of the next row on, as SQL."""
+    way = f"{{'cost': {cost} + {then}.cost, 'edits': '{letter}' || {then}.edits}}"
+    return f"CASE WHEN {when} THEN {way} END" if when else way
+
+
+def _state(state: str, ways: dict[str, str]) -> str:
+    """The best edits of a row from a state on; `ways` has the next state for each initial, as SQL."""
+    keeps = [_way("K", "more", f"n.{then}", f"NOT gone AND initial = '{i}'") for i, then in ways.items()]
+    changes = [_way("R", "3 + more", f"n.{then}", "NOT gone") for i, then in ways.items() if i in "ua"]
+    return f"list_min([{', '.join([_way('D', '4', f'n.{state}'), *keeps, *changes])}]) AS {state}"
+
+
+OP11_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS bits FROM range(256) t(i)),
+said AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(
+      coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ord(c)::BIGINT)),
+    lambda c, b: xor(c >> 8, bits[(xor(c, b) & 255) + 1]))) %% 20 AS chance
+  FROM conversations, bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN chance = 4 THEN 'user' ELSE role END AS role,
+    CASE chance WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM said, range(2) t(i) WHERE chance <> 0 AND (i = 0 OR chance = 3)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS place,
+    left(role, 1) AS initial FROM damaged),
+checked AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+    initial || lead(initial) OVER (PARTITION BY conv_id ORDER BY place) AS pair
+  FROM ordered),
+kind AS (
+  SELECT conv_id, place, initial, blank OR again AS gone, CASE WHEN cut THEN 3 ELSE 0 END AS more FROM checked),
+best AS (
+  SELECT conv_id, max(place) + 1 AS place, {'cost': 0, 'edits': ''} AS b, {'cost': 6, 'edits': 'II'} AS s,
+    {'cost': 3, 'edits': 'I'} AS u, {'cost': 0, 'edits': ''} AS a
+  FROM kind GROUP BY conv_id
+  UNION ALL
+  SELECT conv_id, place, %(begin)s AS b, %(system)s AS s, %(user)s AS u, %(assistant)s AS a
+  FROM (
+    SELECT k.conv_id, k.place, %(states)s
+    FROM best n JOIN kind k ON k.conv_id IS NOT DISTINCT FROM n.conv_id AND k.place = n.place - 1)),
+plan AS (SELECT conv_id, b.cost AS cost, b.edits AS audit FROM best WHERE place = 1),
+edit AS (
+  SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY i) AS place,
+    count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY i DESC) AS remaining
+  FROM (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS i
+    FROM plan WHERE audit <> '')),
+repaired AS (
+  SELECT e.conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN remaining %% 2 = 1 THEN 'assistant' ELSE 'user' END
+    || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS repaired
+  FROM edit e LEFT JOIN checked r ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.place = e.place
+  WHERE edit <> 'D' GROUP BY e.conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+    count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM checked GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN plan p ON p.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+""" % {
+    "states": ", ".join(
+        _state(state, ways)
+        for state, ways in {"b": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}.items()
+    ),
+    "begin": f"list_min([b, {_way('I', '3', 'u')}, {_way('II', '6', 'a')}])",
+    "system": f"list_min([s, {_way('I', '3', 'u')}, {_way('II', '6', 'a')}])",
+    "user": f"list_min([u, {_way('I', '3', 'a')}])",
+    "assistant": f"list_min([a, {_way('I', '3', 'u')}])",
+}
+
+
+@query("op11_conversation_repair", OP11_SQL)
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     bad = repair.damaged(turns)
