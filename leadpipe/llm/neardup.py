@@ -12,17 +12,17 @@ together, and an exact comparison of the shingles decides.
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadpipe.llm import words as W
 from leadpipe.operators.relational import same_key
-from leadpipe.session import scratch_path
+from leadpipe.session import remove, scratch_path
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -32,14 +32,6 @@ ROWS = 5
 COORDINATES = BANDS * ROWS
 # Darts expected per text; an empty coordinate then has a probability of 1/(k e^2).
 DARTS = int(COORDINATES * np.log(COORDINATES) + 2 * COORDINATES)
-# Members outside a band's largest class that meet all others in it.
-OUTSIDERS = 4
-# Members of a band's largest class that are drawn for a turn, and how many of those drawn
-# in all of its bands a member of another class is compared with.
-LEADERS = 6
-NEAREST = 6
-# Counters that tell rare shingles from common ones, in what stays apart: 1 MB.
-COUNTERS = 1 << 17
 FILES_PER_CORE = 4
 # Eight bytes each: 32 MB.
 MAX_BROADCAST_ROWS = 4_000_000
@@ -48,11 +40,12 @@ MAX_BROADCAST_ROWS = 4_000_000
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, W.Runs]:
     """Sorted shingle hashes of each text, end to end, the index of each text's first, the words.
 
-    Words are runs of letters and digits in lower case; a text of fewer than
-    five words has one shingle, of all its words.
+    Words are runs of letters, marks and digits in lower case, and single letters in
+    scripts without blanks; a text of fewer than five words has one shingle, of all
+    its words.
     """
     data, at = W.buffers(pa.compute.utf8_lower(texts))
-    found = W.Runs(data, at, W.ALNUM)
+    found = W.Runs(data, at)
     hashes = W.windows(found.hash, SHINGLE)
     inside = W.whole(found.first, len(hashes), SHINGLE)
     owner = found.owner
@@ -170,37 +163,60 @@ def _sign(texts: pa.Array) -> list:
 
 def _key(texts: pa.Array) -> list:
     data, at = W.buffers(pa.compute.utf8_lower(texts))
-    found = W.Runs(data, at, W.ALNUM)
+    found = W.Runs(data, at)
     return [pa.array([k if n else None for k, n in zip(contents(found), found.count, strict=True)], pa.binary())]
 
 
+def _numbered(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Names of sorted hashes that tell the repeats of one in a text apart, so weights count as members."""
+    place = np.arange(len(values))
+    head = np.ones(len(values), bool)
+    head[1:] = values[1:] != values[:-1]
+    head[first[:-1][first[:-1] < len(values)]] = True
+    nth = place - np.maximum.accumulate(np.where(head, place, 0))
+    return W.mix(values + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
 def _sets(texts: pa.Array) -> list:
     values, first, found = shingles(texts)
+    values = _numbered(values, first)
     lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values.view(np.int64), pa.int64()))
     return [pa.array(contents(found), pa.binary()), lists]
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two lists of hashes, repeats as weights."""
-    x, m = np.unique(a, return_counts=True)
-    y, n = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    shared = int(np.minimum(m[i], n[j]).sum())
+    """Weighted Jaccard similarity of two sets of numbered shingles."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared / (len(a) + len(b) - shared)
 
 
-def _saved(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, without lineage.
+Save = Callable[..., DataFrame]
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Save]:
+    """A function that makes rows a table in the shared folder: computed once, without lineage.
 
     A narrow one, of names alone, is written by a few tasks per core, as its
-    rounds would else leave more files than rows.
+    rounds would else leave more files than rows.  At the end of the block all
+    tables are deleted, but for those to be kept; what reads them must have run by then.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    if narrow:
-        df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    paths = []
+
+    def save(df: DataFrame, name: str, narrow: bool = False, keep: bool = False) -> DataFrame:
+        path = scratch_path(spark, name)
+        if not keep:
+            paths.append(path)
+        if narrow:
+            df = df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    try:
+        yield save
+    finally:
+        for path in paths:
+            remove(spark, path)
 
 
 def _close(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -235,16 +251,6 @@ def _may_be(a: str, b: str, similarity: float) -> Column:
     return F.least(a, b) >= similarity * F.greatest(a, b)
 
 
-def _split(met: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of the bands whose members are in more than one class, with their classes."""
-    known = labels.select(F.col("node").alias("node_"), "root")
-    now = met.join(known, same_key(F.col("node"), F.col("node_")), "left").select(
-        "band", "node", "size", "n", F.coalesce("root", "node").alias("root")
-    )
-    apart = now.groupBy(F.col("band").alias("open")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return now.join(apart.where("low <> high").select("open"), same_key(F.col("band"), F.col("open")), "left_semi")
-
-
 def _first_pairs(met: DataFrame, similarity: float) -> DataFrame:
     """Each member of a band and the member that meets the most others in all of its bands."""
     degree = met.groupBy(F.col("node").alias("node_")).agg(F.sum("n").alias("degree"))
@@ -257,155 +263,91 @@ def _first_pairs(met: DataFrame, similarity: float) -> DataFrame:
     return _pairs(met.join(lead, same_key(F.col("band"), F.col("led")) & near), "node", "lead")
 
 
-def _outside(rows: DataFrame) -> DataFrame:
-    """The rows with the band's largest class, `lead`, and how many members are in others."""
-    classes = rows.groupBy("band", "root").agg(F.count("*").alias("members"), F.min("n").alias("n"))
-    lead = classes.groupBy(F.col("band").alias("led")).agg(
-        F.max_by("root", F.struct("members", "root")).alias("lead"),
-        (F.first("n") - F.max("members")).alias("outside"),
-    )
-    return rows.join(lead, same_key(F.col("band"), F.col("led"))).drop("led")
-
-
-def _all_pairs(few: DataFrame, similarity: float) -> DataFrame:
-    """The few members outside a band's largest class with all members of other classes than
-    their own."""
-    others = few.where("root <> lead").select(
-        F.col("band").alias("band_"), F.col("node").alias("other"), F.col("root").alias("root_"), F.col("size").alias("size_")
+def _rooted(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the class of their node, itself where it has no link."""
+    known = labels.select(F.col("node").alias("node_"), "root")
+    return rows.join(known, same_key(F.col("node"), F.col("node_")), "left").select(
+        *rows.columns, F.coalesce("root", "node").alias("root")
     )
-    apart = (F.col("band") == F.col("band_")) & (F.col("root") != F.col("root_"))
-    return _pairs(few.join(others, apart & _may_be("size", "size_", similarity)), "node", "other")
 
 
-def _some_pairs(many: DataFrame, similarity: float, turn: int) -> DataFrame:
-    """A member of each class with those of LEADERS of a band's largest class that it shares the
-    most bands with; other members and leaders in each turn.
+def _outsiders(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes and classes of the members that are not in the largest class of one of their bands.
 
-    Only names are joined to find the NEAREST ones.
+    Bands become one row per class before they are looked at, and those of one class are no
+    more; of the others their largest class is joined, to pass by its members.
     """
-    chance = F.xxhash64(F.lit(turn), "node")
-    one = F.max_by(F.struct("node", "size"), chance).alias("one")
-    leaders = (
-        many.where("root = lead")
-        .groupBy(F.col("band").alias("band_"), F.pmod(chance, F.lit(LEADERS)).alias("slot"))
-        .agg(one)
-        .select("band_", F.col("one.node").alias("leader"), F.col("one.size").alias("size_"))
+    now = _rooted(met.select("band", "node"), labels)
+    classes = now.groupBy("band", "root").agg(F.count("*").alias("members"))
+    lead = classes.groupBy(F.col("band").alias("led")).agg(
+        F.max_by("root", F.struct("members", "root")).alias("lead"), F.count("*").alias("classes")
     )
-    others = many.where("root <> lead").groupBy("band", "root").agg(one).select("band", "one.node", "one.size")
-    near = (F.col("band") == F.col("band_")) & _may_be("size", "size_", similarity)
-    shared = others.join(leaders, near).groupBy("node", "leader").agg(F.count("*").alias("bands"))
-    nearest = Window.partitionBy("node").orderBy(F.desc("bands"), F.xxhash64(F.lit(turn), "leader"))
-    return _pairs(shared.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= NEAREST), "node", "leader")
-
-
-def _numbered(hashes: np.ndarray) -> np.ndarray:
-    """Names of sorted hashes that tell the repeats of one apart."""
-    place = np.arange(len(hashes))
-    head = np.ones(len(hashes), bool)
-    head[1:] = hashes[1:] != hashes[:-1]
-    nth = place - np.maximum.accumulate(np.where(head, place, 0))
-    return W.mix(hashes + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-
-
-def _counter(names: np.ndarray, counters: int) -> np.ndarray:
-    return (names % np.uint64(counters)).astype(np.int64)
+    lead = lead.where("classes > 1").select("led", "lead")
+    outside = same_key(F.col("band"), F.col("led")) & (F.col("root") != F.col("lead"))
+    return now.join(lead, outside).select("node", "root").distinct()
 
 
-def _rare_first(apart: DataFrame, similarity: float) -> DataFrame:
+def _rare_first(sets: DataFrame, similarity: float) -> DataFrame:
     """The rarest shingles of each set that can be the first it shares with a similar one, as
-    `token`, with their place `at` in the order of all.
+    `node` and `token`, with their place `at` in the order of all and the `size` of the set.
 
-    `apart` has `node`, `root` and `hashes`.  The order is that of counters that
-    shingles share by their hash, then of the hash: any order is right, and this
-    one puts common shingles last.  Shingles that no other set has are left out.
+    The order is by how many sets have a shingle, and then by its hash.  Shingles
+    that no other set has come first and are left out.  A shingle is there once
+    in a set, so no partition has more rows than there are sets, or shingles in one.
     """
+    each = sets.select(F.col("content").alias("node"), F.size("hashes").alias("size"), F.explode("hashes").alias("token"))
+    shared = each.withColumn("n", F.count("*").over(Window.partitionBy("token"))).where("n > 1")
+    own = Window.partitionBy("node")
+    placed = shared.select(
+        "node",
+        "token",
+        "size",
+        (F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "token")) - 1).alias("at"),
+    )
+    return placed.where(F.col("at") <= F.floor(F.col("size") * (1 - similarity) + 1e-6))
 
-    counters = COUNTERS
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(counters, np.int64)
-        for batch in batches:
-            for hashes in batch.column(0):
-                names = _numbered(hashes.values.to_numpy().view(np.uint64))
-                np.add.at(total, _counter(names, counters), 1)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["counter", "n"])
-
-    spark = apart.sparkSession
-    W.bound_batches(spark)
-    counted = apart.select("hashes").mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
-    held = counted.toArrow()
-    often = np.zeros(counters, np.int64)
-    often[held.column("counter").to_numpy()] = held.column("n").to_numpy()
-    sent = spark.sparkContext.broadcast(often)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = sent.value
-        for batch in batches:
-            rows, tokens, places = [], [], []
-            for i, hashes in enumerate(batch.column("hashes")):
-                names = _numbered(hashes.values.to_numpy().view(np.uint64))
-                n = often[_counter(names, len(often))]
-                most = int(len(names) * (1 - similarity) + 1e-6) + 1
-                order = np.lexsort((names, n))[:most]
-                at = np.flatnonzero(n[order] > 1)
-                rows.append(np.full(len(at), i))
-                tokens.append(names[order][at].view(np.int64))
-                places.append(at)
-            if rows:
-                kept = batch.select(["node", "root", "size"]).take(pa.array(np.concatenate(rows)))
-                yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(np.concatenate(tokens)), pa.array(np.concatenate(places))],
-                    names=["node", "root", "size", "token", "at"],
-                )
-
-    return apart.mapInArrow(first, "node binary, root binary, size long, token long, at long")
-
-
-def _left_pairs(many: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of members of different classes that may be similar, each member being in a band
-    of `many`.
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """The rows, to be broadcast if they are few; else the join shuffles them."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def _left_pairs(outsiders: DataFrame, labels: DataFrame, sets: DataFrame, similarity: float, save: Save) -> DataFrame:
+    """All pairs of an outsider and a set of another class that may be similar.
 
     Similar sets share enough for the first shingle they share, in an order of
     all shingles, to have as many after it in both.  So pairs come from equal
     shingles near the begin of that order, where the rare ones are; what
-    thousands have in common is met only in sets that have little else.
-    A shingle's members meet those outside its largest class.
+    thousands have in common is met only in sets that have little else.  Of all
+    other sets, only those of the outsiders' rare shingles that are near the
+    begin there too are kept.
     """
-    nodes = many.select("node", "root", "size").distinct()
-    few = nodes.limit(MAX_BROADCAST_ROWS // 8 + 1).count() <= MAX_BROADCAST_ROWS // 8
-    apart = sets.join(F.broadcast(nodes) if few else nodes, F.col("content") == F.col("node"))
-    rare = _saved(_rare_first(apart.select("node", "root", "size", "hashes"), similarity), "rare")
-    classes = rare.groupBy("token", "root").agg(F.count("*").alias("members"))
-    lead = classes.groupBy(F.col("token").alias("led")).agg(
-        F.max_by("root", F.struct("members", "root")).alias("lead"), F.count("*").alias("classes")
-    )
-    lead = lead.where("classes > 1").select("led", "lead")
-    rows = rare.join(lead, same_key(F.col("token"), F.col("led"))).drop("led")
-    others = rows.where("root <> lead").select(
-        F.col("token").alias("token_"), F.col("node").alias("other"), F.col("root").alias("root_"),
-        F.col("size").alias("size_"), F.col("at").alias("at_"),
+    rare = save(_rare_first(sets, similarity), "rare")
+    apart = _few(outsiders.select(F.col("node").alias("outsider"), "root"), MAX_BROADCAST_ROWS // 8)
+    own = rare.join(apart, same_key(F.col("node"), F.col("outsider"))).select("token", "at", "size", "node", "root")
+    wanted = save(own.select(F.col("token").alias("wanted")).distinct(), "wanted", narrow=True)
+    every = rare.join(_few(wanted, MAX_BROADCAST_ROWS), same_key(F.col("token"), F.col("wanted")), "left_semi")
+    others = _rooted(every, labels).select(
+        F.col("token").alias("token_"), F.col("at").alias("at_"), F.col("size").alias("size_"),
+        F.col("node").alias("other"), F.col("root").alias("root_"),
     )
     shared = similarity / (1 + similarity) * (F.col("size") + F.col("size_")) - 1e-6
     first = F.least(F.col("size") - F.col("at"), F.col("size_") - F.col("at_")) >= shared
-    apart = same_key(F.col("token"), F.col("token_")) & (F.col("root") != F.col("root_"))
-    return _pairs(rows.join(others, apart & first & _may_be("size", "size_", similarity)), "node", "other")
+    meet = same_key(F.col("token"), F.col("token_")) & (F.col("root") != F.col("root_"))
+    return _pairs(others.join(own, meet & first & _may_be("size", "size_", similarity)), "node", "other")
 
 
-def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def links(docs: DataFrame, signed: DataFrame, save: Save, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Enough pairs `a`, `b` of similar contents to connect all that the bands bring together.
 
     Members of a band are never paired all with all.  First each one meets the
-    member with the most neighbours.  Then only classes that share a band but no
-    link yet go on.  Where few members are outside the band's largest class, each
-    of them meets all others, which settles the band.  Where many are, one of
-    each class meets some of the largest class, others in each turn, until a turn
-    links nothing.  All similar pairs of different classes that are left in
-    these bands are then found by their rare shingles, see `_left_pairs`.
-    So pairs grow with the members, and turns concern what is still apart.
-    Pairs whose sizes rule the similarity out are left out, all others are
-    compared exactly.  Only texts that share a band are read again; their
-    ids are broadcast if few, else joined.
+    member with the most neighbours, and the links make classes.  Then the
+    members outside a band's largest class meet all sets of other classes that
+    may be similar, found by their rare shingles, see `_left_pairs`; of two
+    similar members of different classes one is always outside.  Pairs whose
+    sizes rule the similarity out are left out, all others are compared exactly.
+    Only texts that share a band are read again; their ids are broadcast if
+    few, else joined.
     """
     nodes = signed.where("content IS NOT NULL").groupBy(F.col("content").alias("node")).agg(
         F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("size").alias("size")
@@ -413,33 +355,21 @@ def links(docs: DataFrame, signed: DataFrame, id: str = "doc_id", text: str = "t
     each = nodes.select("node", "id", "size", F.explode("bands").alias("band"))
     shared = each.groupBy(F.col("band").alias("shared")).agg(F.count("*").alias("n")).where("n > 1")
     met = each.join(shared, same_key(F.col("band"), F.col("shared"))).select("band", "node", "size", "id", "n")
-    met = _saved(met, "bands")
-    ids = _saved(met.select("id").distinct(), "ids", narrow=True)
-    some = F.broadcast(ids) if ids.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else ids
-    again = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(some, "id", "left_semi")
+    met = save(met, "bands")
+    ids = save(met.select("id").distinct(), "ids", narrow=True)
+    again = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(_few(ids, MAX_BROADCAST_ROWS), "id", "left_semi")
     sets = W.map_texts(again, _sets, "content binary, hashes array<long>", [], "text")
-    sets = _saved(sets.groupBy("content").agg(F.first("hashes").alias("hashes")), "sets")
-    found = _saved(_close(_first_pairs(met, similarity), sets, similarity), "links", narrow=True)
-    rows = _split(met, components(found))
-    for turn in itertools.count():
-        rows = _saved(_outside(rows), "split", narrow=True)
-        if rows.isEmpty():
-            return found
-        many = rows.where(F.col("outside") > OUTSIDERS)
-        few = rows.where(F.col("outside") <= OUTSIDERS)
-        tried = _all_pairs(few, similarity).union(_some_pairs(many, similarity, turn)).distinct()
-        more = _saved(_close(tried, sets, similarity), "links", narrow=True)
-        if more.isEmpty():
-            break
-        found = found.union(more)
-        rows = _split(many.select("band", "node", "size", "n"), components(found))
-    if many.isEmpty():
+    sets = save(sets.groupBy("content").agg(F.first("hashes").alias("hashes")), "sets")
+    found = save(_close(_first_pairs(met, similarity), sets, similarity), "links", narrow=True)
+    labels = components(found, save)
+    outsiders = save(_outsiders(met, labels), "outsiders", narrow=True)
+    if outsiders.isEmpty():
         return found
-    left = _saved(_left_pairs(many, sets, similarity), "left", narrow=True)
-    return found.union(_saved(_close(left, sets, similarity), "links", narrow=True))
+    left = save(_left_pairs(outsiders, labels, sets, similarity, save), "left", narrow=True)
+    return found.union(save(_close(left, sets, similarity), "links", narrow=True))
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, save: Save, a: str = "a", b: str = "b") -> DataFrame:
     """The smallest node of each node's connected component, as `node`, `root`.
 
     Labels go to the neighbours and then to the labels' own labels until none
@@ -447,10 +377,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Each round is a table in the shared folder; a node of many edges is spread
     by partial aggregation and by splitting its partition.
     """
-    both = _saved(
-        edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct(), "edges", narrow=True
-    )
-    labels = _saved(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("root")), "roots", narrow=True)
+    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct()
+    both = save(both, "edges", narrow=True)
+    labels = save(both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("root")), "roots", narrow=True)
     while True:
         near = (
             both.join(labels, same_key(F.col("v"), F.col("node")))
@@ -462,14 +391,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         step = lower.join(up, same_key(F.col("next"), F.col("up")), "left").select(
             "node", F.least("next", "top").alias("root"), (F.least("next", "top") != F.col("root")).alias("moved")
         )
-        step = _saved(step, "roots", narrow=True)
+        step = save(step, "roots", narrow=True)
         labels = step.select("node", "root")
         if step.where("moved").isEmpty():
             return labels
 
 
-def _sign_all(plain: DataFrame) -> DataFrame:
-    return _saved(W.map_texts(plain, _sign, "content binary, bands array<long>, size long", ["id"], "text"), "signed")
+def _sign_all(plain: DataFrame, save: Save, keep: bool = False) -> DataFrame:
+    signed = W.map_texts(plain, _sign, "content binary, bands array<long>, size long", ["id"], "text")
+    return save(signed, "signed", keep=keep)
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -480,24 +410,28 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity:
     content.  `n_links` counts the links of the content that connect the class.  A
     text without words, null among them, is a class of its own with a null
     content.  Repeated rows stay repeated and share a class; rows without an id
-    take the class of their content, without one a null class.
+    take the class of their content, without one a null class.  An id column
+    called like a result keeps its name, and the result gets an underscore.  The
+    rows come from two tables in the shared folder, of a row per document and per linked content.
     """
     plain = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    signed = _sign_all(plain)
-    edges = links(plain, signed, "id", "text", similarity)
-    roots = components(edges).withColumnRenamed("node", "content_")
-    degree = (
-        edges.select(F.explode(F.array("a", "b")).alias("linked")).groupBy("linked").agg(F.count("*").alias("links"))
-    )
-    known = roots.join(degree, F.col("content_") == F.col("linked")).select("content_", "root", "links")
-    rows = signed.select("id", "content").join(known, same_key(F.col("content"), F.col("content_")), "left")
+    with scratch_tables(docs.sparkSession) as save:
+        signed = _sign_all(plain, save)
+        edges = links(plain, signed, save, "id", "text", similarity)
+        roots = components(edges, save).withColumnRenamed("node", "content_")
+        degree = edges.select(F.explode(F.array("a", "b")).alias("linked")).groupBy("linked").agg(F.count("*").alias("links"))
+        known = roots.join(degree, F.col("content_") == F.col("linked")).select("content_", "root", "links")
+        known = save(known, "classes", narrow=True, keep=True)
+        signed = save(signed.select("id", "content"), "contents", keep=True)
+    rows = signed.join(known, same_key(F.col("content"), F.col("content_")), "left")
     rows = rows.select("id", "content", F.coalesce("root", "content").alias("root"), F.coalesce("links", F.lit(0)).alias("n_links"))
     least = rows.where("root IS NOT NULL").groupBy(F.col("root").alias("root_")).agg(F.min("id").alias("least"))
+    content, class_id, n_links = (W.fresh(n, [id]) for n in ("content", "class_id", "n_links"))
     return rows.join(least, same_key(F.col("root"), F.col("root_")), "left").select(
         F.col("id").alias(id),
-        "content",
-        F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("class_id"),
-        F.col("n_links").cast("long").alias("n_links"),
+        F.col("content").alias(content),
+        F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias(class_id),
+        F.col("n_links").cast("long").alias(n_links),
     )
 
 
@@ -506,20 +440,25 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity
 
     Rows without an id stay only where their class has none with one.  Of rows
     of the same id and words one stays; documents without words stay, once each.
-    Documents are shuffled once, and map tasks send one of each content.
+    Documents are shuffled once, and map tasks send one of each content.  The
+    rows that go are a table in the shared folder.
     """
     plain = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    signed = _sign_all(plain)
-    roots = components(links(plain, signed, "id", "text", similarity))
-    least = signed.groupBy("content").agg(F.min("id").alias("least"))
-    members = roots.join(least, F.col("node") == F.col("content")).select("node", "root", "least")
-    order = F.struct(F.col("least").isNull().alias("none"), "least", "node")
-    keepers = members.groupBy(F.col("root").alias("root_")).agg(F.min_by("node", order).alias("keeper"))
-    dropped = members.join(keepers, same_key(F.col("root"), F.col("root_"))).where("node <> keeper")
+    with scratch_tables(docs.sparkSession) as save:
+        signed = _sign_all(plain, save)
+        roots = components(links(plain, signed, save, "id", "text", similarity), save)
+        least = signed.groupBy("content").agg(F.min("id").alias("least"))
+        members = roots.join(least, F.col("node") == F.col("content")).select("node", "root", "least")
+        order = F.struct(F.col("least").isNull().alias("none"), "least", "node")
+        keepers = members.groupBy(F.col("root").alias("root_")).agg(F.min_by("node", order).alias("keeper"))
+        dropped = members.join(keepers, same_key(F.col("root"), F.col("root_"))).where("node <> keeper")
+        dropped = save(dropped.select("node"), "dropped", narrow=True, keep=True)
     key, nth, gone = (W.fresh(n, docs.columns) for n in ("_content", "_nth", "_gone"))
     keyed = W.map_texts(docs, _key, f"{key} binary", docs.columns, text)
     alone = F.unhex(F.sha2(F.to_json(F.struct(F.col(id).alias("id"), F.col(text).alias("text"))), 256))
     # The rank filter lets map tasks send one row of each content.
     order = Window.partitionBy(key).orderBy(F.col(id).asc_nulls_last(), F.col(text))
     first = keyed.withColumn(key, F.coalesce(key, alone)).withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
-    return first.join(dropped.select(F.col("node").alias(gone)), F.col(key) == F.col(gone), "left_anti").select(*docs.columns)
+    goes = dropped.select(F.col("node").alias(gone))
+    # One row of each content is left, where the rank put it, so no text moves again.
+    return first.join(_few(goes, MAX_BROADCAST_ROWS // 4), F.col(key) == F.col(gone), "left_anti").select(*docs.columns)

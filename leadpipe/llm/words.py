@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import unicodedata
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -118,20 +120,87 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 NOT_SPACE = ~SPACE
 NOT_NEWLINE = np.arange(256) != 0x0A
-# Letters, digits and every byte of a character beyond ASCII.
-ALNUM = np.arange(256) >= 0x80
-ALNUM[[c for c in range(128) if chr(c).isalnum()]] = True
+
+# What a character is to words: no part of one, a letter or digit, a letter of a script without
+# blanks, and a mark that goes with the character before it.
+OUTSIDE, LETTER, ALONE, MARK = range(4)
+# First and last code points of scripts that are written without blanks.
+UNSPACED = (
+    (0x0E00, 0x0EFF),  # Thai, Lao
+    (0x1000, 0x109F),  # Myanmar
+    (0x1780, 0x17FF),  # Khmer
+    (0x2E80, 0x2FDF),  # radicals
+    (0x3005, 0x3007),  # iteration marks and zero
+    (0x3040, 0x30FF),  # Hiragana, Katakana
+    (0x3100, 0x312F),  # Bopomofo
+    (0x31A0, 0x31BF),
+    (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF),  # Han
+    (0x4E00, 0x9FFF),
+    (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F),  # Katakana of half width
+    (0x20000, 0x3FFFF),
+)
+
+
+@functools.cache
+def kinds() -> np.ndarray:
+    """The kind of each code point, by its Unicode category and script; built once per process."""
+    by_category = {"L": LETTER, "N": LETTER, "M": MARK}
+    table = np.array([by_category.get(unicodedata.category(chr(c))[0], OUTSIDE) for c in range(0x110000)], np.uint8)
+    for first, last in UNSPACED:
+        # Digits of these scripts make numbers as others do.
+        alone = np.array([unicodedata.category(chr(c))[0] == "L" for c in range(first, last + 1)])
+        table[first : last + 1][alone] = ALONE
+    return table
+
+
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, code point and number of bytes of each character of UTF-8 text."""
+    places = np.flatnonzero((data & 0xC0) != 0x80)
+    code = data[places].astype(np.uint32)
+    if len(places) == len(data):
+        return places, code, np.ones(len(data), np.int64)
+    width = np.diff(np.append(places, len(data)))
+    code = np.where(width == 1, code, code & (0x7F >> width))
+    for more in (1, 2, 3):
+        some = width > more
+        code[some] = (code[some] << 6) | (data[places[some] + more] & 0x3F)
+    return places, code, width
+
+
+def letters(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of UTF-8 texts that begin at `edges`: is it of a word, and must one begin there.
+
+    Words are runs of letters, digits and marks; in scripts without blanks each
+    letter is a word, with the marks on it.
+    """
+    places, code, width = characters(data)
+    kind = kinds()[code]
+    breaks = np.zeros(len(data), bool)
+    if len(places) < len(data):
+        opening = np.searchsorted(places, edges)
+        kind[opening] = np.where(kind[opening] == MARK, LETTER, kind[opening])
+        # The last character before each one that is no mark.
+        bare = np.maximum.accumulate(np.where(kind != MARK, np.arange(len(kind)), 0))
+        before = np.concatenate([[np.uint8(OUTSIDE)], kind[bare[:-1]]])
+        breaks[places] = (kind == ALONE) | ((kind == LETTER) & (before == ALONE))
+    return np.repeat(kind != OUTSIDE, width), breaks
+
+
+Rule = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 class Runs:
     """Maximal runs of some bytes in each text: words or lines.
 
-    start, end: byte positions in the concatenated texts; hash: 64 bits each;
-    first: index of each text's first run, with the number of runs at the end.
+    `member` tells the bytes by their values, or is a rule like `letters`.  start, end: byte positions in the concatenated texts; hash:
+    64 bits each; first: index of each text's first run, with the number of runs
+    at the end.
     """
 
-    def __init__(self, data: np.ndarray, at: np.ndarray, member: np.ndarray):
-        parts = [_runs(data, at, member, a, b) for a, b in _chunks(data, member)]
+    def __init__(self, data: np.ndarray, at: np.ndarray, member: np.ndarray | Rule = letters):
+        parts = [_runs(data, at, *stretch) for stretch in _stretches(data, at, member)]
         empty = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
         self.start, self.end, self.hash = (np.concatenate(x) for x in zip(*(parts or empty), strict=True))
         self.first = np.searchsorted(self.start, at)
@@ -143,31 +212,42 @@ class Runs:
         return np.repeat(np.arange(len(self.count)), self.count)
 
 
-def _chunks(data: np.ndarray, member: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Bounded stretches of the bytes that cut no run."""
-    start = 0
+def _stretches(
+    data: np.ndarray, at: np.ndarray, member: np.ndarray | Rule
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray | None]]:
+    """Bounded stretches of the bytes that cut no run, which bytes are in runs and where one must begin."""
+    start, size = 0, CHUNK_BYTES
     while start < len(data):
-        stop = min(start + CHUNK_BYTES, len(data))
+        stop = min(start + size, len(data))
+        if isinstance(member, np.ndarray):
+            inside, breaks = member[data[start:stop]], None
+        else:
+            while stop < len(data) and data[stop] & 0xC0 == 0x80:
+                stop += 1
+            inside, breaks = member(data[start:stop], at[(at >= start) & (at < stop)] - start)
         if stop < len(data):
-            outside = np.flatnonzero(~member[data[start:stop]])
-            if len(outside):
-                stop = start + int(outside[-1]) + 1
-            else:
-                later = np.flatnonzero(~member[data[stop:]])
-                stop = stop + int(later[0]) + 1 if len(later) else len(data)
-        yield start, stop
-        start = stop
-
-
-def _runs(data: np.ndarray, at: np.ndarray, member: np.ndarray, a: int, b: int):
-    inside = member[data[a:b]]
+            # The last place where no run goes on: behind a byte of none, or where one must begin.
+            cut = np.flatnonzero(~inside)[-1:] + 1
+            if breaks is not None:
+                cut = np.append(cut, np.flatnonzero(breaks)[-1:])
+            if not len(cut) or cut.max() == 0:
+                size *= 2
+                continue
+            stop = start + int(cut.max())
+        yield start, stop, inside[: stop - start], None if breaks is None else breaks[: stop - start]
+        start, size = stop, CHUNK_BYTES
+
+
+def _runs(data: np.ndarray, at: np.ndarray, a: int, b: int, inside: np.ndarray, breaks: np.ndarray | None):
     edges = at[(at > a) & (at < b)] - a
+    anew = np.zeros(len(inside), bool)
+    anew[edges] = True
+    if breaks is not None:
+        anew |= breaks
     starts = inside.copy()
-    starts[1:] &= ~inside[:-1]
-    starts[edges] = inside[edges]
+    starts[1:] &= ~inside[:-1] | anew[1:]
     ends = inside.copy()
-    ends[:-1] &= ~inside[1:]
-    ends[edges - 1] = inside[edges - 1]
+    ends[:-1] &= ~inside[1:] | anew[1:]
     start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     length = end - start
     if not len(start):

@@ -21,7 +21,7 @@ def by_hand(edges):
 
 
 @pytest.mark.parametrize("kind", ["path", "star", "random", "none"])
-def test_components(frame, kind):
+def test_components(spark, frame, kind):
     draw = random.Random(2)
     edges = {
         "path": [(i, i + 1) for i in range(40)],
@@ -30,5 +30,6 @@ def test_components(frame, kind):
         "none": [],
     }[kind]
     edges = [(f"{a:03}", f"{b:03}") for a, b in edges if a != b]
-    rows = neardup.components(frame(edges, "a string, b string")).collect()
+    with neardup.scratch_tables(spark) as save:
+        rows = neardup.components(frame(edges, "a string, b string"), save).collect()
     assert {r.node: r.root for r in rows} == by_hand(edges)

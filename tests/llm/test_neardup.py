@@ -1,4 +1,5 @@
 import random
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -85,8 +86,40 @@ def test_a_large_group_and_its_pairs(frame, spark):
     docs = [(i, " ".join(base if i % 2 else changed(base, 1))) for i in range(300)]
     assert set(found(frame, docs).values()) == {0}
     plain = frame(docs, "id long, text string")
-    signed = neardup._sign_all(plain)
-    assert neardup.links(plain, signed, "id", "text").count() < 300 * 2 * neardup.BANDS
+    with neardup.scratch_tables(spark) as save:
+        signed = neardup._sign_all(plain, save)
+        assert neardup.links(plain, signed, save, "id", "text").count() < 300 * 2 * neardup.BANDS
+
+
+def test_only_stragglers_go_on(frame, spark):
+    """However large a group, what goes on after the first pairs are the members outside its class."""
+    template, strays = words(120), [words(18) for _ in range(6)]
+    for n in (150, 300, 600):
+        group = [changed(template, 1) for _ in range(n)]
+        apart = [template[:102] + s for s in strays]
+        docs = frame([(i, " ".join(t)) for i, t in enumerate(group + apart)], "id long, text string")
+        with neardup.scratch_tables(spark) as save:
+            signed = neardup._sign_all(docs, save)
+            nodes = signed.selectExpr("content AS node", "id", "size", "explode(bands) AS band")
+            met = nodes.join(nodes.groupBy("band").count().where("count > 1").withColumnRenamed("count", "n"), "band")
+            sets = save(neardup.W.map_texts(docs, neardup._sets, "content binary, hashes array<long>", []), "sets")
+            first = save(neardup._close(neardup._first_pairs(met, 0.8), sets, 0.8), "links")
+            outsiders = neardup._outsiders(met, neardup.components(first, save))
+            assert outsiders.count() <= 2 * len(strays)
+
+
+def test_scratch_tables_go_but_for_what_the_rows_come_from(frame, corpus, tmp_path, monkeypatch):
+    docs = frame(corpus[:40], "doc_id long, text string")
+    monkeypatch.setattr(neardup, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    neardup.classes(docs)
+    neardup.keep_one(docs)
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["classes", "contents", "dropped"]
+
+
+def test_an_id_called_like_a_result(frame):
+    rows = neardup.classes(frame([(1, "a b c"), (2, "A b, c")], "content long, text string"), id="content")
+    assert rows.columns == ["content", "content_", "class_id", "n_links"]
+    assert [r.class_id for r in rows.collect()] == [1, 1]
 
 
 def test_pairs_inside_many_texts_on_one_template_are_found(frame):
@@ -102,9 +135,8 @@ def test_pairs_inside_many_texts_on_one_template_are_found(frame):
     assert found(frame, docs) == classes
 
 
-def test_the_same_without_broadcast_and_with_few_counters(frame, monkeypatch):
+def test_the_same_without_broadcast(frame, monkeypatch):
     monkeypatch.setattr(neardup, "MAX_BROADCAST_ROWS", 0)
-    monkeypatch.setattr(neardup, "COUNTERS", 64)
     test_pairs_inside_many_texts_on_one_template_are_found(frame)
 
 

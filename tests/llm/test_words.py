@@ -1,4 +1,6 @@
+import random
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +65,43 @@ def test_fresh_ignores_case():
     assert W.fresh("_text", ["_Text", "_text_"]) == "_text__"
 
 
+def words_by_hand(text):
+    """Words by the class of each character: letters, digits and marks, single letters where no blanks are."""
+    unspaced = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u4e00-\u9fff]")
+    out, word, alone = [], "", False
+    for c in text:
+        kind = unicodedata.category(c)[0]
+        if kind == "M":
+            word += c
+            continue
+        single = kind == "L" and bool(unspaced.match(c))
+        if kind not in "LN" or single or alone:
+            out.append(word)
+            word = ""
+        if kind in "LN":
+            word += c
+        alone = single
+    return [w for w in [*out, word] if w]
+
+
+SCRIPTS = "ab Z9é, “”’—…\u00a0\u0301हिन्दी ไทยภาษาก็ 日本語テスト。、한국어 \U0001f600٣ x_y-"
+
+
 def test_letters_and_digits():
-    text = "Café-au_lait, 2nd!"
-    _, _, found = runs([text], W.ALNUM)
-    assert found.count[0] == len(re.findall(r"[^\W_]+", text))
+    texts = ["Café-au_lait, 2nd!", SCRIPTS, "“quoted words” — and… more", "e\u0301te\u0301", "第3章と4", "", "ไทยab1"]
+    draw = random.Random(7)
+    texts += ["".join(draw.choices(SCRIPTS, k=draw.randrange(40))) for _ in range(400)]
+    data, _, found = runs(texts, W.letters)
+    raw = data.tobytes()
+    made = [raw[a:b].decode() for a, b in zip(found.start, found.end, strict=True)]
+    assert made == [w for t in texts for w in words_by_hand(t)]
+    assert list(found.count) == [len(words_by_hand(t)) for t in texts]
+
+
+def test_chunks_cut_no_character(monkeypatch):
+    texts = [SCRIPTS * 5, "日本語" * 50, "x" * 100 + "日本" + "y" * 60]
+    _, _, whole = runs(texts, W.letters)
+    for size in (1, 5, 16, 64):
+        monkeypatch.setattr(W, "CHUNK_BYTES", size)
+        _, _, cut = runs(texts, W.letters)
+        assert (whole.hash == cut.hash).all() and (whole.first == cut.first).all()
