@@ -26,14 +26,27 @@ RUN_WORDS = 16
 LONG_SENTENCE = 12
 CUT_EVERY = 5
 
-STOPS = np.zeros(256, bool)
-STOPS[list(b".!?")] = True
-CLOSERS = np.zeros(256, bool)
-CLOSERS[list(b"\"')]}")] = True
+# What ends a sentence, also where no blank follows, and what may stand behind that.
+WIDE_STOPS = np.array([ord(c) for c in "。！？｡"], np.uint32)
+STOPS = np.array([ord(c) for c in ".!?…।॥۔؟։።。！？｡"], np.uint32)
+CLOSERS = np.array([ord(c) for c in "\"')]}”’»」』）】］"], np.uint32)
 FACTOR = 0x9E3779B97F4A7C15
 UNFACTOR = pow(FACTOR, -1, 1 << 64)
 
 
+def _words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words are what white space parts; in scripts without blanks each letter begins one, and so
+    does what follows a wide full stop and the marks that close behind it."""
+    _, breaks = W.letters(data, edges)
+    if (data >= 0xE3).any():
+        places, code, _ = W.characters(data)
+        stop, closer = np.isin(code, WIDE_STOPS), np.isin(code, CLOSERS)
+        bare = np.maximum.accumulate(np.where(closer, 0, np.arange(len(code))))
+        ended = stop[bare]
+        breaks[places[1:][ended[:-1] & ~closer[1:] & ~np.isin(code[1:], STOPS)]] = True
+    return W.NOT_SPACE[data], breaks
+
+
 class Sentences:
     """The sentences of each text and their runs.
 
@@ -44,7 +57,7 @@ class Sentences:
 
     def __init__(self, texts: pa.Array):
         self.data, self.at = W.buffers(texts)
-        found = W.Runs(self.data, self.at, W.NOT_SPACE)
+        found = W.Runs(self.data, self.at, _words)
         owner = found.owner
         ends = np.flatnonzero(self._ends(found, owner))
         begins = np.concatenate([[0], ends[:-1] + 1])[: len(ends)].astype(np.int64)
@@ -64,11 +77,13 @@ class Sentences:
         data = self.data
         if not len(owner):
             return np.zeros(0, bool)
-        tail = data[found.end - 1]
-        before = data[np.maximum(found.end - 2, found.start)]
+        places, code, _ = W.characters(data)
+        last = np.searchsorted(places, found.end) - 1
+        tail, before = code[last], code[np.maximum(last - 1, np.searchsorted(places, found.start))]
+        stopped = np.isin(tail, STOPS) | (np.isin(tail, CLOSERS) & np.isin(before, STOPS))
         breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
         following = np.append(found.start[1:], len(data))
-        ends = STOPS[tail] | (CLOSERS[tail] & STOPS[before]) | (breaks[following] > breaks[found.end])
+        ends = stopped | (breaks[following] > breaks[found.end])
         ends |= owner != np.append(owner[1:], -1)
         sentence = np.cumsum(ends) - ends
         long = np.bincount(sentence)[sentence] > LONG_SENTENCE

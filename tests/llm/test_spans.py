@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from leadpipe.llm import spans
@@ -97,3 +98,58 @@ def test_runs_are_the_shortest_from_and_up_to_each_sentence():
 def test_hashes_do_not_depend_on_the_place():
     alone, later = (spans.Sentences(pa.array([t])) for t in (PASSAGE, f"{sentence()} {PASSAGE}"))
     assert set(alone.run_hash) <= set(later.run_hash)
+
+
+def kept_by_hand(texts):
+    """Texts without the sentences of runs met before, from all runs of all sentences."""
+    parts = []
+    for t in texts:
+        if not t.strip():
+            parts.append(([], [], t))
+            continue
+        found = spans.Sentences(pa.array([t]))
+        raw = found.data.tobytes()
+        own = [raw[a:b].decode() for a, b in zip(found.start, found.stop, strict=True)]
+        parts.append((own, list(zip(found.run_from.tolist(), found.run_to.tolist(), strict=True)), raw[: found.start[0]].decode()))
+    seen, out = {}, []
+    for i, (own, runs, _) in enumerate(parts):
+        for a, b in runs:
+            seen.setdefault("".join("".join(own[a : b + 1]).split()), (i, a))
+    for i, (own, runs, lead) in enumerate(parts):
+        gone = set()
+        for a, b in runs:
+            if seen["".join("".join(own[a : b + 1]).split())] != (i, a):
+                gone.update(range(a, b + 1))
+        out.append(lead + "".join(s for k, s in enumerate(own) if k not in gone))
+    return out
+
+
+HAN = "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏"
+
+
+def han(n=12, stop="。"):
+    return "".join(DRAW.choices(HAN, k=n)) + stop
+
+
+def test_whole_results_against_all_runs(frame):
+    pool = [sentence(DRAW.randint(2, 14)) for _ in range(25)] + [han(DRAW.randint(3, 20)) for _ in range(15)]
+    texts = []
+    for _ in range(60):
+        a = DRAW.randrange(30)
+        texts.append("".join(s + DRAW.choice(["", " ", "\n"]) if s[-1] == "。" else s + " " for s in pool[a : a + DRAW.randrange(12)]))
+    found = cleaned(frame, texts)
+    assert [found[i][0] for i in range(1, 61)] == kept_by_hand(texts)
+
+
+def test_sentences_of_other_scripts_end(frame):
+    for text, count in (
+        ("他说：“你好。”然后走了！真的？「是。」好", 5),
+        ("Is it … so? “Yes.” He went.", 4),
+        ("यह एक वाक्य है। और एक।", 2),
+        ("هل هذا صحيح؟ نعم۔", 2),
+    ):
+        found = spans.Sentences(pa.array([text]))
+        assert np.diff(found.first).tolist() == [count], text
+    passage = "".join(han() for _ in range(25))
+    found = cleaned(frame, [passage, han() + passage + han(), "x"])
+    assert found[1][2] == 0 and found[2][2] >= 25 and len(found[2][0]) < 40
