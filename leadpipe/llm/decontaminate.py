@@ -10,6 +10,9 @@ it is such a stretch.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +20,19 @@ from leadpipe.llm import words as W
 from leadpipe.operators.relational import same_key
 from leadpipe.session import scratch_path
 
-# Ones are the positions a seed compares.  All masks have the same span, and a
-# hole in the middle, so one substituted word in five still leaves hits.
-MASKS = ("110101011", "101101101")
-SPAN = len(MASKS[0])
+# Ones are the positions a seed compares, by the least tokens of an item.  An item of that many up to
+# the next number has the seeds of these masks; whatever one token in five of it is substituted, one of
+# them hits, and so in any 13 to 25 tokens of a longer item.  A longer overlap has such a part.
+MASKS = {
+    13: ("110111", "11111"),
+    10: ("10111", "1111"),
+    8: ("1111",),
+    5: ("111", "1011"),
+    4: ("1111",),
+    3: ("111",),
+    2: ("11",),
+    1: ("1",),
+}
 # An overlap has at least so many tokens, or the whole item, and so many of them equal.
 MIN_TOKENS = 13
 SIMILARITY = 0.8
@@ -30,40 +42,60 @@ PENALTY = 3
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+# A letter of a script without blanks, with its marks, is a token.
+UNSPACED = "([" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in W.UNSPACED) + r"&&\p{L}]\p{M}*)"
+
+
 def tokens(text: str | Column) -> Column:
-    """Hashes of the runs of letters and digits, in lower case; none for a null text."""
-    text = F.col(text) if isinstance(text, str) else text
-    parts = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+")
+    """Hashes of the runs of letters, marks and digits, in lower case, and of single letters in scripts
+    without blanks; none for a null text."""
+    text = F.lower(F.coalesce((F.col(text) if isinstance(text, str) else text).cast("string"), F.lit("")))
+    spaced = F.when(text.rlike(r"[\x{e00}-\x{3ffff}]"), F.regexp_replace(text, UNSPACED, " $1 ")).otherwise(text)
+    parts = F.split(spaced, r"[^\p{L}\p{M}\p{N}]+")
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(tokens: str) -> Column:
-    """Seed hashes at all places under the first mask, then under the next, and so on."""
+def seeds(tokens: str, masks: Sequence[str]) -> Column:
+    """Seed hashes at all places under the first mask, then under the next, and so on; null where a
+    mask reaches over the end."""
     held = F.col(tokens)
-    places = F.when(F.size(held) >= SPAN, F.sequence(F.lit(0), F.size(held) - SPAN)).otherwise(
-        F.array().cast("array<int>")
-    )
+    places = F.when(F.size(held) > 0, F.sequence(F.lit(0), F.size(held) - 1)).otherwise(F.array().cast("array<int>"))
 
-    def under(number: int, mask: str) -> Column:
+    def under(mask: str) -> Column:
         looked = [i for i, bit in enumerate(mask) if bit == "1"]
-        return F.transform(places, lambda p: F.xxhash64(F.lit(number), *[F.get(held, p + i) for i in looked]))
+        hashed = lambda p: F.xxhash64(F.lit(mask), *[F.get(held, p + i) for i in looked])
+        return F.transform(places, lambda p: F.when(p <= F.size(held) - len(mask), hashed(p)))
 
-    return F.concat(*[under(n, mask) for n, mask in enumerate(MASKS)])
+    return F.concat(*[under(mask) for mask in masks])
 
 
-def _seeded(rows: DataFrame, key: str, place: str) -> DataFrame:
+def _seeded(rows: DataFrame, key: str, place: str, masks: Sequence[str]) -> DataFrame:
     """One row per seed: the key, the place of the seed in the tokens, and its hash.
 
     A text without seeds gives one row with a null hash, which meets nothing: an
     inner generator would put a filter with a copy of the whole expression below
     itself, and the tokens would be computed anew for each place.
     """
-    hashed = rows.select(key, (F.size("tokens") - (SPAN - 1)).alias("places"), seeds("tokens").alias("seeds"))
+    hashed = rows.select(key, F.size("tokens").alias("places"), seeds("tokens", masks).alias("seeds"))
     return hashed.select(key, "places", F.posexplode_outer("seeds").alias("nth", "seed")).select(
         key, (F.col("nth") % F.col("places")).alias(place), "seed"
     )
 
 
+def _item_seeds(items: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The seeds of the items under the masks for their size, and all masks in use."""
+    size, below, parts = F.size("tokens"), 1 << 31, []
+    counted = items.agg(*[F.count_if(F.size("tokens") >= least).alias(str(least)) for least in MASKS]).first()
+    masks, before = [], 0
+    for least, own in MASKS.items():
+        if counted[str(least)] > before:
+            masks += [m for m in own if m not in masks]
+            parts.append(_seeded(items.where((size >= least) & (size < below)), "item", "item_at", own))
+        below, before = least, counted[str(least)]
+    none = items.limit(0).select("item", F.lit(0).alias("item_at"), F.lit(0).cast("long").alias("seed"))
+    return functools.reduce(DataFrame.union, parts, none), masks
+
+
 def _small(df: DataFrame) -> DataFrame:
     """The rows, to be broadcast if they are few; else the join shuffles them."""
     return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
@@ -154,8 +186,9 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     `docs` has `content` and `tokens`, `items` `item` and `tokens`.  The
     diagonal is the place in the document less the place in the item.
     """
-    wanted = _small(_saved(_seeded(items, "item", "item_at").withColumnRenamed("seed", "item_seed"), "seeds"))
-    met = _seeded(docs, "content", "doc_at").join(wanted, F.col("seed") == F.col("item_seed"))
+    seeded, masks = _item_seeds(items)
+    wanted = _small(_saved(seeded.withColumnRenamed("seed", "item_seed").where("item_seed IS NOT NULL"), "seeds"))
+    met = _seeded(docs, "content", "doc_at", masks or MASKS[MIN_TOKENS]).join(wanted, F.col("seed") == F.col("item_seed"))
     return met.select("content", "item", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct()
 
 
@@ -175,8 +208,8 @@ def overlaps(
     Documents of equal text are looked up as one, under a 64-bit hash of the
     text; a collision only adds pairs for the comparison to refuse.  Of several
     stretches the one with the most equal tokens is reported, then the first.
-    Nulls and texts of fewer tokens than the span of the masks hold nothing, on
-    either side.  Repeated rows of documents give repeated rows; items of the
+    Nulls and texts without tokens hold nothing, on either side; an item of fewer
+    tokens than `min_tokens` has to be there whole, be it a single word.  Repeated rows of documents give repeated rows; items of the
     same id are one item with several texts.  Without documents or items there
     is no row.  Other columns are left out.
     """
@@ -188,14 +221,8 @@ def overlaps(
         tokens(item_text).alias("tokens"),
     ).dropDuplicates(["item"])
     met = _saved(hits(whole.select("content", "tokens"), parts), "hits")
-    by_content = met.groupBy(F.col("content").alias("found")).agg(
-        F.collect_set(F.struct("item", "diagonal")).alias("places")
-    )
-    few = met.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    again = whole.join(F.broadcast(by_content) if few else by_content, same_key(F.col("content"), F.col("found")))
-    pairs = again.select("id", "tokens", F.explode("places").alias("place")).select(
-        "id", "place.item", "place.diagonal", "tokens"
-    )
+    places = _small(met.select(F.col("content").alias("found"), "item", "diagonal"))
+    pairs = whole.join(places, same_key(F.col("content"), F.col("found"))).select("id", "item", "diagonal", "tokens")
     held = parts.select(F.col("item").alias("held"), F.col("tokens").alias("item_words"))
     held = _small(held)
     aligned = pairs.join(held, F.col("item") == F.col("held")).select(

@@ -1,7 +1,11 @@
+import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from test_words import words_by_hand
+
 from leadpipe.llm import decontaminate
 
 DRAW = random.Random(11)
@@ -92,10 +96,60 @@ def test_stretches_against_brute_force(frame):
         assert same == sum(r.equal[start : start + length]) and 5 * same >= 4 * length
 
 
+def least_masks(n):
+    return next(masks for least, masks in sorted(decontaminate.MASKS.items(), reverse=True) if n >= least)
+
+
+@pytest.mark.parametrize("n", range(1, 26))
+def test_all_placements_of_substitutions_are_hit(n):
+    """Whole items up to 12 tokens, any part of 13 to 25 of a longer one, one token in five substituted."""
+    masks = [(int(m, 2), len(m)) for m in least_masks(n)]
+    for places in itertools.combinations(range(n), n // 5):
+        equal = (1 << n) - 1 - sum(1 << i for i in places)
+        assert any((equal >> s) & mask == mask for mask, span in masks for s in range(n - span + 1)), places
+
+
 def test_short_items_count_whole(frame):
-    items = [(1, "one two three four five six seven eight nine ten"), (2, "too short")]
-    texts = ["zero one two three four five six seven eight nine ten eleven", "too short"]
-    assert set(found(frame, texts, items)) == {(0, 1)}
+    items = [
+        (1, "one two three four five six seven eight nine ten"),
+        (2, "too short"),
+        (3, "the capital of france is paris"),
+        (4, "zero"),
+        (5, "日本の首都は東京です"),
+    ]
+    texts = [
+        "zero one two three four five six seven eight nine ten eleven",
+        "It is too short.",
+        "We know: The capital of France is Paris! And the capital of spain is paris.",
+        "the capital of spain is madrid too",
+        "それで日本の首都は東京です、と言った",
+        "too long, short too",
+    ]
+    assert set(found(frame, texts, items)) == {(0, 1), (0, 4), (1, 2), (2, 3), (4, 5)}
+
+
+def test_against_all_diagonals(frame):
+    """Short items with one token in five substituted, in words of several scripts."""
+    pool = VOCABULARY[:300] + ["हिन्दी", "été", "слово"]
+    items = [(i, " ".join(DRAW.choices(pool, k=DRAW.randint(5, 24)))) for i in range(25)]
+    texts = []
+    for _ in range(120):
+        own = DRAW.choice(items)[1].split()
+        for i in DRAW.sample(range(len(own)), DRAW.randint(0, len(own) // 4 + 1)):
+            own[i] = "zz"
+        texts.append("“" + " ".join(words(5) + own) + "” — " + " ".join(words(4)))
+    expected = set()
+    for d, text in enumerate(texts):
+        a = words_by_hand(text)
+        for item, other in items:
+            b = words_by_hand(other)
+            least = min(13, len(b))
+            for diagonal in range(-len(b), len(a)):
+                same = [0 <= diagonal + i < len(a) and a[diagonal + i] == w for i, w in enumerate(b)]
+                if any(5 * sum(same[i:j]) >= 4 * (j - i) for i in range(len(b)) for j in range(i + least, len(b) + 1)):
+                    expected.add((d, item))
+    assert len(expected) > 60
+    assert set(found(frame, texts, items)) == expected
 
 
 def test_copies_and_the_join_without_broadcast(frame, monkeypatch):
@@ -112,18 +166,18 @@ def test_edges(edges, none, frame):
         "item_id long, text string",
     )
     hits = decontaminate.overlaps(edges, bench).collect()
-    assert {(r.doc_id, r.item_id) for r in hits} == {(1, 1)}
+    assert {(r.doc_id, r.item_id) for r in hits} == {(1, 1), (7, 1)}
     assert decontaminate.overlaps(none, bench).count() == 0
     assert decontaminate.overlaps(edges, bench.limit(0)).count() == 0
     kept = decontaminate.clean(edges, bench)
     assert kept.columns == edges.columns
-    assert kept.count() == 7 and kept.where("doc_id = 1").isEmpty()
+    assert kept.count() == 6 and kept.where("doc_id IN (1, 7)").isEmpty()
     assert decontaminate.clean(none, bench).count() == 0
 
 
 def test_no_python_and_no_second_evaluation(frame):
     docs = frame([(1, " ".join(ITEM))], "doc_id long, text string")
-    seeded = decontaminate._seeded(docs.select("doc_id", decontaminate.tokens("text").alias("tokens")), "doc_id", "at")
+    seeded = decontaminate._seeded(docs.select("doc_id", decontaminate.tokens("text").alias("tokens")), "doc_id", "at", ("1011",))
     plan = seeded._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") == 1
     assert "Python" not in plan and "Arrow" not in plan
