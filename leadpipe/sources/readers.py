@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadpipe.operators.relational import number_rows
 from leadpipe.schemas import DIMENSIONS, PAGES, RAW, SEARCH_RESULTS
+from leadpipe.sources.workbook import scan_workbook
 
 # Quotes inside a quoted field are doubled; blanks at the ends of a field stay.
 CSV_FORMAT = {
@@ -106,7 +108,8 @@ def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def scan_dims(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """Read the five scoring sheets, one file or folder each, in their long form.
 
-    A CSV sheet of another number of columns is an error, see `scan_dims_wide`.
+    A CSV sheet of another number of columns is an error, see `scan_dims_wide` and, for
+    a workbook, `scan_dims_workbook`.
     """
     options = CSV_FORMAT if fmt == "csv" else {}
     sheets = {}
@@ -125,31 +128,57 @@ def scan_dims_wide(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Read the five scoring sheets as people keep them: without positions, and the title matrix
     with one column of points per level.
 
-    A position is a row's place in its sheet, by file and then as in the file.
-    Columns go by place but for the level columns of the matrix, whose names are
-    the levels, in lower case.  A cell without points is no entry.
+    A position is a row's place in its sheet, by file and then as in the file; rows are
+    numbered by many tasks.  Columns go by place but for the level columns of the matrix, whose
+    names are the levels, in lower case.  A cell without points is no entry.
     """
     found = {}
-    for name, schema in DIMENSIONS.items():
+    for name in DIMENSIONS:
         sheet = spark.read.options(**CSV_FORMAT, multiLine=True).csv(f"{folder}/{name}")
         rows = sheet.select(
-            F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id()).alias("_place"), *sheet.columns
+            F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_line"), *sheet.columns
+        )
+        numbered = number_rows(rows, ["_file", "_line"], "pos").withColumn("pos", (F.col("pos") + 1).cast("int"))
+        found[name] = _dimension(name, numbered.select("pos", *sheet.columns))
+    return found
+
+
+def scan_dims_workbook(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Read the five scoring sheets from one workbook, in their wide form under their own names.
+
+    The first row with a value is the header.  A position is the number of rows from there, empty
+    ones too.  The rest is as in `scan_dims_wide`.
+    """
+    cells = scan_workbook(spark, path, list(DIMENSIONS))
+    heads = cells.groupBy("sheet").agg(F.min_by(F.struct("row", "cells"), "row").alias("head")).collect()
+    header = {r["sheet"]: r["head"] for r in heads}
+    found = {}
+    for name in DIMENSIONS:
+        if name not in header:
+            raise ValueError(f"{name}: no such sheet, or an empty one")
+        names = [(i, c) for i, c in enumerate(header[name].cells) if c is not None]
+        rows = cells.where((F.col("sheet") == name) & (F.col("row") > header[name].row)).select(
+            (F.col("row") - header[name].row).alias("pos"), *[F.get("cells", F.lit(i)).alias(c) for i, c in names]
         )
-        place = F.row_number().over(Window.orderBy("_place")).cast("int")  # sheets are small
-        rows = rows.withColumn("pos", place).drop("_place")
-        fields = [f.strip().split() for f in schema.split(",")][1:]
-        if name == "title_matrix":
-            title, *levels = sheet.columns
-            rows = rows.unpivot(["pos", title], levels, "level", "points").withColumn("level", F.lower(F.trim("level")))
-            rows = rows.where("points IS NOT NULL")
-        given = [c for c in rows.columns if c != "pos"]
-        if len(given) != len(fields):
-            raise ValueError(f"{name}: expected {len(fields)} columns, found {given}")
-        typed = [F.col(f"`{c}`").cast(kind).alias(field) for c, (field, kind) in zip(given, fields, strict=True)]
-        found[name] = rows.select("pos", *typed)
+        found[name] = _dimension(name, rows)
     return found
 
 
+def _dimension(name: str, rows: DataFrame) -> DataFrame:
+    """A wide sheet with the column `pos` as a dimension."""
+    columns = [c for c in rows.columns if c != "pos"]
+    fields = [f.strip().split() for f in DIMENSIONS[name].split(",")][1:]
+    if name == "title_matrix":
+        title, *levels = columns
+        rows = rows.unpivot(["pos", title], levels, "level", "points").withColumn("level", F.lower(F.trim("level")))
+        rows = rows.where("points IS NOT NULL")
+    given = [c for c in rows.columns if c != "pos"]
+    if len(given) != len(fields):
+        raise ValueError(f"{name}: expected {len(fields)} columns, found {given}")
+    typed = [F.col(f"`{c}`").cast(kind).alias(field) for c, (field, kind) in zip(given, fields, strict=True)]
+    return rows.select("pos", *typed)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)

@@ -98,7 +98,7 @@ _LEVELS = ["Manager", "Director", "Vice President"]
 def scan_dims_wide(spark, sf_dir):
     """Sheets without positions, the matrix with a column per level and empty cells."""
     folder = scratch_path(spark, "sheets")
-    part = table(spark, sf_dir, "part").orderBy("p_partkey").coalesce(1)
+    part = table(spark, sf_dir, "part").orderBy("p_partkey")
     cells = [F.col("p_size"), F.when(F.col("p_size") % 5 != 0, F.col("p_size") + 1), F.col("p_size") * 2]
     matrix = part.select(F.col("p_name").alias("Title"), *[c.alias(n) for c, n in zip(cells, _LEVELS, strict=True)])
     two = {"mapping": "p_type", "level_mapping": "p_brand", "keywords": "p_size", "no_match_levels": "p_size"}
