@@ -1,7 +1,7 @@
 """Title cleaning and the title-scoring rule as native column expressions.
 
-Dictionary entries arrive as array columns in lookup order.  An entry carries
-its own points, so a match needs no second lookup.
+The entries a title holds arrive as array columns in lookup order.  An entry
+carries its own points, so a match needs no second lookup.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ MIN_TOKEN = r"^[a-z]{2,}$"
 LEVELS = "array<struct<entry:string,level:string,rank:int,points:int>>"
 TARGETS = "array<struct<entry:string,points:map<string,int>>>"
 KEYWORDS = "array<struct<entry:string,points:int>>"
-SPELLING = "array<struct<entry:string,new:string>>"
 SCORE = "struct<title_level:string,new_title:string,points:int>"
 
 
@@ -45,44 +44,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def consume(text: Column, blocks: list[Column], entries_type: str, strip: bool) -> Column:
-    """Search dictionary entries in order as substrings of what is left of a text.
+def typed(items: Column, kind: str) -> Column:
+    """Dictionary items as entries of LEVELS, TARGETS or KEYWORDS."""
+    made = {
+        LEVELS: lambda i: F.struct(i["entry"], i["level"], i["rank"], i["points"]),
+        TARGETS: lambda i: F.struct(i["entry"], F.map_from_entries(i["by_level"])),
+        KEYWORDS: lambda i: F.struct(i["entry"], i["points"]),
+    }[kind]
+    return F.transform(items, made).cast(kind)
 
-    A hit is recorded and all its occurrences leave the text, so an entry
-    inside an already found one is not found again: struct(rest, found).
-    """
-
-    def step(acc: Column, e: Column) -> Column:
-        rest = F.replace(acc["rest"], e["entry"], F.lit(""))
-        return F.when(
-            F.contains(acc["rest"], e["entry"]),
-            F.struct(
-                (F.trim(rest) if strip else rest).alias("rest"),
-                F.array_append(acc["found"], e).alias("found"),
-            ),
-        ).otherwise(acc)
-
-    state = F.struct(text.alias("rest"), F.array().cast(entries_type).alias("found"))
-    for entries in blocks:
-        state = F.aggregate(entries, state, step)
-    return state
-
-
-def equal_entries(text: Column, blocks: list[Column]) -> Column:
-    """The dictionary entries equal to a text: none or one."""
-    return F.concat(*[F.filter(entries, lambda e: e["entry"] == text) for entries in blocks])
 
+def equal_entries(text: Column, entries: Column) -> Column:
+    """The entries equal to a text: none or one."""
+    return F.filter(entries, lambda e: e["entry"] == text)
 
-def find_levels(title: Column, blocks: list[Column]) -> Column:
-    return consume(title, blocks, LEVELS, strip=True)
 
-
-def find_targets(title: Column, blocks: list[Column]) -> Column:
-    return consume(title, blocks, TARGETS, strip=False)
-
-
-def find_keywords(text: Column, blocks: list[Column]) -> Column:
-    """Keywords of a text in order of discovery.
+def found_keywords(text: Column, held: Column, searched: Column) -> Column:
+    """Keywords of a text in order of discovery, from those it holds and those a search found.
 
     A text with `and` anywhere is cut there: a piece that is a keyword counts
     whole, otherwise those of its words that are keywords.  Any other text is
@@ -92,24 +70,14 @@ def find_keywords(text: Column, blocks: list[Column]) -> Column:
     def of_piece(piece: Column) -> Column:
         words = F.split(piece, " ")
         return let(
-            equal_entries(piece, blocks),
+            equal_entries(piece, held),
             lambda whole: F.when(F.size(whole) > 0, whole).otherwise(
-                F.flatten(F.transform(words, lambda w: equal_entries(w, blocks)))
+                F.flatten(F.transform(words, lambda w: equal_entries(w, held)))
             ),
         )
 
     pieces = F.transform(F.split(text, "and"), lambda p: F.trim(p))
-    return F.when(
-        F.contains(text, F.lit("and")), F.flatten(F.transform(pieces, of_piece))
-    ).otherwise(consume(text, blocks, KEYWORDS, strip=True)["found"])
-
-
-def map_tokens(tokens: Column, blocks: list[Column]) -> Column:
-    """Replace every token the spelling map knows."""
-    return F.transform(
-        tokens,
-        lambda w: F.coalesce(F.get(equal_entries(w, blocks), F.lit(0))["new"], w),
-    )
+    return F.when(F.contains(text, F.lit("and")), F.flatten(F.transform(pieces, of_piece))).otherwise(searched)
 
 
 def entry_names(found: Column) -> Column:
@@ -153,58 +121,23 @@ def keyword_total(found: Column) -> Column:
     return F.aggregate(found, F.lit(BASE_POINTS), lambda acc, e: acc + e["points"])
 
 
-def score_title(
-    title: Column, levels: list[Column], targets: list[Column], keywords: list[Column]
-) -> Column:
+def score(title: Column, exact: Column, level: Column, target: Column, keywords: Column) -> Column:
     """Score of a cleaned title: struct(title_level, new_title, points).
 
-    A title that is a target scores at the default level.  Otherwise the best
-    target found scores at the best level found.  Without any target the
-    keywords in what the levels left of the title count, and the best level
-    adds its own points.
+    `exact` is the target the title equals, `target` the best one found at the
+    best `level` found, `keywords` are those of a title without any; each may be null.
     """
     default = F.lit(DEFAULT_LEVEL)
 
-    def score(level: Column, name: Column, points: Column) -> Column:
+    def of(at: Column, name: Column, points: Column) -> Column:
         return F.struct(
-            level.alias("title_level"), name.alias("new_title"), points.cast("int").alias("points")
+            at.alias("title_level"), name.alias("new_title"), points.cast("int").alias("points")
         ).cast(SCORE)
 
-    def by_keywords(rest: Column, level: Column) -> Column:
-        own = F.when(level.isNull(), F.lit(0)).otherwise(level["points"])
-        return let(
-            find_keywords(rest, keywords),
-            lambda found: score(
-                level["level"],
-                F.when(F.size(found) > 0, F.array_join(entry_names(found), " ")),
-                keyword_total(found) + own,
-            ),
-        )
-
-    def by_target(rest: Column, level: Column) -> Column:
-        at = F.coalesce(level["level"], default)
-        return let(
-            best_target(find_targets(title, targets)["found"], at),
-            lambda target: F.when(
-                target.isNotNull(), score(at, target["entry"], target["points"])
-            ).otherwise(by_keywords(rest, level)),
-        )
-
-    def by_level() -> Column:
-        return let(
-            find_levels(title, levels),
-            lambda found: let(
-                best_level(found["found"]), lambda level: by_target(found["rest"], level)
-            ),
-        )
-
-    return F.when(
-        title.isNotNull(),
-        let(
-            F.get(equal_entries(title, targets), F.lit(0)),
-            lambda exact: F.when(
-                exact.isNotNull(),
-                score(default, title, F.try_element_at(exact["points"], default)),
-            ).otherwise(by_level()),
-        ),
+    own = F.when(level.isNull(), F.lit(0)).otherwise(level["points"])
+    name = F.when(F.size(keywords) > 0, F.array_join(entry_names(keywords), " "))
+    return (
+        F.when(exact.isNotNull(), of(default, title, F.try_element_at(exact["points"], default)))
+        .when(target.isNotNull(), of(F.coalesce(level["level"], default), target["entry"], target["points"]))
+        .otherwise(of(level["level"], name, keyword_total(keywords) + own))
     )

@@ -1,71 +1,22 @@
 """Title scoring against the five dimension sheets.
 
-A search consumes the title entry by entry in a fixed order, so every title
-meets every entry: the dictionaries belong next to the rows, not into a join.
-They are hand-kept sheets, but their size is still checked.  Up to
-`BLOCK_ENTRIES` rows a sheet is ordered in one task and makes one block; a
-larger one is ordered by many tasks and cut into blocks of that size, each
-built by a task of its own.  A block reaches the rows as a constant (a scalar
-subquery) and a search goes on from block to block with the same result.  A
-million entries, all a workbook sheet can hold, are about 100 MB of constants.
+Titles repeat, so each distinct one is searched and scored once, and rows get
+the results by their title.  The sheets may have any size: a title meets the
+entries it holds by an index, see `dictionary`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadpipe.functions import titles as t
-from leadpipe.operators.projection import compute_once
+from leadpipe.operators import filters
+from leadpipe.operators.dictionary import Index, saved
 from leadpipe.operators.relational import number_rows, same_key
 
-BLOCK_ENTRIES = 5_000
-
-
-@dataclass(frozen=True)
-class Sheet:
-    """One dictionary in lookup order, as rows (block, entries)."""
-
-    rows: DataFrame
-    blocks: int
-    entries_type: str
-
-    def constants(self) -> list[Column]:
-        """The entries of each block as a constant array."""
-        none = F.array().cast(self.entries_type)
-        return [
-            F.coalesce(self.rows.where(F.col("block") == n).select("entries").scalar(), none)
-            for n in range(self.blocks)
-        ]
-
-
-def look_up(
-    df: DataFrame, text: str, into: str, sheets: list[Sheet], body: Callable[..., Column]
-) -> DataFrame:
-    """Add `body(text, blocks of each sheet)` as a column.
-
-    The text and the constants form one column that is used once, so Spark
-    folds it into the expression and no row carries the entries.
-    """
-    constants = [sheet.constants() for sheet in sheets]
-    named = [
-        c.alias(f"s{i}_{n}") for i, blocks in enumerate(constants) for n, c in enumerate(blocks)
-    ]
-
-    def apply(d: Column) -> Column:
-        blocks = [[d[f"s{i}_{n}"] for n in range(len(b))] for i, b in enumerate(constants)]
-        return body(d["text"], *blocks)
-
-    return (
-        df.withColumn("_input", F.struct(F.col(text).alias("text"), *named))
-        .withColumn(into, t.let(F.col("_input"), apply))
-        .drop("_input")
-    )
-
 
 def keep_last(df: DataFrame, key: str, *values: str) -> DataFrame:
     """One row per key: its first position, its last values (a keyed lookup's view)."""
@@ -76,135 +27,171 @@ def keep_last(df: DataFrame, key: str, *values: str) -> DataFrame:
     )
 
 
-def is_small(df: DataFrame, limit: int = BLOCK_ENTRIES) -> bool:
-    """Whether a table has at most `limit` rows; reads no more than it must."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def in_order(df: DataFrame, order_by: list[Column], into: str, small: bool) -> DataFrame:
-    """Number rows from 1: a small table in one task, any other in many."""
-    if small:
-        return df.withColumn(into, F.row_number().over(Window.orderBy(*order_by)))
+def in_order(df: DataFrame, order_by: list[Column], into: str) -> DataFrame:
+    """Number rows from 1 by many tasks."""
     return number_rows(df, order_by, into).withColumn(into, (F.col(into) + 1).cast("int"))
 
 
-def sort_by_length(
-    df: DataFrame, entry: str, pos: str = "pos", small: bool | None = None
-) -> DataFrame:
+def sort_by_length(df: DataFrame, entry: str, pos: str = "pos") -> DataFrame:
     """Number dictionary entries longest first, equal lengths in sheet order."""
-    small = is_small(df) if small is None else small
-    return in_order(df, [F.char_length(entry).desc(), F.col(pos).asc()], "lookup_order", small)
+    return in_order(df, [F.char_length(entry).desc(), F.col(pos).asc()], "lookup_order")
 
 
-def rank_levels(no_match_levels: DataFrame, small: bool | None = None) -> DataFrame:
+def rank_levels(no_match_levels: DataFrame) -> DataFrame:
     """Rank canonical levels by their stand-alone points, best first."""
-    small = is_small(no_match_levels) if small is None else small
     levels = keep_last(no_match_levels, "job_level", "points")
-    return in_order(levels, [F.col("points").desc_nulls_last(), F.col("pos").asc()], "rank", small)
+    return in_order(levels, [F.col("points").desc_nulls_last(), F.col("pos").asc()], "rank")
 
 
-class TitleSheets:
-    """The dictionaries of the scoring rule; each is packed when first used.
+NTH = "struct<length:int,pos:bigint,name:string>"
+PAYLOAD = {
+    "level": "string",
+    "rank": "int",
+    "points": "int",
+    "by_level": "array<struct<level:string,points:int>>",
+}
 
-    A sheet of at most `block_entries` rows is read into one partition, so no
-    step on it exchanges anything, and makes one block.
-    """
 
-    def __init__(self, dims: dict[str, DataFrame], block_entries: int = BLOCK_ENTRIES):
-        self.dims, self.block_entries = dims, block_entries
+class TitleSheets:
+    """The dictionaries of the scoring rule, indexed when first used."""
 
-    def _source(self, name: str) -> tuple[DataFrame, bool]:
-        sheet = self.dims[name]
-        small = is_small(sheet, self.block_entries)
-        return (sheet.coalesce(1) if small else sheet), small
+    def __init__(self, dims: dict[str, DataFrame]):
+        self.dims = dims
 
-    def _pack(self, numbered: DataFrame, entry: Column, entries_type: str, small: bool) -> Sheet:
-        """Rows numbered by `lookup_order` as blocks of ordered arrays."""
-        items = numbered.select(
-            ((F.col("lookup_order") - 1) / self.block_entries).cast("int").alias("block"),
-            F.struct("lookup_order", entry.alias("entry")).alias("item"),
-        )
-        in_block = F.array_sort(
-            F.collect_list("item"), lambda a, b: a["lookup_order"] - b["lookup_order"]
-        )
-        entries = F.transform(in_block, lambda i: i["entry"]).alias("entries")
-        last = 1 if small else numbered.agg(F.max("lookup_order")).first()[0] or 0
-        blocks = max(1, -(-last // self.block_entries))
-        return Sheet(items.groupBy("block").agg(entries), blocks, entries_type)
+    def _entries(self, rows: DataFrame, sheet: str, entry: str, nth: list[Column], **payload: Column) -> DataFrame:
+        """Entries in the order of lookup, all sheets in one layout."""
+        order = [c.cast(kind) for c, kind in zip(nth, ("int", "bigint", "string"), strict=True)]
+        columns = {c: payload.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in PAYLOAD.items()}
+        named = F.struct(*[c.alias(n) for c, n in zip(order, ("length", "pos", "name"), strict=True)])
+        return rows.select(F.lit(sheet).alias("sheet"), F.col(entry).alias("entry"), named.alias("nth"), *columns.values())
 
-    @cached_property
-    def levels(self) -> Sheet:
+    @property
+    def levels(self) -> DataFrame:
         """Levels longest first with their canonical name, rank and own points."""
-        mapping, small = self._source("level_mapping")
-        ranking, few_ranks = self._source("no_match_levels")
-        ranks = rank_levels(ranking, few_ranks).select(
-            F.col("job_level").alias("sfdc"), "rank", "points"
+        ranks = rank_levels(self.dims["no_match_levels"]).select(F.col("job_level").alias("sfdc"), "rank", "points")
+        rows = keep_last(self.dims["level_mapping"], "actual", "sfdc").join(ranks, "sfdc", "left")
+        nth = [-F.char_length("actual"), F.col("pos"), F.lit("")]
+        return self._entries(
+            rows, "levels", "actual", nth, level=F.col("sfdc"), rank=F.col("rank"), points=F.col("points")
         )
-        levels = keep_last(mapping, "actual", "sfdc").join(ranks, "sfdc", "left")
-        entry = F.struct(
-            F.col("actual").alias("entry"), F.col("sfdc").alias("level"), "rank", "points"
-        )
-        return self._pack(sort_by_length(levels, "actual", small=small), entry, t.LEVELS, small)
 
-    @cached_property
-    def targets(self) -> Sheet:
+    @property
+    def targets(self) -> DataFrame:
         """Target titles in sheet order with their points per level."""
-        matrix, small = self._source("title_matrix")
-        targets = (
-            matrix.where(F.col("title").isNotNull() & (F.col("title") != ""))
+        rows = (
+            self.dims["title_matrix"]
+            .where(F.col("title").isNotNull() & (F.col("title") != ""))
             .groupBy("title", "level")
             .agg(F.min("pos").alias("pos"), F.max_by("points", "pos").alias("points"))
             .groupBy("title")
             .agg(
                 F.min("pos").alias("pos"),
-                F.map_from_entries(F.collect_list(F.struct("level", "points"))).alias("points"),
+                F.sort_array(F.collect_list(F.struct("level", "points"))).alias("by_level"),
             )
         )
-        order = [F.col("pos").asc(), F.col("title").asc()]
-        entry = F.struct(F.col("title").alias("entry"), "points")
-        return self._pack(in_order(targets, order, "lookup_order", small), entry, t.TARGETS, small)
+        return self._entries(
+            rows, "targets", "title", [F.lit(0), F.col("pos"), F.col("title")], by_level=F.col("by_level")
+        )
 
-    @cached_property
-    def keywords(self) -> Sheet:
+    @property
+    def keywords(self) -> DataFrame:
         """Keywords longest first with their points."""
-        source, small = self._source("keywords")
-        numbered = sort_by_length(keep_last(source, "keyword", "points"), "keyword", small=small)
-        entry = F.struct(F.col("keyword").alias("entry"), "points")
-        return self._pack(numbered, entry, t.KEYWORDS, small)
+        rows = keep_last(self.dims["keywords"], "keyword", "points")
+        nth = [-F.char_length("keyword"), F.col("pos"), F.lit("")]
+        return self._entries(rows, "keywords", "keyword", nth, points=F.col("points"))
 
     @cached_property
-    def spelling(self) -> Sheet:
+    def index(self) -> Index:
+        """The entries of the three sheets titles are searched for."""
+        return Index(self.levels.union(self.targets).union(self.keywords))
+
+    @property
+    def spelling(self) -> DataFrame:
         """Old and new spellings."""
-        source, small = self._source("mapping")
-        known = keep_last(source, "old", "new").where(F.col("new").isNotNull())
-        entry = F.struct(F.col("old").alias("entry"), "new")
-        return self._pack(sort_by_length(known, "old", small=small), entry, t.SPELLING, small)
+        known = keep_last(self.dims["mapping"], "old", "new").where(F.col("new").isNotNull())
+        return known.select("old", "new")
 
 
-def prepare_sheets(dims: dict[str, DataFrame], block_entries: int = BLOCK_ENTRIES) -> TitleSheets:
-    """Order, link and pack the five sheets."""
-    return TitleSheets(dims, block_entries)
+def prepare_sheets(dims: dict[str, DataFrame]) -> TitleSheets:
+    """Order and link the five sheets."""
+    return TitleSheets(dims)
+
+
+def _texts(df: DataFrame, text: str) -> DataFrame:
+    return df.select(F.col(text).alias("text")).where("text IS NOT NULL").distinct()
+
+
+def _add(df: DataFrame, text: str, results: DataFrame, into: str, without: Column | None = None) -> DataFrame:
+    """Add a column of results by text; a null text gets `without`."""
+    known = results.select(F.col("text").alias("_text"), F.col(into).alias("_into"))
+    kept = [F.col(f"`{c}`") for c in df.columns if c != into]
+    value = F.col("_into") if without is None else F.coalesce("_into", without)
+    return df.join(known, same_key(F.col(text), F.col("_text")), "left").select(*kept, value.alias(into))
+
+
+def _find(df: DataFrame, sheets: TitleSheets, text: str, into: str, sheet: str, strip: bool, kind: str) -> DataFrame:
+    index = sheets.index
+    found = index.consumed(index.held(_texts(df, text), [sheet]), {sheet: strip})
+    made = F.struct(
+        F.col(f"{sheet}_search.rest").alias("rest"), t.typed(F.col(f"{sheet}_search.found"), kind).alias("found")
+    )
+    none = F.struct(F.lit(None).cast("string").alias("rest"), F.array().cast(kind).alias("found"))
+    return _add(df, text, found.select("text", made.alias(into)), into, none)
 
 
 def find_levels(df: DataFrame, sheets: TitleSheets, title: str, into: str = "levels") -> DataFrame:
     """Levels inside a title and the remainder: struct(rest, found)."""
-    return look_up(df, title, into, [sheets.levels], t.find_levels)
+    return _find(df, sheets, title, into, "levels", True, t.LEVELS)
 
 
 def find_targets(df: DataFrame, sheets: TitleSheets, title: str, into: str = "targets") -> DataFrame:
     """Target titles inside a title, in sheet order: struct(rest, found)."""
-    return look_up(df, title, into, [sheets.targets], t.find_targets)
+    return _find(df, sheets, title, into, "targets", False, t.TARGETS)
+
+
+def _keywords(texts: DataFrame, sheets: TitleSheets) -> DataFrame:
+    """Keywords of distinct texts, in order of discovery, as `found`."""
+    index = sheets.index
+    rows = index.consumed(index.held(texts, ["keywords"]), {"keywords": True})
+    found = t.found_keywords(F.col("text"), F.col("keywords"), F.col("keywords_search.found"))
+    return rows.select("text", t.typed(found, t.KEYWORDS).alias("found"))
 
 
 def find_keywords(df: DataFrame, sheets: TitleSheets, text: str, into: str = "keywords") -> DataFrame:
     """Keywords of a text, in order of discovery."""
-    return look_up(df, text, into, [sheets.keywords], t.find_keywords)
+    found = _keywords(_texts(df, text), sheets).withColumnRenamed("found", into)
+    return _add(df, text, found, into, F.array().cast(t.KEYWORDS))
+
+
+def scores(texts: DataFrame, sheets: TitleSheets) -> DataFrame:
+    """Score of each distinct cleaned title: `text` and struct(title_level, new_title, points).
+
+    A title that is a target scores at the default level.  Otherwise the best
+    target found scores at the best level found.  Without any target the
+    keywords in what the levels left of the title count, and the best level
+    adds its own points.
+    """
+    index = sheets.index
+    held = index.held(texts, ["levels", "targets"])
+    rows = index.consumed(held, {"levels": True, "targets": False}).select(
+        "text",
+        F.col("levels_search.rest").alias("rest"),
+        t.best_level(t.typed(F.col("levels_search.found"), t.LEVELS)).alias("level"),
+        F.get(t.equal_entries(F.col("text"), t.typed(F.col("targets"), t.TARGETS)), F.lit(0)).alias("exact"),
+        t.typed(F.col("targets_search.found"), t.TARGETS).alias("targets"),
+    )
+    at = F.coalesce(F.col("level.level"), F.lit(t.DEFAULT_LEVEL))
+    rows = saved(rows.withColumn("target", t.best_target(F.col("targets"), at)).drop("targets"), "scored")
+    by_keywords = F.col("exact").isNull() & F.col("target").isNull()
+    told = _keywords(rows.where(by_keywords).select(F.col("rest").alias("text")).distinct(), sheets)
+    both = rows.join(told.withColumnRenamed("text", "rest_"), F.col("rest") == F.col("rest_"), "left")
+    score = t.score(F.col("text"), F.col("exact"), F.col("level"), F.col("target"), F.col("found"))
+    return both.select("text", score.alias("score"))
 
 
 def score_title(df: DataFrame, sheets: TitleSheets, title: str, into: str = "score") -> DataFrame:
     """Add struct(title_level, new_title, points) for a cleaned title."""
-    used = [sheets.levels, sheets.targets, sheets.keywords]
-    return compute_once(look_up(df, title, into, used, t.score_title), into)
+    return _add(df, title, scores(_texts(df, title), sheets).withColumnRenamed("score", into), into)
 
 
 def map_whole_title(df: DataFrame, mapping: DataFrame, title: str) -> DataFrame:
@@ -222,8 +209,24 @@ def map_whole_title(df: DataFrame, mapping: DataFrame, title: str) -> DataFrame:
 
 
 def map_tokens(df: DataFrame, sheets: TitleSheets, tokens: str) -> DataFrame:
-    """Replace every token the spelling map knows."""
-    return look_up(df, tokens, tokens, [sheets.spelling], t.map_tokens)
+    """Replace every token the spelling map knows.
+
+    Distinct lists of tokens ask for their distinct tokens by an equi-join; where none is
+    known, nothing comes back.
+    """
+    lists = df.select(F.col(tokens).alias("tokens")).distinct().withColumn("id", F.xxhash64("tokens"))
+    asked = lists.select("id", F.explode(F.array_distinct("tokens")).alias("token"))
+    known = asked.join(sheets.spelling, F.col("token") == F.col("old")).select("id", "token", "new").distinct()
+    maps = known.groupBy(F.col("id").alias("_id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "new"))).alias("_new")
+    )
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    mapped = F.transform(F.col(tokens), lambda w: F.coalesce(F.try_element_at("_new", w), w))
+    joined = df.join(maps, same_key(F.xxhash64(tokens), F.col("_id")), "left")
+    return joined.select(*[
+        F.when(F.col("_new").isNull(), c).otherwise(mapped).alias(n) if n == tokens else c
+        for n, c in zip(df.columns, kept, strict=True)
+    ])
 
 
 def clean_title(
@@ -246,32 +249,44 @@ def clean_title(
 
 def clean_title_tokens(df: DataFrame, sheets: TitleSheets, title: str = "title") -> DataFrame:
     """Bulk cleaning: drop junk titles, add the cleaned tokens as `title_split`."""
-    lowered = df.withColumn(title, F.lower(title))
-    kept = lowered.where(
-        F.col(title).isNotNull()
-        & ~F.col(title).isin(t.JUNK_TITLES)
-        & ~F.contains(F.col(title), F.lit(t.JUNK_PHRASE))
-    ).withColumn("title_split", t.title_tokens(F.col(title)))
-    mapped = map_tokens(kept, sheets, "title_split")
-    joined = mapped.withColumn("title_split", F.array_join("title_split", " "))
-    return compute_once(joined, "title_split").where(F.col("title_split") != "")
+    lowered = filters.filter_null(df.withColumn(title, F.lower(title)), title)
+    kept = filters.filter_not_contains(filters.filter_blocklist(lowered, title), title)
+    mapped = map_tokens(kept.withColumn("title_split", t.title_tokens(F.col(title))), sheets, "title_split")
+    return filters.filter_nonempty(mapped.withColumn("title_split", F.array_join("title_split", " ")), "title_split")
+
+
+def title_scores(titles: DataFrame, dims: dict[str, DataFrame], per_token: bool = False) -> DataFrame:
+    """Score of each distinct title in the column `text`: `text` and struct(title_level, new_title, points).
+
+    The spelling map sees the whole title, or each of its tokens.
+    """
+    sheets = prepare_sheets(dims)
+    clean = clean_title(titles, dims, "text", per_token=per_token, sheets=sheets)
+    clean = saved(clean.select("text", "cleanTitle"), "titles")
+    return score_title(clean, sheets, "cleanTitle").select("text", "score")
 
 
 def add_title_score(
-    df: DataFrame, dims: dict[str, DataFrame], keep_parts: bool = False, per_token: bool = False
+    df: DataFrame,
+    dims: dict[str, DataFrame],
+    keep_parts: bool = False,
+    per_token: bool = False,
+    min_score: int | None = None,
 ) -> DataFrame:
     """Add `titleScore`; with `keep_parts` also the level and the matched title.
 
-    The spelling map sees the whole title, or each of its tokens.
+    Distinct titles are cleaned and scored, and the rows meet a table of them.  With
+    `min_score` it only has the titles that score as much, and others get a null: few
+    titles do, so that Spark, which knows the table's size, need not move the rows.
     """
-    kept = df.columns
-    sheets = prepare_sheets(dims)
-    scored = score_title(clean_title(df, dims, per_token=per_token, sheets=sheets), sheets, "cleanTitle")
-    parts = [F.col("score.title_level").alias("titleLevel"), F.col("score.new_title").alias("newTitle")]
-    return scored.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.col("score.points").alias("titleScore"),
-        *(parts if keep_parts else []),
+    score = title_scores(_texts(df, "JobTitle"), dims, per_token)
+    if min_score is not None:
+        score = score.where(F.col("score.points") >= min_score)
+    known = saved(score.withColumnRenamed("score", "_score"), "scores")
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    parts = [F.col("_score.title_level").alias("titleLevel"), F.col("_score.new_title").alias("newTitle")]
+    return _add(df, "JobTitle", known, "_score").select(
+        *kept, F.col("_score.points").alias("titleScore"), *(parts if keep_parts else [])
     )
 
 

@@ -17,6 +17,7 @@ from leadpipe.operators.relational import anti_existing, enrich_top1
 from leadpipe.operators.scoring import add_title_score
 from leadpipe.plans.cleaning import can_be_cleaned, clean_postings
 from leadpipe.schemas import TARGET_TYPE, UPLOAD_COLUMNS
+from leadpipe.session import scratch_scope
 from leadpipe.sources.readers import scan_existing
 from leadpipe.sources.sinks import sink_append_batches, sink_dated_csv
 
@@ -42,7 +43,7 @@ def scored_postings(
     aged = raw.where(can_be_cleaned())
     age = p.parse_days_ago(F.col("job_date"))
     titled = aged.withColumn("JobTitle", F.when(age < p.MAX_AGE_DAYS, F.col("title")))
-    rated = add_title_score(titled, dims, per_token=per_token)
+    rated = add_title_score(titled, dims, per_token=per_token, min_score=min_score)
     high = F.col("titleScore") >= min_score
     clean = clean_postings(
         rated, as_of, order_by, id_rule, keep=["titleScore", *keep], texts_if=high
@@ -101,8 +102,9 @@ def run_daily(
     object, `rules` are those of `daily_upload`.
     """
     existing = scan_existing(spark, target).where(F.col("run_date") != str(as_of))
-    new = daily_upload(raw, dims, results, existing, as_of, order_by, keep=order_by, **rules)
-    batches = sink_append_batches(new, target, as_of, order_by, tag=tag)
+    with scratch_scope(spark):
+        new = daily_upload(raw, dims, results, existing, as_of, order_by, keep=order_by, **rules)
+        batches = sink_append_batches(new, target, as_of, order_by, tag=tag)
     written = spark.read.parquet(f"{target}/run_date={as_of}").drop("batch", "type")
     sink_dated_csv(written, report, as_of)
     return batches

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -42,9 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+# Paths handed out within the innermost open `scratch_scope`.
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for paths in _SCOPES.get()[-1:]:
+        paths.append(path)
+    return path
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -53,6 +61,19 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete all scratch tables made within the block at its end; what reads them must have run by then."""
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield
+    finally:
+        _SCOPES.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
 @contextmanager
 def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     """A new path below the shared folder that is deleted at the end of the block.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadpipe.operators.relational import anti_existing, dedup_first
+from leadpipe.session import scratch_scope
 from leadpipe.sources.readers import (
     BAD_ROW,
     BAD_WIDTH,
@@ -61,14 +62,15 @@ def incremental_upload(
             elif not bad.isEmpty():
                 raise ValueError(f"rows of another {BAD_WIDTH}; name a folder for `rejects` to go on without them")
             batch = missing_to_null(batch.where(~is_bad(schema)).drop(BAD_ROW))
-        rows = prepare(batch) if prepare else batch
-        key_type = rows.schema[key].dataType.simpleString()
-        known = read_or_empty(spark, target, f"{key} {key_type}, batch_id bigint")
-        known = known.where(F.col("batch_id") != batch_id)
-        first = dedup_first(rows, key, order_by) if order_by else rows
-        anti_existing(first, known, key, unique=True).write.mode("overwrite").parquet(
-            f"{target}/batch_id={batch_id}"
-        )
+        with scratch_scope(spark):
+            rows = prepare(batch) if prepare else batch
+            key_type = rows.schema[key].dataType.simpleString()
+            known = read_or_empty(spark, target, f"{key} {key_type}, batch_id bigint")
+            known = known.where(F.col("batch_id") != batch_id)
+            first = dedup_first(rows, key, order_by) if order_by else rows
+            anti_existing(first, known, key, unique=True).write.mode("overwrite").parquet(
+                f"{target}/batch_id={batch_id}"
+            )
 
     (
         reader.load(landing)

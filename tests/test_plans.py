@@ -32,9 +32,18 @@ def test_title_is_scored_once(spark):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in text.splitlines() if re.search(r"Filter .*>= 80", line)]
     assert len(filters) == 1
-    assert "aggregate(" not in filters[0]
-    # No row carries the dictionary entries.
-    assert text.count("Generate inline(array(struct(score") == 1
+    # Rows meet a table of their distinct titles' scores; no row is searched itself.
+    assert "aggregate(" not in text
+
+
+def test_rows_move_only_where_many_titles_score_high(spark, frame):
+    """The table of high-scoring titles is known in size, so no text is shuffled to meet it."""
+    from leadpipe.operators.scoring import add_title_score
+    from workload.data import dims
+
+    rows = frame([("red ring", "text"), ("none of it", "text")] * 20, "JobTitle string, job_description string")
+    text = plan(add_title_score(rows, dims(spark), min_score=80))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
 def test_only_needed_columns_are_read(spark):
@@ -63,9 +72,10 @@ def test_daily_upload_keeps_the_partitioning_by_id(spark):
 
 def test_daily_upload_scores_before_the_shuffle(spark):
     text = plan(queries()["daily_upload"](spark, SF))
-    # Read bottom up: score, keep texts of wanted rows, one row per id, shuffle.
-    assert text.index("hashpartitioning(JobId") < text.index("Generate inline(array(struct(score")
-    assert len(re.findall(r"Generate inline", text)) == 1
+    # Read bottom up: meet the scores, keep texts of wanted rows, one row per id, shuffle.
+    scores = re.search(r"FileScan parquet \[text#\d+,_score#", text)
+    assert text.index("hashpartitioning(JobId") < scores.start()
+    assert "aggregate(" not in text and "hashpartitioning(JobTitle" not in text
 
 
 def test_batches_need_no_window_over_the_rows(spark):

@@ -84,11 +84,10 @@ def titles():
     return sorted(made | {" ring", "ring ", "", "  ", "oolded", "larglargee widget"})
 
 
-@pytest.mark.parametrize("block_entries", [s.BLOCK_ENTRIES, 2])
-def test_score_follows_the_rule(spark, frame, block_entries):
+def test_score_follows_the_rule(spark, frame):
     rule = Rule(SHEETS)
     made = titles()
-    sheets = s.prepare_sheets(dims(spark), block_entries)
+    sheets = s.prepare_sheets(dims(spark))
     scored = s.score_title(frame(made, "title string"), sheets, "title")
     rows = scored.select("title", "score.*").collect()
     assert len(rows) == len(made)
@@ -98,12 +97,11 @@ def test_score_follows_the_rule(spark, frame, block_entries):
         assert (r.title_level, r.new_title, r.points) == expected[r.title][1:], r.title
 
 
-@pytest.mark.parametrize("block_entries", [s.BLOCK_ENTRIES, 1])
-def test_searches_on_whole_texts(spark, block_entries):
+def test_searches_on_whole_texts(spark):
     rule = Rule(DOC_SHEETS)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     docs = docs.select("doc_id", t.squash_title(F.col("text")).alias("title"))
-    sheets = s.prepare_sheets(dims(spark, DOC_SHEETS), block_entries)
+    sheets = s.prepare_sheets(dims(spark, DOC_SHEETS))
     found = s.find_keywords(s.find_targets(s.find_levels(docs, sheets, "title"), sheets, "title"), sheets, "title")
     cut = 0
     for r in found.collect():
@@ -162,11 +160,9 @@ def test_odd_sheets(frame, odd_dims):
         None: (None, None, None),
     }
     made = list(expected)
-    for block_entries in (s.BLOCK_ENTRIES, 1):
-        sheets = s.prepare_sheets(odd_dims, block_entries)
-        rows = s.score_title(frame(made, "title string"), sheets, "title").collect()
-        found = {r.title: tuple(r.score) if r.score else (None, None, None) for r in rows}
-        assert found == expected
+    rows = s.score_title(frame(made, "title string"), s.prepare_sheets(odd_dims), "title").collect()
+    found = {r.title: tuple(r.score) if r.score else (None, None, None) for r in rows}
+    assert found == expected
     assert s.unranked_levels(odd_dims).first()[0] == 1
 
 
