@@ -142,7 +142,7 @@ class Index:
         Those are the items whose gram a text has; one may be there in part only, and come to be whole
         where something in it has left.  Only ids and grams take part in the look-up, not the texts.
         """
-        named = texts.select("text", F.xxhash64("text").alias("id"))
+        named = saved(texts.select("text", F.xxhash64("text").alias("id")), "texts")
         asked = grams(named.withColumnRenamed("id", "id_"), "text", self.lengths)
         found = self._candidates(asked, sheets)
 
@@ -166,20 +166,23 @@ class Index:
             }
             return saved(rows.withColumns(made), "searched")
 
+        none = F.array().cast(self.items_type)
         done, now = [], searched(held)
         while True:
-            both = now
+            fresh = now.select("id", *searches)
             for sheet in searches:
                 seams = now.select(F.col("id").alias("id_"), F.explode(f"{sheet}_search.seams").alias("seam"))
                 seen = grams(seams.distinct(), "seam", self.lengths)
-                both = both.join(self._candidates(seen, [sheet]), F.col("id") == F.col("id_"), "left").drop("id_")
-            fresh = {s: F.array_except(f"{s}_new", F.col(s)) for s in searches}
-            some = functools.reduce(Column.__or__, [F.size(new) > 0 for new in fresh.values()])
-            more = both.where(some).withColumns(
-                {s: F.sort_array(F.concat(F.col(s), F.coalesce(new, F.array().cast(self.items_type)))) for s, new in fresh.items()}
-            )
-            more = saved(more.select(held.columns), "seams")
-            if more.isEmpty():
+                fresh = fresh.join(self._candidates(seen, [sheet]), F.col("id") == F.col("id_"), "left").drop("id_")
+            unseen = [F.coalesce(F.array_except(f"{s}_new", F.col(s)), none).alias(f"{s}_new") for s in searches]
+            fresh = fresh.select("id", *unseen)
+            some = functools.reduce(Column.__or__, [F.size(f"{s}_new") > 0 for s in searches])
+            fresh = saved(fresh.where(some), "seams")
+            if fresh.isEmpty():
                 return functools.reduce(DataFrame.unionByName, done, now)
-            done.append(now.join(more.select("id"), "id", "left_anti").select(now.columns))
+            done.append(now.join(fresh.select("id"), "id", "left_anti").select(now.columns))
+            more = now.select(held.columns).join(fresh, "id").withColumns(
+                {s: F.sort_array(F.concat(F.col(s), F.col(f"{s}_new"))) for s in searches}
+            )
+            more = more.select(held.columns)
             now = searched(more)
