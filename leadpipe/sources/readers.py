@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadpipe.operators.relational import number_rows
+from leadpipe.operators.relational import MAX_BROADCAST_ROWS, number_rows, same_key
 from leadpipe.schemas import DIMENSIONS, PAGES, RAW, SEARCH_RESULTS
+from leadpipe.sources.records import records_and_headers, scan_records
 from leadpipe.sources.workbook import scan_workbook
 
 # Quotes inside a quoted field are doubled; blanks at the ends of a field stay.
@@ -23,6 +26,7 @@ CSV_FORMAT = {
 BAD_ROW = "_bad_row"
 KEEP_BAD_ROWS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW, "columnPruning": False}
 BAD_WIDTH = "number of fields"
+UNKNOWN_LAYOUT = "unknown layout"
 # Fixed values the feed's reader takes for a missing field.
 MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -40,33 +44,31 @@ def scan_csv(
     schema: T.StructType = RAW,
     multi_line: bool = True,
     with_order: bool = False,
+    whole_files: bool = False,
 ) -> DataFrame:
     """Read the positional CSV feed under declared names and types.
 
     Rows with more or fewer fields are left out, and `csv_rejects` lists them; a
     feed that has no others and another header is an error.  Texts that
-    stand for a missing field are read as null.  Fields may hold line breaks, so
-    a file is read by one task; with `multi_line=False` large files without such
-    fields are split.
+    stand for a missing field are read as null.  Fields may hold line breaks, and
+    large files are read by many tasks, see `scan_records`; `multi_line=False` is
+    faster where no field has one.  `whole_files=True` reads each file by one task:
+    for feeds with single quotes inside plain fields or lines that end with a
+    carriage return alone.
     """
-    rows = _csv_rows(spark, path, schema, multi_line).where(~is_bad(schema))
+    rows = _csv_rows(spark, path, schema, multi_line, whole_files).where(~is_bad(schema))
     header = spark.read.options(**CSV_FORMAT).csv(path).columns
     if len(header) != len(schema) and rows.isEmpty():
         raise ValueError(f"expected {len(schema)} columns, found {len(header)}: {header}")
-    order = [
-        F.col("_metadata.file_path").alias("feed_file"),
-        F.col("_metadata.file_block_start").alias("feed_block"),
-        F.monotonically_increasing_id().alias("feed_row"),
-    ]
-    rows = rows.select(*schema.fieldNames(), *(order if with_order else []))
+    rows = rows.select(*schema.fieldNames(), *(FEED_ORDER if with_order else []))
     return missing_to_null(rows, schema.fieldNames())
 
 
 def csv_rejects(
-    spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType = RAW, multi_line: bool = True, whole_files: bool = False
 ) -> DataFrame:
     """Rows that `scan_csv` leaves out, as `row`, with the `reason`."""
-    rows = _csv_rows(spark, path, schema, multi_line)
+    rows = _csv_rows(spark, path, schema, multi_line, whole_files)
     return rows.where(is_bad(schema)).select(
         F.col(BAD_ROW).alias("row"), F.lit(BAD_WIDTH).alias("reason")
     )
@@ -87,12 +89,109 @@ def is_bad(schema: T.StructType) -> Column:
     return F.length(F.concat_ws("", BAD_ROW, other)) > 0
 
 
-def _csv_rows(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
-    return (
+def _csv_rows(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool, whole_files: bool
+) -> DataFrame:
+    """The fields of the schema, BAD_ROW and FEED_ORDER."""
+    if multi_line and not whole_files:
+        records = scan_records(spark, path).where("NOT header")
+        return records.select(F.inline(F.array(parse_record(F.col("record"), schema))), *FEED_ORDER)
+    rows = (
         spark.read.schema(with_bad_row(schema))
         .options(**CSV_FORMAT, **KEEP_BAD_ROWS, multiLine=multi_line, enforceSchema=True)
         .csv(path)
     )
+    return rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("feed_file"),
+        F.col("_metadata.file_block_start").alias("feed_block"),
+        F.monotonically_increasing_id().alias("feed_row"),
+    )
+
+
+def parse_record(record: Column, schema: T.StructType) -> Column:
+    """The fields of a CSV record and BAD_ROW as a struct."""
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in (CSV_FORMAT | KEEP_BAD_ROWS).items()}
+    # A header is a record of its own here.
+    return F.from_csv(record, with_bad_row(schema).toDDL(), options | {"header": "false", "multiLine": "true"})
+
+
+def scan_layouts(
+    spark: SparkSession,
+    path: str,
+    layouts: Mapping[str, Sequence[str | None]],
+    schema: T.StructType,
+    with_order: bool = False,
+) -> DataFrame:
+    """Read files of several layouts in one pass, each by the one its header names.
+
+    A layout is the names of its columns in order, by which it is found whatever their case and the blanks
+    around them; None stands for a column of any name.  Its columns go to those of the schema by name;
+    a schema's column that a layout lacks is null, as is a value that does not have the type.
+    `layout` tells which one a row's file has.  What is not read, `layout_rejects` lists.  Texts that stand
+    for a missing field are null.  A header has no line breaks; the rest is as in `scan_csv`.
+    """
+    rows = _layout_rows(spark, path, layouts, schema).where(F.col("_reason").isNull())
+    rows = rows.select(*schema.fieldNames(), "layout", *(FEED_ORDER if with_order else []))
+    return missing_to_null(rows, schema.fieldNames())
+
+
+def layout_rejects(
+    spark: SparkSession, path: str, layouts: Mapping[str, Sequence[str | None]], schema: T.StructType
+) -> DataFrame:
+    """Rows that `scan_layouts` leaves out, as `row`, with the `reason` and their file: those of files
+    of an unknown layout, and those of another width than their layout."""
+    rows = _layout_rows(spark, path, layouts, schema).where(F.col("_reason").isNotNull())
+    return rows.select(F.col(BAD_ROW).alias("row"), F.col("_reason").alias("reason"), "feed_file")
+
+
+def layout_of(line: Column, layouts: Mapping[str, Sequence[str | None]]) -> Column:
+    """The first layout that a header line fits, or null."""
+    bare = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    found = F.lit(None).cast("string")
+    for name, header in reversed(layouts.items()):
+        fields = parse_record(F.regexp_replace(line, "^\ufeff", ""), _texts(len(header)))
+        fits = fields[BAD_ROW].isNull()
+        for i, column in enumerate(header):
+            if column is not None:
+                fits &= bare(fields[f"c{i}"]) == F.lit(column.strip().lower())
+        found = F.when(fits, F.lit(name)).otherwise(found)
+    return found
+
+
+def _texts(n: int) -> T.StructType:
+    return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n)])
+
+
+def _layout_rows(
+    spark: SparkSession, path: str, layouts: Mapping[str, Sequence[str | None]], schema: T.StructType
+) -> DataFrame:
+    """The fields of the schema, `layout`, BAD_ROW with the `_reason`, and FEED_ORDER."""
+    records, headers = records_and_headers(spark, path)
+    known = headers.select(F.col("feed_file").alias("of_file"), layout_of(F.col("line"), layouts).alias("layout"))
+    if known.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        known = F.broadcast(known)
+    rows = records.where("NOT header").join(known, same_key(F.col("feed_file"), F.col("of_file")))
+    text = F.lit(None).cast("string")
+
+    def result(values: dict[str, Column], bad: Column, reason: Column) -> Column:
+        fields = [values.get(f.name.lower(), F.lit(None)).try_cast(f.dataType).alias(f.name) for f in schema]
+        return F.struct(*fields, bad.alias(BAD_ROW), reason.alias("_reason"))
+
+    def in_layout(header: Sequence[str | None]) -> Column:
+        places = {c.strip().lower(): f"c{i}" for i, c in enumerate(header) if c is not None}
+
+        def read(fields: Column) -> Column:
+            values = {c: fields[place] for c, place in places.items()}
+            return result(values, fields[BAD_ROW], F.when(fields[BAD_ROW].isNotNull(), BAD_WIDTH).otherwise(text))
+
+        # Within `transform` a record is parsed once.
+        return F.transform(F.array(parse_record(F.col("record"), _texts(len(header)))), read)[0]
+
+    chosen = result({}, F.col("record"), F.lit(UNKNOWN_LAYOUT))
+    for name, header in layouts.items():
+        chosen = F.when(F.col("layout") == name, in_layout(header)).otherwise(chosen)
+    return rows.select(F.inline(F.array(chosen)), "layout", *FEED_ORDER)
 
 
 def missing_to_null(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

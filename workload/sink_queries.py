@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadpipe.functions import postings as p
 from leadpipe.schemas import RAW_COLUMNS, TARGET_FIELDS, TARGET_TYPE
@@ -81,6 +82,44 @@ def scan_dims(spark, sf_dir):
     return rows
 
 
+# The layouts that uploads have had over time: with and without an index, with more columns, in another order.
+_LAYOUTS = {
+    "indexed": [None, "JobTitle", "JobLink", "AccountName", "PostDate", "titleScore"],
+    "with state": ["JobLink", "JobTitle", "AccountName", "PostDate", "titleScore", "State"],
+    "with link": [None, "JobLink", "JobTitle", "AccountName", "PostDate", "titleScore", "google_link"],
+}
+_UPLOADS = """
+SELECT o_orderkey AS key, {docs}.text AS JobTitle, o_orderpriority AS JobLink, nullif({docs}.lang, '') AS AccountName,
+  CAST(o_orderdate AS DATE) AS PostDate, CAST(o_orderkey % 97 AS INT) AS titleScore, o_orderstatus AS State
+FROM {orders} JOIN {docs} ON o_orderkey = {docs}.doc_id
+"""
+
+
+@query(
+    "scan_layouts",
+    f"""SELECT nullif(JobTitle, '') AS JobTitle, JobLink, AccountName,
+         strftime(PostDate, '%Y-%m-%d') AS PostDate, titleScore, CASE WHEN key % 3 = 1 THEN State END AS State,
+         CASE key % 3 WHEN 0 THEN 'indexed' WHEN 1 THEN 'with state' ELSE 'with link' END AS layout
+       FROM ({_UPLOADS.format(orders="orders", docs="documents")})""",
+)
+def scan_layouts(spark, sf_dir):
+    """Files of three layouts and an unknown one in one folder; whole texts with line breaks are a column."""
+    folder = scratch_path(spark, "uploads")
+    tables = {"orders": table(spark, sf_dir, "orders"), "docs": table(spark, sf_dir, "documents")}
+    rows = spark.sql(_UPLOADS, **tables)
+    write = lambda part, columns: (
+        part.select(*columns).write.mode("append").options(**readers.CSV_FORMAT).csv(folder)
+    )
+    for kind, header in enumerate(_LAYOUTS.values()):
+        columns = [F.col("key").alias("index") if c is None else F.lit("x").alias(c) if c == "google_link" else c for c in header]
+        write(rows.where(F.col("key") % 3 == kind), columns)
+    write(rows, ["JobLink", "key"])
+    schema = T.StructType.fromDDL(
+        "JobTitle string, JobLink string, AccountName string, PostDate date, titleScore int, State string"
+    )
+    return readers.scan_layouts(spark, folder, _LAYOUTS, schema).withColumn("PostDate", F.col("PostDate").cast("string"))
+
+
 # Level columns of a matrix as people keep it.
 _LEVELS = ["Manager", "Director", "Vice President"]
 
