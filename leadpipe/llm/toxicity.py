@@ -28,13 +28,12 @@ LEXICON_WORDS = 1_000
 # A lexicon word is in so many toxic sample texts at least; its log odds tell the lexicon.
 LEXICON_TEXTS = 5
 STRONG, WEAK = 3.0, 1.5
-# Of every so many sample rows one calibrates the trees that the others made.
+# Of every so many sample rows one calibrates the lexicons and trees that the others made.
 CALIBRATE_EVERY = 4
 TREES = 30
 DEPTH = 4
 NEAR = 6
 
-WORD = re.compile(r"\S+")
 EDGE = "\"'()[]{}<>.,;:!?…«»“”‘’-_*#$%&|~`"
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous votre vos "
@@ -173,7 +172,8 @@ def train(
 
     Rows without id or label are left out.  Where the sample lacks one of the
     classes there is nothing to tell apart, and the model is the share of toxic
-    rows, 0 without any row.
+    rows, 0 without any row.  The same holds where the rows that grow the trees lack
+    a class, or none is left to calibrate.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "labelled")
@@ -183,10 +183,16 @@ def train(
     rate = toxic / total if total else 0.0
     if not 0 < rate < 1:
         return Model(([], []), None, None, rate)
-    lexicons = learn_lexicons(held)
+    # Rows that calibrate teach no words either: their features are like those of unseen texts.
+    parted = held.withColumn("calibrates", F.pmod(F.col("order"), F.lit(CALIBRATE_EVERY)) == 0)
+    parts = {r.calibrates: (r.n, r.toxic) for r in parted.groupBy("calibrates").agg(
+        F.count("*").alias("n"), F.sum("label").alias("toxic")).collect()}
+    n, toxic = parts.get(False, (0, 0))
+    if not 0 < toxic < n or True not in parts:
+        return Model(([], []), None, None, rate)
+    lexicons = learn_lexicons(parted.where("NOT calibrates"))
     path = scratch_path(spark, "featured")
-    part = (F.pmod(F.col("order"), F.lit(CALIBRATE_EVERY)) == 0).alias("calibrates")
-    featured(held.select("label", part, "text"), lexicons, ["label", "calibrates"], "text", "features").write.parquet(path)
+    featured(parted.select("label", "calibrates", "text"), lexicons, ["label", "calibrates"], "text", "features").write.parquet(path)
     ready = spark.read.parquet(path).withColumn("features", array_to_vector("features"))
     grower = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=20, seed=7)
     trees = grower.fit(ready.where("NOT calibrates"))

@@ -68,6 +68,24 @@ def test_one_class_or_none_gives_its_share(frame, edges):
         assert {r.score for r in toxicity.score(edges, model).collect()} == {rate}
 
 
+def test_rows_that_calibrate_teach_no_words(spark, frame):
+    """A word of theirs alone is in no lexicon, however often toxic rows hold it."""
+    docs, labels = corpus(200)
+    orders = frame([(d,) for d, _ in docs], "doc_id long").select("doc_id", F.xxhash64("doc_id").alias("n")).collect()
+    calibrates = {r.doc_id: r.n % toxicity.CALIBRATE_EVERY == 0 for r in orders}
+    marked = [(d, f"{t} {'shown' if calibrates[d] else 'grown'}x" * (d % 4 == 0) or t) for d, t in docs]
+    model = toxicity.train(frame(marked, DOCS), frame(labels, "doc_id long, quality int, toxic int"))
+    words = {w for part in model.lexicons for w in part}
+    assert "grownx" in words and "shownx" not in words
+
+
+def test_a_part_of_one_class_gives_its_share(frame):
+    """Two rows are too few to grow trees and to calibrate them."""
+    docs = frame([(1, "you dolt"), (2, "green water")], DOCS)
+    model = toxicity.train(docs, frame([(1, 1), (2, 0)], "doc_id long, toxic int"))
+    assert model.trees is None and model.rate == 0.5
+
+
 def test_the_sample_is_bounded(trained):
     _, docs, labels = trained
     sample = toxicity.sample(docs, labels, "doc_id", "text", "toxic", 30)
