@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadpipe.session import scratch_path
 
@@ -128,7 +129,8 @@ def number_rows(
     """Number all rows from 0 without a window over the data.
 
     In a total order, or without one in the order the rows are in, which needs
-    no shuffle.  The rows are written once with their partition and place in
+    no shuffle.  Rows of equal order keys go by a hash of their plain columns, so that many of
+    them are spread over tasks; only rows alike in all of these stay together.  The rows are written once with their partition and place in
     it.  The place among all rows is then the place in the partition plus the
     rows of all earlier partitions, a table of one row per partition.  `path` is
     where the rows are written, for a caller that deletes them.
@@ -136,7 +138,10 @@ def number_rows(
     spark = df.sparkSession
     path = path or scratch_path(spark, "numbered")
     if order_by:
-        ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+        # A function of the row alone: a map task that is run again deals its rows as before.
+        plain = [f"`{f.name}`" for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+        keys = [*order_by, F.xxhash64(*plain)] if plain else order_by
+        ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     else:
         ordered = df
     ordered.withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)

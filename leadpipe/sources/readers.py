@@ -329,6 +329,25 @@ def entities_from_json(responses: DataFrame) -> DataFrame:
     )
 
 
+def existing_from_pages(pages: DataFrame, fields: str = "Id string, JobId__c string, CreatedDate timestamp") -> DataFrame:
+    """The records of a query's stored response pages (`page, response`), with the page of each.
+
+    A response has `records`, and where it is not `done`, the name of the next page as `queryLocator`.
+    Each page is stored once, and all are read, by many tasks; chains of pages need no order for that.
+    A response that cannot be parsed and a next page that is not stored are errors, as records would be
+    missing; the check moves names of pages only.  No pages give no records.
+    """
+    schema = f"records array<struct<{fields}>>, done boolean, queryLocator string"
+    parsed = pages.select("page", F.from_json("response", schema).alias("r"))
+    # A response that is not JSON has no `done`.
+    follows = parsed.where("r.done IS NULL OR NOT r.done").select("page", F.col("r.queryLocator").alias("next"))
+    stored = pages.select(F.col("page").alias("stored"))
+    lost = follows.join(stored, same_key(F.col("next"), F.col("stored")), "left_anti").select("page").limit(5).collect()
+    if lost:
+        raise ValueError(f"no next page is stored for the pages {sorted(str(r.page) for r in lost)}")
+    return parsed.select("page", F.inline("r.records"))
+
+
 def _ranked(responses: DataFrame, items: Column) -> DataFrame:
     """One row per item, ranked from 1 in the order of the response."""
     ranked = responses.select("query", F.posexplode(items).alias("pos", "item"))

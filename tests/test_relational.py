@@ -83,6 +83,19 @@ def test_batches_of_a_hot_leading_key(spark):
     assert {(r.id, r.batch) for r in numbered.collect()} == {(i, i // 100) for i in range(9_000)}
 
 
+def test_rows_of_one_order_key_are_numbered_by_many_tasks(spark, tmp_path):
+    df = spark.range(20_000).select(F.lit(1).alias("a"), "id", F.array("id").alias("more"))
+    path = str(tmp_path / "numbered")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows are few
+    try:
+        numbered = relational.number_rows(df, ["a"], path=path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(r.nth for r in numbered.collect()) == list(range(20_000))
+    per_task = spark.read.parquet(path).groupBy(F.shiftright("_place", 33)).count().collect()
+    assert len(per_task) > 4 and max(r["count"] for r in per_task) < 10_000
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(1000)
     first = relational.sample_rows(df, "id", 5).collect()

@@ -69,6 +69,27 @@ def test_responses(frame):
     assert [tuple(r) for r in readers.entities_from_json(rows).collect()] == [("q", 1, "u", 2.5)]
 
 
+def test_existing_from_pages(frame):
+    """All pages of all chains, empty ones too; a page that is missing or broken is an error."""
+    found = {
+        "a": '{"records": [{"Id": "1", "JobId__c": "x"}, {"Id": "2"}], "done": false, "queryLocator": "b"}',
+        "b": '{"records": [], "done": false, "queryLocator": "c"}',
+        "c": '{"records": [{"Id": "1", "JobId__c": "x", "other": 1}], "done": true}',
+        "z": '{"records": null, "done": true}',
+    }
+    read = lambda pages: readers.existing_from_pages(frame(list(pages.items()), "page string, response string"))
+    assert sorted(((r.page, r.Id, r.JobId__c) for r in read(found).collect()), key=str) == [
+        ("a", "1", "x"),
+        ("a", "2", None),
+        ("c", "1", "x"),
+    ]
+    assert read({}).count() == 0
+    for name, response in (("b", None), ("c", "no json"), ("d", '{"records": []}')):
+        broken = {k: v for k, v in (found | {name: response}).items() if v is not None}
+        with pytest.raises(ValueError, match=f"pages .*{'a' if name == 'b' else name}"):
+            read(broken)
+
+
 def test_existing_of_a_new_target(spark, tmp_path):
     assert readers.scan_existing(spark, str(tmp_path / "none")).count() == 0
     empty = tmp_path / "empty"

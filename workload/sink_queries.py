@@ -167,6 +167,28 @@ def scan_existing(spark, sf_dir):
     return readers.scan_existing(spark, target).select("JobId")
 
 
+# Pages of a hundred keys; one without a following page ends its chain.
+_STORED_PAGES = """
+SELECT concat('q-', nth) AS page, to_json(named_struct('records', records, 'done', next IS NULL,
+  'queryLocator', if(next IS NULL, NULL, concat('q-', next)))) AS response
+FROM (SELECT o_orderkey DIV 100 AS nth, collect_list(named_struct('Id', concat('a', o_orderkey),
+        'JobId__c', hex(o_orderkey), 'Status', o_orderstatus)) AS records FROM {orders} GROUP BY 1)
+  LEFT JOIN (SELECT DISTINCT o_orderkey DIV 100 AS next FROM {orders}) ON next = nth + 1
+"""
+
+
+@query(
+    "scan_existing_pages",
+    """SELECT concat('q-', o_orderkey // 100) AS page, concat('a', o_orderkey) AS Id,
+         printf('%X', o_orderkey) AS JobId__c FROM orders""",
+)
+def scan_existing_pages(spark, sf_dir):
+    """Known ids from the stored pages of a query's response."""
+    path = scratch_path(spark, "responses")
+    spark.sql(_STORED_PAGES, orders=table(spark, sf_dir, "orders")).write.parquet(path)
+    return readers.existing_from_pages(spark.read.parquet(path), "Id string, JobId__c string")
+
+
 @query("scan_pages", "SELECT page_id, url, html FROM pages")
 def scan_pages(spark, sf_dir):
     return readers.scan_pages(spark, f"{sf_dir}/pages.parquet")
