@@ -22,6 +22,9 @@ CSV_FORMAT = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# How large feeds and reports are written: texts shrink to a fraction.  A compressed file is read by one
+# task, so none holds more rows than that.
+CSV_PACKED = {**CSV_FORMAT, "compression": "gzip", "maxRecordsPerFile": 250_000}
 # A row of another width is kept as text in this column, which is null for all others.
 BAD_ROW = "_bad_row"
 KEEP_BAD_ROWS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW, "columnPruning": False}

@@ -17,7 +17,7 @@ from leadpipe.operators.projection import map_target_fields
 from leadpipe.operators.relational import BATCH_ROWS, anti_existing, batch_number, same_key
 from leadpipe.schemas import TARGET_FIELDS, TARGET_TYPE
 from leadpipe.session import scratch
-from leadpipe.sources.readers import CSV_FORMAT
+from leadpipe.sources.readers import CSV_PACKED
 
 
 def run_folder(target: str, run_date: datetime.date | str) -> str:
@@ -25,9 +25,9 @@ def run_folder(target: str, run_date: datetime.date | str) -> str:
 
 
 def sink_dated_csv(df: DataFrame, target: str, run_date: datetime.date | str) -> str:
-    """Write a run's rows as CSV under its date."""
+    """Write a run's rows as CSV under its date, in compressed files that any CSV reader of Spark opens."""
     path = run_folder(target, run_date)
-    df.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
+    df.write.mode("overwrite").options(**CSV_PACKED).csv(path)
     return path
 
 

@@ -251,3 +251,12 @@ def test_several_updates_without_an_order_are_an_error(frame, tmp_path):
     assert {r.Id: r.rate for r in rows} == {"a": 0.5, "b": 0.2}
     with pytest.raises(Exception, match="several updates"):
         sinks.sink_update_by_id(target, same.unionAll(target), "Id", "rate", str(tmp_path / "two"))
+
+
+def test_dated_csv_is_packed_in_files_of_bounded_rows(spark, tmp_path):
+    """Reports shrink, and no file is more than a task's work."""
+    path = sinks.sink_dated_csv(target_rows(spark, 250_100).coalesce(1), str(tmp_path / "dated"), DAY)
+    files = spark.read.options(**readers.CSV_FORMAT).csv(path).inputFiles()
+    assert len(files) == 2 and all(f.endswith(".csv.gz") for f in files)
+    rows = spark.read.options(**readers.CSV_FORMAT, multiLine=True).csv(path)
+    assert rows.count() == 250_100
