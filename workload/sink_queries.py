@@ -29,7 +29,7 @@ RAW_SQL = ", ".join(RAW_COLUMNS)
 @query("scan_csv", f"SELECT {RAW_SQL} FROM ({POSTINGS_SQL})")
 def scan_csv(spark, sf_dir):
     path = scratch_path(spark, "feed")
-    postings(spark, sf_dir).select(*RAW_COLUMNS).write.options(**readers.CSV_FORMAT).csv(path)
+    postings(spark, sf_dir).select(*RAW_COLUMNS).write.options(**readers.CSV_PACKED).csv(path)
     return readers.scan_csv(spark, path)
 
 
