@@ -119,3 +119,37 @@ def test_hot_keys_are_split_in_lookups(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_lines_move_once_to_meet_orders_and_customers(spark, monkeypatch):
+    """Orders meet their customers before the lines of orders come in."""
+    from workload import data
+
+    monkeypatch.setattr(data, "LARGE_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(data.postings(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = text[text.index("hashpartitioning(o_custkey") :]
+    assert "o_orderkey" in re.search(r"FileScan parquet \[([^]]*)", below).group(1)
+
+
+def test_large_scans_are_spread_by_the_next_join(spark):
+    """What is spread by its key is not shuffled again to be joined."""
+    from workload import data
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = data.spread(spark.range(100).coalesce(1), "id")
+        text = plan(rows.join(spark.range(50).withColumnRenamed("id", "other"), F.col("id") == F.col("other")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(id") == 1 and "RoundRobin" not in text
+
+
+def test_scores_meet_their_rows_by_digests(spark):
+    """Found scores and keywords travel without the texts they belong to."""
+    text = plan(queries()["score_documents"](spark, SF))
+    assert "hashpartitioning(title" not in text and "hashpartitioning(text" not in text
+    assert "hashpartitioning(rest#" not in text

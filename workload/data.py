@@ -187,15 +187,30 @@ SELECT
   {ORDER_SQL}
 FROM (
   SELECT *, concat('k', l_orderkey, 'x', l_linenumber) AS job, %(age)s AS age
-  FROM {{lineitem}}
-  JOIN {{orders}} ON l_orderkey = o_orderkey
-  JOIN {{customer}} ON o_custkey = c_custkey
-  JOIN {{part}} ON l_partkey = p_partkey
-  JOIN {{nation}} ON c_nationkey = n_nationkey
+  FROM %(joins)s
 ) AS joined
 """
+_JOINS = """{lineitem}
+  JOIN {orders} ON l_orderkey = o_orderkey
+  JOIN {customer} ON o_custkey = c_custkey
+  JOIN {part} ON l_partkey = p_partkey
+  JOIN {nation} ON c_nationkey = n_nationkey"""
+# The same rows where no table is small enough to be sent to all tasks: orders meet their customers first, so that the many lines move once for both, and
+# lines meet their parts, whose texts are short and few, while they are narrow.
+_LARGE_JOINS = """{lineitem}
+  JOIN {part} ON l_partkey = p_partkey
+  JOIN (SELECT * FROM {orders}
+        JOIN {customer} ON o_custkey = c_custkey
+        JOIN {nation} ON c_nationkey = n_nationkey) AS ordered ON l_orderkey = o_orderkey"""
 _TABLES = ["lineitem", "orders", "customer", "part", "nation"]
 
+# Spark makes a customer's name once, before its orders.
+_NAMED_CUSTOMERS = f"SELECT c_custkey, {_ACCOUNT} AS name FROM {{customer}}"
+_RESULTS_OF_NAMED = """
+SELECT query, o_orderkey AS rank,
+  concat('https://www.example.com/', o_orderkey) AS url, o_totalprice AS score
+FROM {named} JOIN {orders} ON c_custkey = o_custkey
+"""
 _RAW_RESULTS = f"""
 SELECT {_ACCOUNT} AS name, o_orderkey AS rank,
   concat('https://www.example.com/', o_orderkey) AS url, o_totalprice AS score
@@ -216,46 +231,53 @@ def _named(text: str, tables: list[str]) -> str:
 
 
 def _escape(text: str) -> str:
-    """Double the percent signs that are SQL, leaving `%(age)s`."""
-    return text.replace("%", "%%").replace("%%(age)s", "%(age)s")
+    """Double the percent signs that are SQL, leaving `%(age)s` and `%(joins)s`."""
+    return text.replace("%", "%%").replace("%%(age)s", "%(age)s").replace("%%(joins)s", "%(joins)s")
 
 
 # Tables whose rows go through costly text expressions.
 COSTLY = ("lineitem", "documents", "pages")
+# From so many lines on, the joins of postings shuffle them.
+LARGE_ROWS = 1_000_000
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Share a scan of fewer splits than cores among all cores.
 
-    For the small test tables, which are one file with one row group each.
+    For the small test tables, which are one file with one row group each.  Rows that
+    go by the `key` of a join that shuffles need no shuffle of their own there.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(key) if key else df.repartition(cores)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(rows) if name in COSTLY else rows
+    return spread(rows, key) if name in COSTLY else rows
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings (8 columns) followed by their order columns."""
-    text = _escape(_POSTINGS) % {"age": _age("o_orderdate", "spark")}
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in _TABLES})
+    large = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count() >= LARGE_ROWS
+    joins, keys = (_LARGE_JOINS, {"lineitem": "l_orderkey"}) if large else (_JOINS, {})
+    text = _escape(_POSTINGS) % {"age": _age("o_orderdate", "spark"), "joins": joins}
+    return spark.sql(text, **{t: table(spark, sf_dir, t, keys.get(t)) for t in _TABLES})
 
 
 def search_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranked results per company, under the names the clean postings use."""
-    tables = {t: table(spark, sf_dir, t) for t in ("customer", "orders")}
-    raw = spark.sql(_RAW_RESULTS, **tables)
-    return raw.select(title_case(F.col("name")).alias("query"), "rank", "url", "score")
+    customers = spark.sql(_NAMED_CUSTOMERS, customer=table(spark, sf_dir, "customer"))
+    named = customers.select("c_custkey", title_case(F.col("name")).alias("query"))
+    return spark.sql(_RESULTS_OF_NAMED, named=named, orders=table(spark, sf_dir, "orders"))
 
 
 def existing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_EXISTING, orders=table(spark, sf_dir, "orders"))
 
 
-POSTINGS_SQL = _named(_escape(_POSTINGS) % {"age": _age("o_orderdate", "duckdb")}, _TABLES)
+POSTINGS_SQL = _named(_escape(_POSTINGS) % {"age": _age("o_orderdate", "duckdb"), "joins": _JOINS}, _TABLES)
 RESULTS_SQL = (
     f"SELECT {q.title_case('name')} AS query, rank, url, score "
     f"FROM ({_named(_RAW_RESULTS, ['customer', 'orders'])})"
