@@ -157,6 +157,11 @@ def _keywords(texts: DataFrame, sheets: TitleSheets) -> DataFrame:
     return rows.select("text", t.typed(found, t.KEYWORDS).alias("found"))
 
 
+def _digest(text: str) -> Column:
+    """128 bits that stand for a text where texts would be shuffled to meet."""
+    return F.unhex(F.md5(F.col(text)))
+
+
 def find_keywords(df: DataFrame, sheets: TitleSheets, text: str, into: str = "keywords") -> DataFrame:
     """Keywords of a text, in order of discovery."""
     found = _keywords(_texts(df, text), sheets).withColumnRenamed("found", into)
@@ -164,7 +169,7 @@ def find_keywords(df: DataFrame, sheets: TitleSheets, text: str, into: str = "ke
 
 
 def scores(texts: DataFrame, sheets: TitleSheets) -> DataFrame:
-    """Score of each distinct cleaned title: `text` and struct(title_level, new_title, points).
+    """Score of each distinct cleaned title: its `digest` and struct(title_level, new_title, points).
 
     A title that is a target scores at the default level.  Otherwise the best
     target found scores at the best level found.  Without any target the
@@ -174,24 +179,28 @@ def scores(texts: DataFrame, sheets: TitleSheets) -> DataFrame:
     index = sheets.index
     held = index.held(texts, ["levels", "targets"])
     rows = index.consumed(held, {"levels": True, "targets": False}).select(
-        "text",
+        _digest("text").alias("digest"),
         F.col("levels_search.rest").alias("rest"),
         t.best_level(t.typed(F.col("levels_search.found"), t.LEVELS)).alias("level"),
         F.get(t.equal_entries(F.col("text"), t.typed(F.col("targets"), t.TARGETS)), F.lit(0)).alias("exact"),
         t.typed(F.col("targets_search.found"), t.TARGETS).alias("targets"),
     )
     at = F.coalesce(F.col("level.level"), F.lit(t.DEFAULT_LEVEL))
-    rows = saved(rows.withColumn("target", t.best_target(F.col("targets"), at)).drop("targets"), "scored")
     by_keywords = F.col("exact").isNull() & F.col("target").isNull()
-    told = _keywords(rows.where(by_keywords).select(F.col("rest").alias("text")).distinct(), sheets)
-    both = rows.join(told.withColumnRenamed("text", "rest_"), F.col("rest") == F.col("rest_"), "left")
-    score = t.score(F.col("text"), F.col("exact"), F.col("level"), F.col("target"), F.col("found"))
-    return both.select("text", score.alias("score"))
+    # The texts end here but for those the keywords are searched in.
+    rows = rows.withColumn("target", t.best_target(F.col("targets"), at)).drop("targets")
+    rows = saved(rows.withColumn("rest", F.when(by_keywords, F.col("rest"))), "scored")
+    told = _keywords(_texts(rows, "rest"), sheets).select(_digest("text").alias("rest_"), "found")
+    both = rows.join(told, same_key(_digest("rest"), F.col("rest_")), "left")
+    score = t.score(F.col("exact.entry"), F.col("exact"), F.col("level"), F.col("target"), F.col("found"))
+    return both.select("digest", score.alias("score"))
 
 
 def score_title(df: DataFrame, sheets: TitleSheets, title: str, into: str = "score") -> DataFrame:
     """Add struct(title_level, new_title, points) for a cleaned title."""
-    return _add(df, title, scores(_texts(df, title), sheets).withColumnRenamed("score", into), into)
+    known = scores(_texts(df, title), sheets).select("digest", F.col("score").alias("_into"))
+    kept = [F.col(f"`{c}`") for c in df.columns if c != into]
+    return df.join(known, same_key(_digest(title), F.col("digest")), "left").select(*kept, F.col("_into").alias(into))
 
 
 def map_whole_title(df: DataFrame, mapping: DataFrame, title: str) -> DataFrame:
