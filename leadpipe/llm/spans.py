@@ -30,6 +30,8 @@ CUT_EVERY = 5
 WIDE_STOPS = np.array([ord(c) for c in "。！？｡"], np.uint32)
 STOPS = np.array([ord(c) for c in ".!?…।॥۔؟։።。！？｡"], np.uint32)
 CLOSERS = np.array([ord(c) for c in "\"')]}”’»」』）】］"], np.uint32)
+# All scripts without blanks have characters that begin with this byte or a higher one.
+UNSPACED_BYTE = 0xE0
 FACTOR = 0x9E3779B97F4A7C15
 UNFACTOR = pow(FACTOR, -1, 1 << 64)
 
@@ -37,6 +39,8 @@ UNFACTOR = pow(FACTOR, -1, 1 << 64)
 def _words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words are what white space parts; in scripts without blanks each letter begins one, and so
     does what follows a wide full stop and the marks that close behind it."""
+    if not (data >= UNSPACED_BYTE).any():
+        return W.NOT_SPACE[data], np.zeros(len(data), bool)
     _, breaks = W.letters(data, edges)
     if (data >= 0xE3).any():
         places, code, _ = W.characters(data)
@@ -47,6 +51,14 @@ def _words(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return W.NOT_SPACE[data], breaks
 
 
+def _up_to(data: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and code point of the character before each place."""
+    start = stop - 1
+    for _ in range(3):
+        start = start - ((data[start] & 0xC0) == 0x80)
+    return start, W.code_points(data, start, stop - start)
+
+
 class Sentences:
     """The sentences of each text and their runs.
 
@@ -77,10 +89,10 @@ class Sentences:
         data = self.data
         if not len(owner):
             return np.zeros(0, bool)
-        places, code, _ = W.characters(data)
-        last = np.searchsorted(places, found.end) - 1
-        tail, before = code[last], code[np.maximum(last - 1, np.searchsorted(places, found.start))]
-        stopped = np.isin(tail, STOPS) | (np.isin(tail, CLOSERS) & np.isin(before, STOPS))
+        last, tail = _up_to(data, found.end)
+        stopped = np.isin(tail, STOPS)
+        closed = np.flatnonzero(np.isin(tail, CLOSERS) & (last > found.start))
+        stopped[closed] = np.isin(_up_to(data, last[closed])[1], STOPS)
         breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
         following = np.append(found.start[1:], len(data))
         ends = stopped | (breaks[following] > breaks[found.end])
@@ -97,8 +109,9 @@ class Sentences:
         to = np.maximum(index + RUN_SENTENCES - 1, np.searchsorted(words, words[:-1] + RUN_WORDS) - 1)
         of = np.minimum(index - RUN_SENTENCES + 1, np.searchsorted(words, words[1:] - RUN_WORDS, "right") - 1)
         on, back = to <= final, of >= initial
-        pairs = np.concatenate([index[on] * n + to[on], of[back] * n + index[back]])
-        pairs = np.unique(pairs)
+        # Two ascending lists, which a stable sort merges.
+        pairs = np.sort(np.concatenate([index[on] * n + to[on], of[back] * n + index[back]]), kind="stable")
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]]
         self.run_from, self.run_to = (pairs // n, pairs % n) if n else (pairs, pairs)
         self.run_first = np.searchsorted(self.run_from, self.first)
         powers = np.cumprod(np.full(n, FACTOR, np.uint64)) if n else np.zeros(0, np.uint64)

@@ -159,14 +159,25 @@ def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Place, code point and number of bytes of each character of UTF-8 text."""
     places = np.flatnonzero((data & 0xC0) != 0x80)
     code = data[places].astype(np.uint32)
-    if len(places) == len(data):
-        return places, code, np.ones(len(data), np.int64)
-    width = np.diff(np.append(places, len(data)))
-    code = np.where(width == 1, code, code & (0x7F >> width))
+    width = np.ones(len(places), np.int64)
+    if len(places) < len(data):
+        long = np.flatnonzero(code >= 0x80)
+        width[long] = np.append(places, len(data))[long + 1] - places[long]
+        code[long] = code_points(data, places[long], width[long])
+    return places, code, width
+
+
+def code_points(data: np.ndarray, start: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Code points of the UTF-8 characters of so many bytes that start at some places."""
+    code = data[start].astype(np.uint32)
+    long = np.flatnonzero(width > 1)
+    start, width = start[long], width[long]
+    value = code[long] & (0x7F >> width)
     for more in (1, 2, 3):
         some = width > more
-        code[some] = (code[some] << 6) | (data[places[some] + more] & 0x3F)
-    return places, code, width
+        value[some] = (value[some] << 6) | (data[start[some] + more] & 0x3F)
+    code[long] = value
+    return code
 
 
 def letters(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +189,8 @@ def letters(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray
     places, code, width = characters(data)
     kind = kinds()[code]
     breaks = np.zeros(len(data), bool)
-    if len(places) < len(data):
+    # Only marks and letters that stand alone need a look at their neighbours.
+    if (kind >= ALONE).any():
         opening = np.searchsorted(places, edges)
         kind[opening] = np.where(kind[opening] == MARK, LETTER, kind[opening])
         # The last character before each one that is no mark.

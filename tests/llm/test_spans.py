@@ -153,3 +153,21 @@ def test_sentences_of_other_scripts_end(frame):
     passage = "".join(han() for _ in range(25))
     found = cleaned(frame, [passage, han() + passage + han(), "x"])
     assert found[1][2] == 0 and found[2][2] >= 25 and len(found[2][0]) < 40
+
+
+def test_texts_of_plain_scripts_are_not_decoded(monkeypatch):
+    """Where no script is without blanks, only the ends of words are looked at."""
+    texts = pa.array(["Größe zählt (nicht.) Ça va bien! Ну да? " * 5, "one two (three.) four\nfive"])
+    expected = [c.to_pylist() for c in spans._hashes(texts)]
+    monkeypatch.setattr(spans.W, "characters", None)
+    assert [c.to_pylist() for c in spans._hashes(texts)] == expected and expected[0][0]
+
+
+def test_last_characters_of_words():
+    alphabet = "ab.é\"”’」。😀"
+    rng = np.random.default_rng(5)
+    words = ["".join(alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(1, 5))) for _ in range(300)]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    start, code = spans._up_to(data, np.cumsum([len(w.encode()) for w in words]))
+    assert code.tolist() == [ord(w[-1]) for w in words]
+    assert start.tolist() == [len("".join(words[: i + 1])[:-1].encode()) for i in range(len(words))]

@@ -105,3 +105,14 @@ def test_chunks_cut_no_character(monkeypatch):
         monkeypatch.setattr(W, "CHUNK_BYTES", size)
         _, _, cut = runs(texts, W.letters)
         assert (whole.hash == cut.hash).all() and (whole.first == cut.first).all()
+
+
+def test_characters_are_those_of_python():
+    rng = np.random.default_rng(3)
+    alphabet = "ab .é߿ࠀ中。～😀\U0010ffff"
+    for n in (0, 1, 5, 300):
+        text = "".join(alphabet[i] for i in rng.integers(0, len(alphabet), n))
+        places, code, width = W.characters(np.frombuffer(text.encode(), np.uint8))
+        sizes = [len(c.encode()) for c in text]
+        assert code.tolist() == [ord(c) for c in text] and width.tolist() == sizes
+        assert places.tolist() == [sum(sizes[:i]) for i in range(n)]
