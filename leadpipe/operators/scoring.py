@@ -281,14 +281,16 @@ def add_title_score(
     keep_parts: bool = False,
     per_token: bool = False,
     min_score: int | None = None,
+    titles: DataFrame | None = None,
 ) -> DataFrame:
     """Add `titleScore`; with `keep_parts` also the level and the matched title.
 
     Distinct titles are cleaned and scored, and the rows meet a table of them.  With
     `min_score` it only has the titles that score as much, and others get a null: few
     titles do, so that Spark, which knows the table's size, need not move the rows.
+    `titles` has every `JobTitle` of the rows, where that is cheaper to make than the rows.
     """
-    score = title_scores(_texts(df, "JobTitle"), dims, per_token)
+    score = title_scores(_texts(df if titles is None else titles, "JobTitle"), dims, per_token)
     if min_score is not None:
         score = score.where(F.col("score.points") >= min_score)
     known = saved(score.withColumnRenamed("score", "_score"), "scores")

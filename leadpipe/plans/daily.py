@@ -42,8 +42,11 @@ def scored_postings(
     """
     aged = raw.where(can_be_cleaned())
     age = p.parse_days_ago(F.col("job_date"))
-    titled = aged.withColumn("JobTitle", F.when(age < p.MAX_AGE_DAYS, F.col("title")))
-    rated = add_title_score(titled, dims, per_token=per_token, min_score=min_score)
+    title = F.when(age < p.MAX_AGE_DAYS, F.col("title")).alias("JobTitle")
+    # Few links have no id; the titles are not worth a look into all of them.
+    rated = add_title_score(
+        aged.select("*", title), dims, per_token=per_token, min_score=min_score, titles=raw.select(title)
+    )
     high = F.col("titleScore") >= min_score
     clean = clean_postings(
         rated, as_of, order_by, id_rule, keep=["titleScore", *keep], texts_if=high

@@ -153,3 +153,18 @@ def test_scores_meet_their_rows_by_digests(spark):
     text = plan(queries()["score_documents"](spark, SF))
     assert "hashpartitioning(title" not in text and "hashpartitioning(text" not in text
     assert "hashpartitioning(rest#" not in text
+
+
+def test_titles_are_listed_without_a_look_into_links(spark, monkeypatch):
+    """Titles are scored once; only their rows are held against the rules for links."""
+    from leadpipe.plans import daily
+
+    score, asked = daily.add_title_score, []
+
+    def add_title_score(df, *args, titles=None, **rules):
+        asked.append(df if titles is None else titles)
+        return score(df, *args, titles=titles, **rules)
+
+    monkeypatch.setattr(daily, "add_title_score", add_title_score)
+    queries()["scored_postings"](spark, SF)
+    assert "RLIKE" not in plan(asked[0].select("JobTitle"))
