@@ -44,7 +44,9 @@ def extract_job_id(link: Column, id_rule: str = "second") -> Column:
         candidates = words if id_rule == "last" else F.slice(words, 1, 2)
         return F.try_element_at(candidates, F.lit(-1))
 
-    return F.coalesce(pick(KEYED_ID), pick(DASHED_ID))
+    # Most links are told to have no key by a search for three bytes.
+    keyed = F.when(F.contains(link, F.lit("jk=")), pick(KEYED_ID))
+    return F.coalesce(keyed, pick(DASHED_ID))
 
 
 def has_job_id(link: Column) -> Column:

@@ -288,7 +288,8 @@ def add_title_score(
     Distinct titles are cleaned and scored, and the rows meet a table of them.  With
     `min_score` it only has the titles that score as much, and others get a null: few
     titles do, so that Spark, which knows the table's size, need not move the rows.
-    `titles` has every `JobTitle` of the rows, where that is cheaper to make than the rows.
+    `titles` has the `JobTitle`s to score, where that is cheaper to make than the rows; a
+    row of any other gets a null.
     """
     score = title_scores(_texts(df if titles is None else titles, "JobTitle"), dims, per_token)
     if min_score is not None:

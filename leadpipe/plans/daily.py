@@ -15,7 +15,7 @@ from leadpipe.operators.pages import company_links
 from leadpipe.operators.projection import swap_column
 from leadpipe.operators.relational import anti_existing, enrich_top1
 from leadpipe.operators.scoring import add_title_score
-from leadpipe.plans.cleaning import can_be_cleaned, clean_postings
+from leadpipe.plans.cleaning import first_postings, identify_postings
 from leadpipe.schemas import TARGET_TYPE, UPLOAD_COLUMNS
 from leadpipe.session import scratch_scope
 from leadpipe.sources.readers import scan_existing
@@ -40,17 +40,19 @@ def scored_postings(
     deduplication; the others just take part in the choice of the first row.
     Ids in `existing` leave while the rows are still partitioned by id.
     """
-    aged = raw.where(can_be_cleaned())
     age = p.parse_days_ago(F.col("job_date"))
-    title = F.when(age < p.MAX_AGE_DAYS, F.col("title")).alias("JobTitle")
-    # Few links have no id; the titles are not worth a look into all of them.
+    fresh = F.when(age < p.MAX_AGE_DAYS, F.col("title")).alias("JobTitle")
+    # Few links have no id; the titles are not worth a look into all of them.  A row of another
+    # age gets a score or a null, and goes without its texts in any case.
     rated = add_title_score(
-        aged.select("*", title), dims, per_token=per_token, min_score=min_score, titles=raw.select(title)
+        identify_postings(raw, id_rule).withColumn("JobTitle", F.col("title")),
+        dims,
+        per_token=per_token,
+        min_score=min_score,
+        titles=raw.select(fresh),
     )
     high = F.col("titleScore") >= min_score
-    clean = clean_postings(
-        rated, as_of, order_by, id_rule, keep=["titleScore", *keep], texts_if=high
-    )
+    clean = first_postings(rated, as_of, order_by, ["titleScore", *keep], texts_if=high)
     scored = filter_score(clean, threshold=min_score)
     if existing is not None:
         scored = anti_existing(scored, existing, unique=True)

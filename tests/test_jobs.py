@@ -64,6 +64,24 @@ def test_rejects_and_clean_rows_cover_the_input(raw):
     assert raw.where(cleaning.can_be_cleaned()).count() + len(rejects) == raw.count()
 
 
+def test_an_old_row_of_a_scored_title_still_hides_its_id(spark, frame):
+    """Titles are joined whatever the age of the row; the first row of an id decides as before."""
+    raw = frame(
+        [
+            posting(1, "a", "30+ days ago"),
+            posting(2, "a", "Just posted"),
+            posting(3, "b", "99999999999 days ago"),  # no number an age can have
+            posting(4, "b", "1 day ago"),
+            posting(5, "c", "1 day ago"),
+            posting(6, "c", "30+ days ago"),
+            posting(7, "d", "30+ days ago", title="Lead Bolt"),  # a title of old rows only
+        ],
+        SCHEMA,
+    )
+    scored = daily.scored_postings(raw, dims(spark), DAY, ["seq"], keep=["seq"])
+    assert [(r.JobId, r.seq) for r in scored.collect()] == [("c", 5)]
+
+
 def test_more_columns_are_carried(raw):
     kept = cleaning.clean_postings(raw, DAY, ["seq"], keep=["seq"])
     assert {r.seq for r in kept.collect()} == {1, 5, 11}

@@ -168,3 +168,30 @@ def test_titles_are_listed_without_a_look_into_links(spark, monkeypatch):
     monkeypatch.setattr(daily, "add_title_score", add_title_score)
     queries()["scored_postings"](spark, SF)
     assert "RLIKE" not in plan(asked[0].select("JobTitle"))
+
+
+def test_links_are_searched_once_for_their_ids(spark):
+    """No filter looks into the links again, and only those with a key are searched for it."""
+    for name in ("clean_postings", "daily_upload"):
+        text = plan(queries()[name](spark, SF))
+        assert len(re.findall(r"RLIKE\([^\n]*jk=", text)) == 0
+        assert text.count("-([a-z0-9]+)") == 1
+
+
+def test_the_stage_of_large_postings_is_compiled(spark, monkeypatch):
+    """Java leaves methods of more than 8,000 bytes to its interpreter, so no generated one is as long."""
+    from workload import data
+
+    monkeypatch.setattr(data, "LARGE_ROWS", 10)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "20000"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = queries()["daily_upload"](spark, SF)
+        codegen = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        text = rows._jdf.queryExecution().explainString(codegen)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
